@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.temporal import hour_number_of_seconds, month_of_seconds
 from tallyspark.learning.regression import assemble, regression_scores
-from tallyspark.learning.scores import accuracy, class_scores
-from tallyspark.operators.sampling import split_by_key
+from tallyspark.learning.scores import class_scores
+from tallyspark.operators.sampling import hash_bucket
 
 # Measurement columns of the energy table and circle lengths.
 WEATHER_INPUTS = ("temperature", "humidity", "wind_speed")
@@ -65,18 +65,22 @@ def forest_predictions(model, df: DataFrame, case: Case) -> DataFrame:
     return model.transform(assemble(df, list(case.inputs)))
 
 
-def run_case(df: DataFrame, case: Case, key: str, trees: int = 100, depth: int = 5) -> DataFrame:
-    """Clean, split by key, train, and score on the test rows: one result row."""
-    train, test = split_by_key(clean(df, case, [key]), key)
-    model = fit_forest(train, case, trees, depth)
-    tested = forest_predictions(model, test, case)
-    named = F.lit(case.name).alias("case")
+def run_case(
+    df: DataFrame, case: Case, key: str, trees: int = 100, depth: int = 5, train_percent: int = 80
+) -> DataFrame:
+    """Clean, split by a hash of the key, train, and score: one result row.
+
+    Training and test rows are scored in the same pass.
+    """
+    bucket = hash_bucket(key)
+    data = clean(df, case, [key]).withColumn("is_test", bucket >= train_percent)
+    model = fit_forest(data.filter(~F.col("is_test")), case, trees, depth)
+    predictions = forest_predictions(model, data, case)
     if case.regression:
-        return regression_scores(tested, case.label).select(named, "*")
-    trained = accuracy(forest_predictions(model, train, case), case.label)
-    scores = class_scores(tested, case.label, PERIODS[case.label])
-    # Two one-row frames.
-    return scores.crossJoin(trained.withColumnRenamed("accuracy", "train_accuracy")).select(named, "*")
+        result = regression_scores(predictions.filter("is_test"), case.label)
+    else:
+        result = class_scores(predictions, case.label, PERIODS[case.label], F.col("is_test"))
+    return result.select(F.lit(case.name).alias("case"), "*")
 
 
 def run_cases(df: DataFrame, key: str, cases: list[Case] = CASES, trees: int = 100, depth: int = 5) -> DataFrame:

@@ -9,44 +9,49 @@ from pyspark.sql import functions as F
 from tallyspark.functions.numeric import cyclic_distance, exact_mean, rounded
 
 
-def _percent(condition: Column) -> Column:
-    share = F.count_if(condition).cast("decimal(20,0)") * 100
-    return rounded(F.try_divide(share, F.count(F.lit(1)).cast("decimal(20,0)")), 4)
+def _percent(condition: Column, among: Column) -> Column:
+    hits = F.count_if(condition & among).cast("decimal(20,0)") * 100
+    return rounded(F.try_divide(hits, F.count_if(among).cast("decimal(20,0)")), 4)
 
 
 def accuracy(predictions: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
-    return predictions.agg(_percent(F.col(label) == F.col(prediction)).alias("accuracy"))
+    return predictions.agg(_percent(F.col(label) == F.col(prediction), F.lit(True)).alias("accuracy"))
+
+
+def _closeness_scores(label: str, prediction: str, period: int, among: Column) -> list[Column]:
+    distance = cyclic_distance(label, prediction, period)
+    return [
+        F.count_if(among).alias("n"),
+        _percent(distance == 0, among).alias("accuracy"),
+        _percent(distance <= 1, among).alias("one_away"),
+        _percent(distance <= 2, among).alias("two_away"),
+    ]
 
 
 def closeness(
     predictions: DataFrame, label: str, period: int, prediction: str = "prediction"
 ) -> DataFrame:
     """Percent exactly right, and at most one and two away on a circle."""
-    distance = cyclic_distance(label, prediction, period)
-    return predictions.agg(
-        F.count(F.lit(1)).alias("n"),
-        _percent(distance == 0).alias("accuracy"),
-        _percent(distance <= 1).alias("one_away"),
-        _percent(distance <= 2).alias("two_away"),
-    )
+    return predictions.agg(*_closeness_scores(label, prediction, period, F.lit(True)))
 
 
-def true_class_probability(label: str, probability: str = "probability") -> Column:
+def true_class_probability(
+    label: str, probability: str = "probability", among: Column | None = None
+) -> Column:
     """Mean probability that the model gave to the true class, in percent.
 
-    Classes are numbered by label, so the label indexes the vector directly.
+    Classes are numbered by label, so the label indexes the vector directly; a
+    class that the model has never seen has probability 0.
     """
-    given = F.get(vector_to_array(probability), F.col(label).cast("int"))
+    given = F.coalesce(F.get(vector_to_array(probability), F.col(label).cast("int")), F.lit(0.0))
+    given = given if among is None else F.when(among, given)
     return rounded(exact_mean(given, 12, 24) * 100, 4)
 
 
-def class_scores(predictions: DataFrame, label: str, period: int) -> DataFrame:
-    """All class scores in one row: accuracy, one and two away, mean probability."""
-    distance = cyclic_distance(label, "prediction", period)
+def class_scores(predictions: DataFrame, label: str, period: int, is_test: Column) -> DataFrame:
+    """All class scores of the test rows and the accuracy on the other rows, in one row."""
     return predictions.agg(
-        F.count(F.lit(1)).alias("n"),
-        _percent(distance == 0).alias("accuracy"),
-        _percent(distance <= 1).alias("one_away"),
-        _percent(distance <= 2).alias("two_away"),
-        true_class_probability(label).alias("mean_probability"),
+        *_closeness_scores(label, "prediction", period, is_test),
+        true_class_probability(label, among=is_test).alias("mean_probability"),
+        _percent(F.col(label) == F.col("prediction"), ~is_test).alias("train_accuracy"),
     )

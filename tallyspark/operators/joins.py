@@ -32,6 +32,13 @@ def points_per_group(points: DataFrame, keys: list[str], at: str, value: str) ->
     )
 
 
+def sum_inside(points: Column, start: Column, end: Column) -> Column:
+    """Sum of the values of an array of (at, value) with start <= at < end; 0 if none."""
+    inside = F.filter(points, lambda p: (p["at"] >= start) & (p["at"] < end))
+    zero = F.lit(0).cast("bigint")
+    return F.coalesce(F.aggregate(inside, zero, lambda s, p: s + p["value"]), zero)
+
+
 def sum_in_interval(
     intervals: DataFrame,
     points: DataFrame,
@@ -49,10 +56,8 @@ def sum_in_interval(
     pairs of intervals and points are produced.
     """
     gathered = points_per_group(points, keys, at, value)
-    inside = F.filter(F.col("points"), lambda p: (p["at"] >= start) & (p["at"] < end))
-    total = F.aggregate(inside, F.lit(0).cast("bigint"), lambda s, p: s + p["value"])
     return (
         intervals.join(gathered, keys, "left")
-        .withColumn(name, F.coalesce(total, F.lit(0).cast("bigint")))
+        .withColumn(name, sum_inside(F.col("points"), start, end))
         .drop("points")
     )

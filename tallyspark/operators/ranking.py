@@ -20,11 +20,12 @@ def top_n(df: DataFrame, groups: list[str], order: list[Column], n: int, positio
 
 
 def positions(df: DataFrame, groups: list[str], level: Column, order: list[Column], name: str) -> DataFrame:
-    """Position of every row within its group, for groups of any size.
+    """Position of every row within its group, also in very large groups.
 
-    ``level`` is the leading ascending sort value and ``order`` the rest. A
-    window over a whole group would sort a hot group in one task. Instead rows
-    are numbered within (group, level), and the number of rows on earlier
+    ``level`` is not NULL and never falls along the wanted order (the leading
+    sort value or a coarse step of it); ``order`` is the order within a level.
+    A window over a whole group would sort a hot group in one task. Instead
+    rows are numbered within (group, level), and the number of rows on earlier
     levels is added from a small table with one row per group and level.
     """
     leveled = df.withColumn("__level", level)
@@ -42,19 +43,21 @@ def positions(df: DataFrame, groups: list[str], level: Column, order: list[Colum
     )
 
 
-def share_of_total(df: DataFrame, groups: list[str], value: str, name: str) -> DataFrame:
+def share_of_total(
+    df: DataFrame, groups: list[str], value: str, name: str, bounded: bool = False
+) -> DataFrame:
     """Percent of the group total, two decimals.
 
     Totals are aggregated with map-side combine and joined back, so no group
-    has to fit into one task.
+    has to fit into one task. Where the rows per group are known to be few
+    (``bounded``), one window replaces the aggregation and the join.
     """
-    totals = df.groupBy(*groups).agg(F.sum(value).alias("__total"))
+    if bounded:
+        summed = df.withColumn("__total", F.sum(value).over(Window.partitionBy(*groups)))
+    else:
+        summed = df.join(df.groupBy(*groups).agg(F.sum(value).alias("__total")), groups)
     percent = F.try_divide(F.lit(100) * F.col(value), F.col("__total"))
-    return (
-        df.join(totals, groups)
-        .withColumn(name, F.round(percent.cast("decimal(30,8)"), 2).cast("double"))
-        .drop("__total")
-    )
+    return summed.withColumn(name, F.round(percent.cast("decimal(30,8)"), 2).cast("double")).drop("__total")
 
 
 def top_names(df: DataFrame, groups: list[str], name: str, value: str, n: int, alias: str) -> DataFrame:

@@ -46,43 +46,43 @@ def match_results(events: DataFrame) -> DataFrame:
     )
 
 
-def team_results(matches: DataFrame) -> DataFrame:
-    """Two rows per match, one from each team's point of view."""
+def team_results(matches: DataFrame, more: dict[str, str] | None = None) -> DataFrame:
+    """Two rows per match, one from each team's point of view.
 
-    def view(team: str, scored: str, conceded: str):
+    ``more`` maps further columns to carry to the endings of their
+    ``home...``/``away...`` columns.
+    """
+
+    def view(side: str, other: str):
         return F.struct(
-            F.col(team).alias("team"),
-            F.col(scored).alias("goalsScored"),
-            F.col(conceded).alias("goalsConceded"),
+            F.col(f"{side}Team").alias("team"),
+            F.col(f"{side}TeamGoals").alias("goalsScored"),
+            F.col(f"{other}TeamGoals").alias("goalsConceded"),
+            *[F.col(f"{side}{ending}").alias(name) for name, ending in (more or {}).items()],
         )
 
-    views = F.array(
-        view("homeTeam", "homeTeamGoals", "awayTeamGoals"),
-        view("awayTeam", "awayTeamGoals", "homeTeamGoals"),
-    )
+    views = F.array(view("home", "away"), view("away", "home"))
     return matches.select("matchId", "competition", "season", F.inline(views))
 
 
-def season_table(matches: DataFrame) -> DataFrame:
-    """Games, wins, draws, losses, goals and 3-1-0 points per team and season."""
+def _season_measures():
     scored, conceded = F.col("goalsScored"), F.col("goalsConceded")
+    wins, draws, losses = (F.count_if(c) for c in (scored > conceded, scored == conceded, scored < conceded))
+    measures = {
+        "games": F.count(F.lit(1)),
+        "wins": wins,
+        "draws": draws,
+        "losses": losses,
+        "goalsScored": F.sum(scored),
+        "goalsConceded": F.sum(conceded),
+        "points": wins * 3 + draws,
+    }
+    return [value.cast("int").alias(name) for name, value in measures.items()]
 
-    def times(condition):
-        return F.count_if(condition).cast("int")
 
-    return (
-        team_results(matches)
-        .groupBy(*TEAM_SEASON)
-        .agg(
-            F.count(F.lit(1)).cast("int").alias("games"),
-            times(scored > conceded).alias("wins"),
-            times(scored == conceded).alias("draws"),
-            times(scored < conceded).alias("losses"),
-            F.sum(scored).cast("int").alias("goalsScored"),
-            F.sum(conceded).cast("int").alias("goalsConceded"),
-            (F.count_if(scored > conceded) * 3 + F.count_if(scored == conceded)).cast("int").alias("points"),
-        )
-    )
+def season_table(matches: DataFrame) -> DataFrame:
+    """Games, wins, draws, losses, goals and 3-1-0 points per team and season."""
+    return team_results(matches).groupBy(*TEAM_SEASON).agg(*_season_measures())
 
 
 def _goal_difference():
@@ -146,11 +146,38 @@ def worst_passers(passes: DataFrame, season: str | None = None) -> DataFrame:
     return worst.orderBy("passSuccessRatio", "competition", "season", "team")
 
 
-def best_teams(seasons: DataFrame, passes: DataFrame, n: int = 2, season: str | None = None) -> DataFrame:
-    """Best ``n`` teams per league and season by mean points, best first."""
-    if season is not None:
-        seasons = seasons.filter(F.col("season") == season)
-        passes = passes.filter(F.col("season") == season)
+def match_summary(events: DataFrame) -> DataFrame:
+    """Goals and passes of both teams per match, in one pass over the events."""
+
+    def passes(side: str, *more):
+        test = (F.col("event") == PASS) & (F.col("eventTeam") == F.col(side))
+        for condition in more:
+            test = test & condition
+        return F.count_if(test).cast("int")
+
+    accurate = F.array_contains("tags", ACCURATE_TAG)
+    return events.groupBy(*MATCH_KEYS).agg(
+        goals_against("awayTeam").alias("homeTeamGoals"),
+        goals_against("homeTeam").alias("awayTeamGoals"),
+        passes("homeTeam").alias("homePasses"),
+        passes("awayTeam").alias("awayPasses"),
+        passes("homeTeam", accurate).alias("homeSuccessful"),
+        passes("awayTeam", accurate).alias("awaySuccessful"),
+    )
+
+
+def best_teams(events: DataFrame, n: int = 2, season: str | None = None) -> DataFrame:
+    """Best ``n`` teams per league and season by mean points, best first.
+
+    Season table and pass ratio come from the same match rows: the events are
+    shuffled once, and nothing is joined.
+    """
+    picked = events if season is None else events.filter(F.col("season") == season)
+    rows = team_results(match_summary(picked), {"passes": "Passes", "successful": "Successful"})
+    ratio = F.try_divide(F.col("successful").cast("double"), F.col("passes").cast("double"))
+    seasons = rows.groupBy(*TEAM_SEASON).agg(
+        *_season_measures(), rounded(exact_mean(ratio, 12, 24) * 100, 2).alias("PassRatio")
+    )
     average = F.col("points").cast("decimal(18,8)") / F.col("games").cast("decimal(10,0)")
     order = [
         F.desc(average),
@@ -160,19 +187,15 @@ def best_teams(seasons: DataFrame, passes: DataFrame, n: int = 2, season: str |
         F.asc("team"),
     ]
     best = top_n(seasons, ["competition", "season"], order, n, position="Pos")
-    return (
-        best.join(pass_ratios(passes), TEAM_SEASON, "left")
-        .select(
-            F.col("team").alias("Team"),
-            F.col("competition").alias("League"),
-            "season",
-            "Pos",
-            *_table_columns(),
-            F.round(average, 2).cast("double").alias("Avg"),
-            F.col("passSuccessRatio").alias("PassRatio"),
-        )
-        .orderBy(F.desc("Avg"), "League", "season", "Pos")
-    )
+    return best.select(
+        F.col("team").alias("Team"),
+        F.col("competition").alias("League"),
+        "season",
+        "Pos",
+        *_table_columns(),
+        F.round(average, 2).cast("double").alias("Avg"),
+        "PassRatio",
+    ).orderBy(F.desc("Avg"), "League", "season", "Pos")
 
 
 def match_checks(matches: DataFrame) -> DataFrame:

@@ -92,8 +92,11 @@ def least_colored(counts: DataFrame, keys: list[str], n: int = 5) -> DataFrame:
 
 
 def color_shares(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """Percent of the colored pixels of an image per color."""
-    return share_of_total(counts.filter(is_colored()), keys, "n", "share")
+    """Percent of the colored pixels of an image per color.
+
+    An image has at most one row per color name, so groups are bounded.
+    """
+    return share_of_total(counts.filter(is_colored()), keys, "n", "share", bounded=True)
 
 
 def top_colors(counts: DataFrame, keys: list[str], n: int = 3) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.temporal import whole_minutes
-from tallyspark.operators.joins import lookup, sum_in_interval
+from tallyspark.operators.joins import lookup, points_per_group, sum_inside
 from tallyspark.operators.ranking import top_n
 from tallyspark.plans.football import is_goal
 
@@ -39,18 +39,19 @@ def match_lengths(events: DataFrame) -> DataFrame:
     return events.groupBy("matchId").agg((F.lit(FIRST_HALF_MINUTES) + second).cast("int").alias("minutes"))
 
 
-def stints(matches: DataFrame) -> DataFrame:
+def stints(matches: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per player on the field: match, team, side, enter and exit minute.
 
     Starters enter at 0, substitutes at their minute; ``exit`` is NULL for a
     player who stayed to the end. Players left on the bench get no row. All of
-    it happens inside the match row; nothing is shuffled.
+    it happens inside the match row; nothing is shuffled. ``keep`` names more
+    columns of the match to carry along.
     """
     sides = F.array(
         F.struct(F.lit(1).alias("sign"), F.col("homeTeamData").alias("data")),
         F.struct(F.lit(-1).alias("sign"), F.col("awayTeamData").alias("data")),
     )
-    team = matches.select("matchId", "competition", "season", F.inline(sides))
+    team = matches.select("matchId", "competition", "season", *keep, F.inline(sides))
     changes = F.filter(
         F.array(*[F.col(f"data.{s}") for s in SUBSTITUTIONS]),
         lambda s: s.isNotNull() & s["playerIn"].isNotNull() & s["minute"].isNotNull(),
@@ -69,16 +70,22 @@ def stints(matches: DataFrame) -> DataFrame:
         F.transform("changes", lambda s: stint(s["playerIn"], s["minute"])),
     )
     return team.select(
-        "matchId", "competition", "season", F.col("data.team").alias("team"), "sign", F.inline(on_field)
+        "matchId", "competition", "season", *keep, F.col("data.team").alias("team"), "sign", F.inline(on_field)
     )
 
 
-def minutes_played(stints: DataFrame, lengths: DataFrame) -> DataFrame:
-    """Total minutes per player and season."""
-    full = stints.join(lengths, "matchId")
-    end = F.coalesce("exit", "minutes")
-    return full.groupBy("playerId", "season").agg(
-        F.sum(F.greatest(end - F.col("enter"), F.lit(0))).cast("bigint").alias("minutes")
+def minutes_played(matches: DataFrame, events: DataFrame) -> DataFrame:
+    """Total minutes per player and season.
+
+    Match rows and their lengths are joined one to one before the players are
+    unfolded, so the shuffle moves matches and not player rows.
+    """
+    timed = matches.join(match_lengths(events), "matchId")
+    played = F.coalesce("exit", "minutes") - F.col("enter")
+    return (
+        stints(timed, keep=("minutes",))
+        .groupBy("playerId", "season")
+        .agg(F.sum(F.greatest(played, F.lit(0))).cast("bigint").alias("minutes"))
     )
 
 
@@ -92,26 +99,25 @@ def goal_points(events: DataFrame) -> DataFrame:
     )
 
 
-def stint_goal_balance(stints: DataFrame, goals: DataFrame) -> DataFrame:
-    """Goals for minus goals against while the player was on the field.
+def stint_goal_balance(matches: DataFrame, goals: DataFrame) -> DataFrame:
+    """Goals for minus goals against while each player was on the field.
 
-    Interval join on the match: enter <= goal < exit.
+    Interval join on the match: enter <= goal < exit. A match gets its goals as
+    one short array (at most one entry per second) in a one-to-one join; each
+    stint then adds up its part of that array within the row.
     """
+    gathered = points_per_group(goals, ["matchId"], "clock", "value")
     start = clock_of_minute(F.col("enter"))
     end = F.coalesce(clock_of_minute(F.col("exit")), F.lit(2 * SECOND_HALF_CLOCK))
-    timed = stints.withColumns({"__start": start, "__end": end})
-    summed = sum_in_interval(
-        timed, goals, ["matchId"], "clock", "value", F.col("__start"), F.col("__end"), "homeBalance"
-    )
-    return summed.withColumn("balance", F.col("sign") * F.col("homeBalance")).drop(
-        "__start", "__end", "homeBalance"
-    )
+    balance = F.col("sign") * sum_inside(F.col("points"), start, end)
+    matched = matches.join(gathered, "matchId", "left")
+    return stints(matched, keep=("points",)).withColumn("balance", balance).drop("points")
 
 
-def plus_minus(stints: DataFrame, goals: DataFrame) -> DataFrame:
+def plus_minus(matches: DataFrame, goals: DataFrame) -> DataFrame:
     """Total plus-minus per player and season."""
     return (
-        stint_goal_balance(stints, goals)
+        stint_goal_balance(matches, goals)
         .groupBy("playerId", "season")
         .agg(F.sum("balance").cast("bigint").alias("plusMinus"))
     )

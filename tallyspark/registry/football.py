@@ -82,8 +82,15 @@ def worst_passers(spark, sf):
             FROM placed LEFT JOIN pass_ratios USING (competition, season, team) WHERE Pos <= 2""",
 )
 def best_teams(spark, sf):
-    events = b.match_events(spark, sf)
-    return fb.best_teams(fb.season_table(fb.match_results(events)), fb.match_passes(events))
+    return fb.best_teams(b.match_events(spark, sf))
+
+
+@query(
+    "season_tables_with_passes", "JN2 DP2 DP4",
+    sql=f"{EVENTS} SELECT * FROM season_table JOIN pass_ratios USING (competition, season, team)",
+)
+def season_tables_with_passes(spark, sf):
+    return _seasons(spark, sf).join(fb.pass_ratios(_passes(spark, sf)), fb.TEAM_SEASON)
 
 
 @query(
@@ -137,7 +144,7 @@ def player_stints(spark, sf):
 
 @query("minutes_played", "NP3", sql=f"{PLAYERS} SELECT * FROM minutes_played")
 def minutes_played(spark, sf):
-    return pl.minutes_played(pl.stints(b.matches(spark, sf)), pl.match_lengths(b.match_events(spark, sf)))
+    return pl.minutes_played(b.matches(spark, sf), b.match_events(spark, sf))
 
 
 @query(
@@ -147,7 +154,7 @@ def minutes_played(spark, sf):
             QUALIFY row_number() OVER (PARTITION BY season, role ORDER BY minutes DESC, playerId) = 1""",
 )
 def longest_per_role(spark, sf):
-    minutes = pl.minutes_played(pl.stints(b.matches(spark, sf)), pl.match_lengths(b.match_events(spark, sf)))
+    minutes = pl.minutes_played(b.matches(spark, sf), b.match_events(spark, sf))
     return pl.longest_per_role(minutes, b.players(spark, sf))
 
 
@@ -158,7 +165,7 @@ def longest_per_role(spark, sf):
 )
 def goals_while_on_field(spark, sf):
     goals = pl.goal_points(b.match_events(spark, sf))
-    return pl.stint_goal_balance(pl.stints(b.matches(spark, sf)), goals)
+    return pl.stint_goal_balance(b.matches(spark, sf), goals)
 
 
 @query(
@@ -168,7 +175,7 @@ def goals_while_on_field(spark, sf):
 )
 def plus_minus(spark, sf):
     goals = pl.goal_points(b.match_events(spark, sf))
-    return pl.plus_minus(pl.stints(b.matches(spark, sf)), goals)
+    return pl.plus_minus(b.matches(spark, sf), goals)
 
 
 @query(
@@ -180,7 +187,7 @@ def plus_minus(spark, sf):
 )
 def players_above_plus_minus(spark, sf):
     goals = pl.goal_points(b.match_events(spark, sf))
-    totals = pl.plus_minus(pl.stints(b.matches(spark, sf)), goals)
+    totals = pl.plus_minus(b.matches(spark, sf), goals)
     return pl.above_plus_minus(totals, b.players(spark, sf), 3)
 
 

@@ -28,11 +28,12 @@ def _counts(spark, sf):
               SELECT image, unnest(regexp_extract_all(hex, '.{{8}}')) AS pixel,
                      generate_subscripts(regexp_extract_all(hex, '.{{8}}'), 1) - 1 AS position FROM images)
             SELECT image, count(*) AS n, count(DISTINCT pixel) AS distinct_pixels,
-                   max(pixel) AS highest, CAST(max(position) AS INTEGER) AS last_position,
-                   max(CASE WHEN position = 0 THEN pixel END) AS first_pixel
+                   max(CAST('0x' || pixel AS BIGINT)) AS highest, CAST(max(position) AS INTEGER) AS last_position,
+                   max(CASE WHEN position = 0 THEN CAST('0x' || pixel AS BIGINT) END) AS first_pixel
             FROM placed GROUP BY image""",
 )
 def pixel_values(spark, sf):
+    number = F.conv("pixel", 16, 10).cast("bigint")
     per_pixel = im.pixels(_scan(spark, sf), ["image"])
     per_value = per_pixel.groupBy("image", "pixel").agg(
         F.count(F.lit(1)).alias("k"), F.max("position").alias("last"), F.min("position").alias("first")
@@ -40,9 +41,9 @@ def pixel_values(spark, sf):
     return per_value.groupBy("image").agg(
         F.sum("k").alias("n"),
         F.count(F.lit(1)).alias("distinct_pixels"),
-        F.max("pixel").alias("highest"),
+        F.max(number).alias("highest"),
         F.max("last").alias("last_position"),
-        F.max(F.when(F.col("first") == 0, F.col("pixel"))).alias("first_pixel"),
+        F.max(F.when(F.col("first") == 0, number)).alias("first_pixel"),
     )
 
 

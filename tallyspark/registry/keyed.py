@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyspark.functions.numeric import fahrenheit_to_celsius, rounded
 from tallyspark.operators import keyed
 from tallyspark.registry.core import query
+from tallyspark.session import fresh_dir
 from tallyspark.sinks.storage import row_counts
+from tallyspark.sinks.writers import write_parquet
+from tallyspark.sources.readers import read_parquet
 from tallyspark.tables import table
 
 NEW_KEYS_FROM = 1_000_000_000
@@ -86,8 +90,6 @@ def anti_join(spark, sf):
            FROM customer""",
 )
 def update_all_and_matching(spark, sf):
-    from tallyspark.functions.numeric import fahrenheit_to_celsius, rounded
-
     base = table(spark, sf, "customer").select(
         "c_custkey", "c_acctbal", (F.col("c_custkey") % 130 - 20).alias("fahrenheit"), F.lit(None).cast("double").alias("celsius")
     )
@@ -125,7 +127,9 @@ def latest_per_key(spark, sf):
             UNION ALL SELECT 'deleted', count(*), 3 FROM merged WHERE NOT coalesce(balance < 1000, false)""",
 )
 def counts_per_stage(spark, sf):
+    """Each stage is a written snapshot, so no stage is computed twice."""
     before = _accounts(spark, sf)
-    merged = keyed.upsert(before, _updates(spark, sf), ["key"])
+    merge = keyed.upsert(before, _updates(spark, sf), ["key"])
+    merged = read_parquet(spark, write_parquet(merge, fresh_dir(spark, "merged")))
     deleted = keyed.delete_where(merged, F.col("balance") < 1000)
     return row_counts({"before": before, "merged": merged, "deleted": deleted})

@@ -50,14 +50,14 @@ def row_counts(stages: dict[str, DataFrame]) -> DataFrame:
 def round_trip_check(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row: counts on both sides, whether they and the column types agree."""
     same_types = sorted(before.dtypes) == sorted(after.dtypes)
-    total = F.count(F.lit(1))
-    return (
-        before.agg(total.alias("rows_before"))
-        .crossJoin(after.agg(total.alias("rows_after")))  # two one-row frames
-        .select(
-            "rows_before",
-            "rows_after",
-            (F.col("rows_before") == F.col("rows_after")).alias("same_rows"),
-            F.lit(same_types).alias("same_types"),
-        )
+    counted = row_counts({"before": before, "after": after})
+
+    def rows(stage: str):
+        return F.max(F.when(F.col("stage") == stage, F.col("n_rows")))
+
+    return counted.agg(rows("before").alias("rows_before"), rows("after").alias("rows_after")).select(
+        "rows_before",
+        "rows_after",
+        (F.col("rows_before") == F.col("rows_after")).alias("same_rows"),
+        F.lit(same_types).alias("same_types"),
     )
