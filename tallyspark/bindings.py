@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspark.operators.partitioning import spread
 from tallyspark.tables import table
 
 LEAGUE_SIZE = 150  # players (customers) per league
@@ -236,7 +237,8 @@ pass_ratios AS (
 
 def matches(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as nested match records with lineups, benches and substitutions."""
-    flat = table(spark, sf, "orders").select(*_match_columns(), F.col("o_orderdate").cast("date").alias("date"))
+    orders = spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey")
+    flat = orders.select(*_match_columns(), F.col("o_orderdate").cast("date").alias("date"))
 
     def team_data(team: str, number: str, shift: int) -> Column:
         key = F.col("matchId") + shift
@@ -340,7 +342,8 @@ def players(spark: SparkSession, sf: str) -> DataFrame:
 def images(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as images: four pixels from the digest of every word."""
     digests = F.transform(F.split("text", " "), lambda w: F.md5(w.cast("binary")))
-    return table(spark, sf, "documents").select(
+    documents = spread(table(spark, sf, "documents").select("doc_id", "source", "text"), "doc_id")
+    return documents.select(
         F.concat(F.lit("file:/images/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".png")).alias("origin"),
         F.size(F.split("text", " ")).alias("height"),
         F.lit(4).alias("width"),
@@ -430,9 +433,14 @@ CLASS_SQL = """predictions AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts, spread over the cores: splitting words is costly per row."""
+    return spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id").select("text")
+
+
 def lines_of_text(spark: SparkSession, sf: str) -> DataFrame:
     """Every line of every document."""
-    return table(spark, sf, "documents").select(F.explode(F.split("text", "\n")).alias("value"))
+    return documents(spark, sf).select(F.explode(F.split("text", "\n")).alias("value"))
 
 
 LINES_SQL = "lines AS (SELECT unnest(string_split(text, chr(10))) AS value FROM documents)"

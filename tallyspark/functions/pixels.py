@@ -24,6 +24,7 @@ COLOR_NAMES = [
     "Orange", "Orange", "Pink",
     "Yellow", "Yellow", "White",
 ]
+PIXEL_COLORS = sorted({*COLOR_NAMES, NO_COLOR})
 
 
 def pixel_hex(data, index, channels) -> Column:
@@ -32,23 +33,44 @@ def pixel_hex(data, index, channels) -> Column:
     return F.hex(F.substring(_col(data), index * channels + F.lit(1), channels))
 
 
-def _level(value: Column) -> Column:
-    return F.when(value < LOW_BELOW, 0).when(value < MIDDLE_BELOW, 1).otherwise(2)
+def _color_number(red, green, blue, alpha, byte) -> Column:
+    """Index into ``PIXEL_COLORS`` of a pixel; ``byte`` makes a value that the
+    channels can be compared with."""
+
+    def level(channel: Column) -> Column:
+        return F.when(channel < byte(LOW_BELOW), 0).when(channel < byte(MIDDLE_BELOW), 1).otherwise(2)
+
+    names = F.array(*[F.lit(PIXEL_COLORS.index(n)) for n in COLOR_NAMES])
+    named = F.element_at(names, level(red) * 9 + level(green) * 3 + level(blue) + 1)
+    return F.when(alpha >= byte(OPAQUE_FROM), named).otherwise(F.lit(PIXEL_COLORS.index(NO_COLOR)))
+
+
+def color_number(data, index) -> Column:
+    """Color index of pixel ``index`` (from 0) of blue-green-red-alpha bytes.
+
+    Single bytes are compared as they are; no text is made per pixel.
+    """
+
+    def channel(place: int) -> Column:
+        return F.substring(_col(data), index * 4 + F.lit(place), F.lit(1))
+
+    return _color_number(channel(3), channel(2), channel(1), channel(4), lambda v: F.lit(bytes([v])))
+
+
+def color_of_number(number) -> Column:
+    return F.element_at(F.array(*[F.lit(n) for n in PIXEL_COLORS]), _col(number) + 1)
 
 
 def color_name(pixel) -> Column:
     """Basic color of a pixel given as hex text in blue-green-red-alpha order.
 
-    Less than half opaque, malformed and NULL pixels are ``"None"``. The pixel
-    is converted once to a number; channels are cut out by bit operations.
+    Less than half opaque, malformed and NULL pixels are ``"None"``. Hex digits
+    of one case sort like the numbers they stand for.
     """
-    pixel = _col(pixel)
-    bits = F.conv(F.substring(pixel, 1, 8), 16, 10).cast("bigint")
-    blue = F.shiftright(bits, 24).bitwiseAND(F.lit(255))
-    green = F.shiftright(bits, 16).bitwiseAND(F.lit(255))
-    red = F.shiftright(bits, 8).bitwiseAND(F.lit(255))
-    alpha = bits.bitwiseAND(F.lit(255))
-    names = F.array(*[F.lit(n) for n in COLOR_NAMES])
-    named = F.element_at(names, _level(red) * 9 + _level(green) * 3 + _level(blue) + 1)
-    well_formed = pixel.rlike("^[0-9a-fA-F]{8}")
-    return F.when(well_formed & (alpha >= OPAQUE_FROM), named).otherwise(F.lit(NO_COLOR))
+    text = F.upper(_col(pixel))
+
+    def channel(place: int) -> Column:
+        return F.substring(text, 2 * place - 1, 2)
+
+    number = _color_number(channel(3), channel(2), channel(1), channel(4), lambda v: F.lit(f"{v:02X}"))
+    return F.when(text.rlike("^[0-9A-F]{8}"), color_of_number(number)).otherwise(F.lit(NO_COLOR))

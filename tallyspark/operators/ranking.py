@@ -26,7 +26,8 @@ def positions(df: DataFrame, groups: list[str], level: Column, order: list[Colum
     sort value or a coarse step of it); ``order`` is the order within a level.
     A window over a whole group would sort a hot group in one task. Instead
     rows are numbered within (group, level), and the number of rows on earlier
-    levels is added from a small table with one row per group and level.
+    levels is added from a small table with one row per group and level. The
+    input is computed twice, so give it a scan or a written table.
     """
     leveled = df.withColumn("__level", level)
     per_level = leveled.groupBy(*groups, "__level").agg(F.count(F.lit(1)).alias("__rows"))

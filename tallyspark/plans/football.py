@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.numeric import exact_mean, rounded, signed_text
-from tallyspark.operators.ranking import positions, top_n
+from tallyspark.operators.ranking import top_n
 
 # Event names and tags of the event log.
 SAVE_ATTEMPT = "Save attempt"
@@ -105,10 +105,12 @@ def _table_columns():
 def league_tables(seasons: DataFrame) -> DataFrame:
     """League table of every league and season.
 
-    Classified by points, goal difference, goals scored, then team name.
+    Classified by points, goal difference, goals scored, then team name. A
+    window sees one row per team of a league: matches are added up before.
     """
-    order = [F.desc(_goal_difference()), F.desc("goalsScored"), F.asc("team")]
-    ranked = positions(seasons, ["competition", "season"], -F.col("points"), order, "Pos")
+    order = [F.desc("points"), F.desc(_goal_difference()), F.desc("goalsScored"), F.asc("team")]
+    window = Window.partitionBy("competition", "season").orderBy(*order)
+    ranked = seasons.withColumn("Pos", F.row_number().over(window))
     return ranked.select("competition", "season", "Pos", F.col("team").alias("Team"), *_table_columns())
 
 

@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.pixels import NO_COLOR, color_name, pixel_hex
+from tallyspark.functions.pixels import (
+    NO_COLOR,
+    PIXEL_COLORS,
+    color_number,
+    color_of_number,
+    pixel_hex,
+)
 from tallyspark.operators.ranking import share_of_total, top_n, top_names
 from tallyspark.sources.readers import file_stem
 
@@ -18,35 +24,35 @@ def image_key(images: DataFrame, origin: str = "origin", name: str = "image") ->
     return images.withColumn(name, file_stem(origin))
 
 
-def pixels(images: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per pixel: keys, mode, position from 0, and the pixel as hex text.
+def _positions(images: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per pixel position. Positions are exploded, not pixels: the bytes
+    are cut out in the same generated loop, and no array of texts is built."""
+    count = F.floor(F.try_divide(F.octet_length("data"), "nChannels")).cast("int")
+    places = F.when(count > 0, F.sequence(F.lit(0), count - 1))
+    return images.select(*keys, "mode", "nChannels", "data", F.explode(places).alias("position"))
 
-    Positions are exploded, not pixel strings, and the bytes are cut out in the
-    same generated loop: no array of strings is built per image.
-    """
-    channels = F.col("nChannels")
-    count = F.floor(F.octet_length("data") / channels).cast("int")
-    last = F.greatest(count, F.lit(1)) - F.lit(1)
-    return (
-        images.filter(channels > 0)
-        .select(*keys, "mode", "nChannels", "data", count.alias("n"), F.explode(F.sequence(F.lit(0), last)).alias("position"))
-        .filter(F.col("position") < F.col("n"))
-        .select(*keys, "mode", "position", pixel_hex("data", F.col("position"), channels).alias("pixel"))
-    )
+
+def pixels(images: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per pixel: keys, mode, position from 0, and the pixel as hex text."""
+    pixel = pixel_hex("data", F.col("position"), F.col("nChannels"))
+    return _positions(images, keys).select(*keys, "mode", "position", pixel.alias("pixel"))
 
 
 def color_counts(images: DataFrame, keys: list[str]) -> DataFrame:
     """Pixels per image and color name.
 
-    Pixels are named before they are counted: an image has only a handful of
-    names, so its partial counts are a few rows whatever its size.
+    Pixels are classified before they are counted: an image has only a handful
+    of colors, so its partial counts are a few rows whatever its size.
     """
-    named = F.when(F.col("mode") == BGRA_MODE, color_name("pixel")).otherwise(F.lit(NO_COLOR))
-    return (
-        pixels(images, keys)
-        .groupBy(*keys, named.alias("color"))
+    readable = (F.col("mode") == BGRA_MODE) & (F.col("nChannels") == 4)
+    unknown = F.lit(PIXEL_COLORS.index(NO_COLOR))
+    number = F.when(readable, color_number("data", F.col("position"))).otherwise(unknown)
+    counted = (
+        _positions(images, keys)
+        .groupBy(*keys, number.alias("number"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    return counted.select(*keys, color_of_number("number").alias("color"), "n")
 
 
 def is_colored() -> Column:

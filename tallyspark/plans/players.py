@@ -52,26 +52,28 @@ def stints(matches: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         F.struct(F.lit(-1).alias("sign"), F.col("awayTeamData").alias("data")),
     )
     team = matches.select("matchId", "competition", "season", *keep, F.inline(sides))
-    changes = F.filter(
-        F.array(*[F.col(f"data.{s}") for s in SUBSTITUTIONS]),
-        lambda s: s.isNotNull() & s["playerIn"].isNotNull() & s["minute"].isNotNull(),
-    )
-    team = team.withColumn("changes", changes)
-
-    def leaves(player: Column) -> Column:
-        own = F.filter(F.col("changes"), lambda s: s["playerOut"] == player)
-        return F.array_min(F.transform(own, lambda s: s["minute"]))
-
-    def stint(player: Column, enter: Column) -> Column:
-        return F.struct(player.alias("playerId"), enter.alias("enter"), leaves(player).alias("exit"))
-
-    on_field = F.concat(
-        F.transform(F.coalesce("data.lineup", F.array().cast("array<int>")), lambda p: stint(p, F.lit(0))),
-        F.transform("changes", lambda s: stint(s["playerIn"], s["minute"])),
-    )
-    return team.select(
-        "matchId", "competition", "season", *keep, F.col("data.team").alias("team"), "sign", F.inline(on_field)
-    )
+    changes = [F.col(f"data.{s}") for s in SUBSTITUTIONS]
+    starters = F.coalesce("data.lineup", F.array().cast("array<int>"))
+    on_field = F.concat(starters, F.array(*[c["playerIn"] for c in changes]))
+    unfolded = team.select("*", F.size(starters).alias("starters"), F.posexplode(on_field).alias("place", "playerId"))
+
+    # Places after the starters belong to the substitutes, in order.
+    nth = F.col("place") - F.col("starters")
+    enter = F.when(nth < 0, 0)
+    for number, change in enumerate(changes):
+        enter = enter.when(nth == number, change["minute"])
+    leaves = F.least(*[F.when(c["playerOut"] == F.col("playerId"), c["minute"]) for c in changes])
+    return unfolded.select(
+        "matchId",
+        "competition",
+        "season",
+        *keep,
+        F.col("data.team").alias("team"),
+        "sign",
+        "playerId",
+        enter.alias("enter"),
+        leaves.alias("exit"),
+    ).filter(F.col("playerId").isNotNull() & F.col("enter").isNotNull())
 
 
 def minutes_played(matches: DataFrame, events: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyspark import bindings as b
+from tallyspark.functions.pixels import color_name
 from tallyspark.plans import images as im
 from tallyspark.registry.core import half_up, query
 
@@ -52,8 +53,8 @@ def pixel_values(spark, sf):
     sql=f"{IMAGES} SELECT color, count(*) AS n FROM named GROUP BY color",
 )
 def color_names(spark, sf):
-    counts = im.color_counts(_scan(spark, sf), ["image"])
-    return counts.groupBy("color").agg(F.sum("n").alias("n"))
+    named = im.pixels(_scan(spark, sf), ["image"]).select(color_name("pixel").alias("color"))
+    return named.groupBy("color").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("color_counts", "IM2 JN3", sql=f"{IMAGES} SELECT * FROM color_counts")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyspark import bindings as b
 from tallyspark.functions import numeric, temporal
+from tallyspark.operators.partitioning import spread
 from tallyspark.operators.profile import column_profile
 from tallyspark.registry.core import half_up, query
 from tallyspark.tables import table
@@ -413,7 +414,8 @@ def seeded_column(spark, sf):
 )
 def fifth_roots(spark, sf):
     root = numeric.rounded(numeric.fifth_root("o_totalprice"), 6)
-    return table(spark, sf, "orders").select("o_orderkey", root.alias("root"))
+    orders = spread(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey")
+    return orders.select("o_orderkey", root.alias("root"))
 
 
 @query(

@@ -22,7 +22,7 @@ WORDS_SQL = {
 
 
 def _words(spark, sf, rule):
-    return wd.words(table(spark, sf, "documents"), "text", rule)
+    return wd.words(b.documents(spark, sf), "text", rule)
 
 
 def _register(rule: str, item: str) -> None:
