@@ -388,7 +388,7 @@ def energy_minutes(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as minutes with measurements, some of them missing."""
     hour = (F.col("l_linenumber") * 3 + F.col("l_quantity").cast("int")) % 24
     day = F.unix_timestamp(F.col("l_shipdate").cast("timestamp"))
-    return table(spark, sf, "lineitem").select(
+    return spread(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey", "l_suppkey").select(
         F.concat_ws(
             "/", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"
         ).alias("row_key"),
@@ -405,7 +405,8 @@ def energy_minutes(spark: SparkSession, sf: str) -> DataFrame:
 
 def line_points(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as points: price over quantity."""
-    return table(spark, sf, "lineitem").select(
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+    return spread(lines, "l_orderkey", "l_partkey").select(
         F.col("l_quantity").alias("X"), F.col("l_extendedprice").alias("label"), F.col("l_orderkey").alias("key")
     )
 

@@ -27,6 +27,26 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Wanted size of a shuffle partition, and most partitions per core.
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+SHUFFLE_PARTITIONS_PER_CORE = 32
+
+
+def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
+    """Shuffle partitions for an input: one per core at least, about 128 MB each,
+    but not more than the driver can schedule well."""
+    wanted = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
+    return max(cores, min(wanted, SHUFFLE_PARTITIONS_PER_CORE * cores))
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """Set the initial number of shuffle partitions; adaptive execution merges
+    those that turn out small, but it cannot make more of them."""
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions_for(input_bytes, cores)))
+    return spark
+
+
 def build_session(
     app: str = "tallyspark",
     master: str | None = None,

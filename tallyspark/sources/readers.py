@@ -68,14 +68,11 @@ def read_json_lines(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """Columns origin, height, width, nChannels, mode, data of an image folder."""
-    return (
-        spark.read.format("image")
-        .option("dropInvalid", "true")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("image.*")
-    )
+    """Columns origin, height, width, nChannels, mode, data of an image folder.
+
+    A file that is no image keeps a row, with sizes of -1 and no data.
+    """
+    return spark.read.format("image").option("recursiveFileLookup", "true").load(path).select("image.*")
 
 
 def stream_csv(

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import plan, rows
+from tallyspark.session import shuffle_partitions_for
 from tallyspark.operators import joins, keyed, partitioning, profile, ranking, sampling
 
 BASE = [("a", 49.0, None), ("b", 58.0, None), ("c", 48.0, None), ("x", 31.0, None), ("y", 31.0, None), ("z", 31.0, None)]
@@ -158,6 +159,13 @@ def test_column_profile_counts_null_and_distinct(frame):
     assert rows(profile.column_profile(df)) == [("d", "double", 3, 0), ("k", "int", 0, 2), ("s", "string", 1, 1)]
 
 
+def test_shuffle_partitions_follow_the_input():
+    gigabyte = 1 << 30
+    assert shuffle_partitions_for(0, 8) == 8
+    assert shuffle_partitions_for(16 * gigabyte, 8) == 128
+    assert shuffle_partitions_for(100_000 * gigabyte, 4000) == 32 * 4000
+
+
 def test_spread_leaves_wide_input_alone(spark):
     wide, narrow = spark.range(0, 100, 1, 64), spark.range(0, 100, 1, 1)
     assert partitioning.spread(wide, "id") is wide

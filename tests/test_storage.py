@@ -152,6 +152,14 @@ def test_image_scan(gallery):
     assert rows(fields) == [(n, 2, 3, 4, 24, 24) for n in ("1F1", "1F2", "1F3", "1F4")]
 
 
+def test_a_broken_image_keeps_its_row_but_has_no_pixels(spark, tmp_path):
+    (tmp_path / "good.png").write_bytes(png(1, 1, [RED]))
+    (tmp_path / "bad.png").write_bytes(b"no image")
+    scanned = images.image_key(readers.read_images(spark, str(tmp_path)))
+    assert rows(scanned.select("image", "height")) == [("bad", -1), ("good", 1)]
+    assert rows(images.color_counts(scanned, ["image"])) == [("good", "Red", 1)]
+
+
 def test_image_questions(gallery):
     scanned, meta = gallery
     keys = ["hexcode", "annotation", "group"]
