@@ -164,7 +164,7 @@ MATCH_SQL = f"""match_list AS (
 def match_events(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as events of their order's match."""
     matches = table(spark, sf, "orders").select(*_match_columns())
-    lines = table(spark, sf, "lineitem")
+    lines = spread(table(spark, sf, "lineitem"), "l_orderkey")
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     shot = (flag == "A") & (status == "O") & (F.col("l_tax") > 0.05)
     event = F.when(flag == "R", "Save attempt").when(shot, "Shot").otherwise("Pass")

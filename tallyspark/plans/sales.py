@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.numeric import exact, exact_sum, rounded
+from tallyspark.functions.numeric import exact_sum, exact_total, rounded, units
 
 
 def daily_totals(
     sales: DataFrame, day: str = "orderDate", price: str = "productPrice", count: str = "productCount"
 ) -> DataFrame:
     """Total price and item count per day; works on batches and streams alike."""
-    sale = exact(price) * F.col(count).cast("decimal(10,0)")
+    cents = units(price).cast("bigint") * F.col(count).cast("bigint")
     return sales.groupBy(day).agg(
-        F.sum(sale).cast("double").alias("totalPrice"),
+        (F.sum(cents.cast("decimal(20,0)")).cast("double") / 100).alias("totalPrice"),
         F.sum(F.col(count).cast("bigint")).alias("totalCount"),
     )
 
@@ -35,8 +35,8 @@ def publisher_years(
         sales.filter(F.col(year).between(first_year, last_year))
         .groupBy(publisher, year)
         .agg(
-            F.sum(exact(region)).alias("na_total"),
-            F.sum(exact(world)).alias("global_total"),
+            exact_total(region).alias("na_total"),
+            exact_total(world).alias("global_total"),
             F.count_if(F.col(region).isNull()).alias("missing_titles"),
         )
     )

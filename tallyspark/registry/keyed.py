@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyspark.functions.numeric import fahrenheit_to_celsius, rounded
+from tallyspark.functions.numeric import exact_sum, fahrenheit_to_celsius, rounded
 from tallyspark.operators import keyed
 from tallyspark.registry.core import query
 from tallyspark.session import fresh_dir
@@ -35,7 +35,7 @@ def _updates(spark, sf):
     totals = (
         table(spark, sf, "orders")
         .groupBy(F.col("o_custkey").alias("key"))
-        .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("balance"))
+        .agg(exact_sum("o_totalprice").alias("balance"))
         .select("key", F.lit("updated").alias("name"), "balance")
     )
     return totals.unionByName(_new_accounts(spark, sf))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark import bindings as b
+from tallyspark.functions.numeric import exact_total
 from tallyspark.functions.words import not_blank
 from tallyspark.plans import schema_change as change
 from tallyspark.plans.images import image_key
@@ -60,7 +61,7 @@ def literal_rows_with_schema(spark, sf):
     totals = (
         table(spark, sf, "orders")
         .groupBy(F.substring("o_orderpriority", 1, 1).alias("rank"))
-        .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("t"))
+        .agg(exact_total("o_totalprice").alias("t"))
     )
     joined = totals.join(weights, "rank").groupBy("weight").agg(F.sum("t").cast("double").alias("total"))
     return joined

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallyspark.functions import numeric, pixels, temporal, words
@@ -53,6 +54,15 @@ def test_exact_aggregates_skip_null_and_ignore_order(frame):
     assert tuple(empty) == (None, None)
 
 
+def test_exact_sum_rounds_halves_away_from_zero_and_rejects_what_does_not_fit(spark):
+    df = spark.createDataFrame([(-0.125,), (0.125,), (-0.125,)], "x double")
+    assert df.agg(numeric.exact_sum("x")).first()[0] == -0.13
+    assert df.agg(numeric.exact_sum("x", 3)).first()[0] == -0.125
+    for bad in (1e17, float("nan"), float("inf")):
+        with pytest.raises(PySparkException, match="too large"):
+            spark.createDataFrame([(bad,)], "x double").agg(numeric.exact_sum("x")).collect()
+
+
 def test_cyclic_distance(spark):
     df = spark.createDataFrame([(1, 12), (1, 2), (5, 7), (12, 2), (6, 12)], "a int, b int")
     assert one(df, numeric.cyclic_distance("a", "b", 12)) == [1, 1, 2, 2, 6]
