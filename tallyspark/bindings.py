@@ -164,7 +164,7 @@ MATCH_SQL = f"""match_list AS (
 def match_events(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as events of their order's match."""
     matches = table(spark, sf, "orders").select(*_match_columns())
-    lines = spread(table(spark, sf, "lineitem"), "l_orderkey")
+    lines = spread(table(spark, sf, "lineitem"))
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     shot = (flag == "A") & (status == "O") & (F.col("l_tax") > 0.05)
     event = F.when(flag == "R", "Save attempt").when(shot, "Shot").otherwise("Pass")
@@ -237,7 +237,7 @@ pass_ratios AS (
 
 def matches(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as nested match records with lineups, benches and substitutions."""
-    orders = spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey")
+    orders = spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
     flat = orders.select(*_match_columns(), F.col("o_orderdate").cast("date").alias("date"))
 
     def team_data(team: str, number: str, shift: int) -> Column:
@@ -342,7 +342,7 @@ def players(spark: SparkSession, sf: str) -> DataFrame:
 def images(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as images: four pixels from the digest of every word."""
     digests = F.transform(F.split("text", " "), lambda w: F.md5(w.cast("binary")))
-    documents = spread(table(spark, sf, "documents").select("doc_id", "source", "text"), "doc_id")
+    documents = spread(table(spark, sf, "documents").select("doc_id", "source", "text"))
     return documents.select(
         F.concat(F.lit("file:/images/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".png")).alias("origin"),
         F.size(F.split("text", " ")).alias("height"),
@@ -388,7 +388,7 @@ def energy_minutes(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as minutes with measurements, some of them missing."""
     hour = (F.col("l_linenumber") * 3 + F.col("l_quantity").cast("int")) % 24
     day = F.unix_timestamp(F.col("l_shipdate").cast("timestamp"))
-    return spread(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey", "l_suppkey").select(
+    return spread(table(spark, sf, "lineitem")).select(
         F.concat_ws(
             "/", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"
         ).alias("row_key"),
@@ -405,8 +405,8 @@ def energy_minutes(spark: SparkSession, sf: str) -> DataFrame:
 
 def line_points(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as points: price over quantity."""
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
-    return spread(lines, "l_orderkey", "l_partkey").select(
+    lines = spread(table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice"))
+    return lines.select(
         F.col("l_quantity").alias("X"), F.col("l_extendedprice").alias("label"), F.col("l_orderkey").alias("key")
     )
 
@@ -436,7 +436,7 @@ CLASS_SQL = """predictions AS (
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     """Whole texts, spread over the cores: splitting words is costly per row."""
-    return spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id").select("text")
+    return spread(table(spark, sf, "documents").select("text"))
 
 
 def lines_of_text(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(scan: DataFrame, *keys: str) -> DataFrame:
+def spread(scan: DataFrame) -> DataFrame:
     """Hand a small scan out to all cores before costly work per row.
 
     A file with a single row group is read by one task, and everything up to
-    the next shuffle runs there too. If a plain scan has fewer partitions than
-    the session has cores, its rows are repartitioned by keys with many values;
-    a large input has more splits than cores and is left alone.
+    the next shuffle runs there too. If a plain scan has less than half as many
+    partitions as the session has cores, its rows are dealt out evenly (not by
+    a key, which could be hot); a large input has more splits and is left alone.
     """
     if scan.isStreaming:
         return scan
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *keys)
+    return scan if 2 * scan.rdd.getNumPartitions() > cores else scan.repartition(cores)

@@ -414,7 +414,7 @@ def seeded_column(spark, sf):
 )
 def fifth_roots(spark, sf):
     root = numeric.rounded(numeric.fifth_root("o_totalprice"), 6)
-    orders = spread(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey")
+    orders = spread(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"))
     return orders.select("o_orderkey", root.alias("root"))
 
 

@@ -168,5 +168,5 @@ def test_shuffle_partitions_follow_the_input():
 
 def test_spread_leaves_wide_input_alone(spark):
     wide, narrow = spark.range(0, 100, 1, 64), spark.range(0, 100, 1, 1)
-    assert partitioning.spread(wide, "id") is wide
-    assert partitioning.spread(narrow, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert partitioning.spread(wide) is wide
+    assert partitioning.spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
