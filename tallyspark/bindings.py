@@ -389,9 +389,7 @@ def energy_minutes(spark: SparkSession, sf: str) -> DataFrame:
     hour = (F.col("l_linenumber") * 3 + F.col("l_quantity").cast("int")) % 24
     day = F.unix_timestamp(F.col("l_shipdate").cast("timestamp"))
     return spread(table(spark, sf, "lineitem")).select(
-        F.concat_ws(
-            "/", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"
-        ).alias("row_key"),
+        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("row_key"),
         (day + hour * 3600).alias("time"),
         F.col("l_quantity").alias("temperature"),
         (F.col("l_discount") * 100).alias("humidity"),

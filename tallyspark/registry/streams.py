@@ -21,7 +21,8 @@ SALES_SCHEMA = "orderId string, orderDate string, productPrice double, productCo
 
 def _stream(spark, sf):
     schema = table(spark, sf, "events").schema
-    return b.as_sales(readers.stream_parquet(spark, sf, schema, "events.parquet"))
+    # A glob matches the table as one file and as a folder of files alike.
+    return b.as_sales(readers.stream_parquet(spark, f"{sf}/{{events}}.parquet", schema))
 
 
 @query("stream_daily_totals", "SM1", sql=f"WITH {DAILY_SALES_SQL} SELECT * FROM daily_sales")

@@ -89,13 +89,9 @@ def stream_csv(
     return reader.csv(path)
 
 
-def stream_parquet(
-    spark: SparkSession, path: str, schema: StructType, name_pattern: str | None = None
-) -> DataFrame:
-    reader = spark.readStream.schema(schema)
-    if name_pattern:
-        reader = reader.option("pathGlobFilter", name_pattern)
-    return reader.parquet(path)
+def stream_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Unbounded table over the Parquet files of a folder or glob."""
+    return spark.readStream.schema(schema).parquet(path)
 
 
 def named_table(spark: SparkSession, name: str) -> DataFrame:
