@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontamination
+from tallyspark.llm import decontamination, pieces
 from tallyspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +62,15 @@ def op10_decontamination(spark, sf_dir):
         decontamination.items_digest("items").alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query()
+def op2_pieces(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"), keep_text=False)
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
