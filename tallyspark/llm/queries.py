@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontamination, pieces
+from tallyspark.llm import decontamination, near_duplicates, pieces
 from tallyspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,9 @@ def op2_pieces(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op9_simhash_golay(spark, sf_dir):
+    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.withColumn("fingerprint", near_duplicates.hex_of("fingerprint"))
