@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontamination, near_duplicates, pieces
-from tallyspark.llm.common import table
+from tallyspark.llm import decontamination, language_id, near_duplicates, pieces
+from tallyspark.llm.common import crc_of_id, in_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -80,3 +80,11 @@ def op2_pieces(spark, sf_dir):
 def op9_simhash_golay(spark, sf_dir):
     found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
     return found.withColumn("fingerprint", near_duplicates.hex_of("fingerprint"))
+
+
+@query()
+def op3_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    filters = language_id.learn(docs, F.coalesce(crc_of_id("doc_id") % 4 != 2, F.lit(False)))
+    found = language_id.identify(docs.select("doc_id", "text"), filters, keep_text=False)
+    return found.withColumn("held_out", in_remainder("doc_id", 4, 2))
