@@ -181,7 +181,7 @@ def identify(docs: DataFrame, filters: Filters, text: str = "text", keep_text: b
     kept = [c for c in base.columns if keep_text or c != text]
     place, places = docs.columns.index(text), [docs.columns.index(c) for c in kept]
     schema = base.select(*kept).schema
-    for name, kind in zip(RESULTS, ("string", "double", "double", "bigint"), strict=True):
+    for name, kind in zip(RESULTS, ("string", "double", "double", "long"), strict=True):
         schema = schema.add(name, kind)
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
