@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontamination, language_id, near_duplicates, pieces
+from tallyspark.llm import decontamination, language_id, near_duplicates, pieces, toxicity
 from tallyspark.llm.common import crc_of_id, in_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,11 @@ def op3_language_id(spark, sf_dir):
     filters = language_id.learn(docs, F.coalesce(crc_of_id("doc_id") % 4 != 2, F.lit(False)))
     found = language_id.identify(docs.select("doc_id", "text"), filters, keep_text=False)
     return found.withColumn("held_out", in_remainder("doc_id", 4, 2))
+
+
+@query()
+def op6_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    allowed = F.coalesce(crc_of_id("doc_id") % 3 != 1, F.lit(False))
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), allowed)
+    return toxicity.score(docs, model, keep_text=False).withColumn("held_out", in_remainder("doc_id", 3, 1))
