@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontamination, language_id, near_duplicates, pieces, toxicity
+from tallyspark.llm import decontamination, language_id, near_duplicates, pieces, sharding, toxicity
 from tallyspark.llm.common import crc_of_id, in_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,8 @@ def op6_toxicity(spark, sf_dir):
     allowed = F.coalesce(crc_of_id("doc_id") % 3 != 1, F.lit(False))
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"), allowed)
     return toxicity.score(docs, model, keep_text=False).withColumn("held_out", in_remainder("doc_id", 3, 1))
+
+
+@query()
+def op8_hilbert_sharding(spark, sf_dir):
+    return sharding.assign(table(spark, sf_dir, "documents"))
