@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontamination, language_id, near_duplicates, pieces, sharding, toxicity
+from tallyspark.llm import decontamination, language_id, near_duplicates, pieces, sharding, toxicity, url_filter
 from tallyspark.llm.common import crc_of_id, in_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,19 @@ def op6_toxicity(spark, sf_dir):
 @query()
 def op8_hilbert_sharding(spark, sf_dir):
     return sharding.assign(table(spark, sf_dir, "documents"))
+
+
+# The rules of the url filter.
+URL_RULES = [
+    url_filter.rule("allow", "com/"),
+    url_filter.rule("block", "example.com/en/"),
+    url_filter.rule("allow", "www.example.com/en/"),
+    url_filter.rule("block", "net/es/"),
+    url_filter.rule("block", "net/fr/"),
+]
+
+
+@query()
+def op4_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, URL_RULES).drop("url")
