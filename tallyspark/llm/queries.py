@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontamination, language_id, near_duplicates, pieces, sharding, toxicity, url_filter
+from tallyspark.llm import decontamination, language_id, near_duplicates, pieces, sharding, top_k, toxicity, url_filter
 from tallyspark.llm.common import crc_of_id, in_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,22 @@ URL_RULES = [
 def op4_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(pages, URL_RULES).drop("url")
+
+
+@query(
+    """
+    WITH v AS (
+        SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS q
+        FROM embeddings
+        WHERE embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    p AS (
+        SELECT a.vec_id AS query_id, a.q AS qv, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+        FROM v a JOIN v b ON a.vec_id <> b.vec_id OR a.q <> b.q WHERE a.vec_id % 100 = 0),
+    r AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id, qv ORDER BY score DESC, vec_id NULLS LAST) AS n FROM p)
+    SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10
+    """
+)
+def op7_top_k(spark, sf_dir):
+    return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
