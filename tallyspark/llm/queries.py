@@ -8,8 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontamination, language_id, near_duplicates, pieces, sharding, top_k, toxicity, url_filter
-from tallyspark.llm.common import crc_of_id, in_remainder, table
+from tallyspark.llm import (
+    decontamination,
+    fixity,
+    importance,
+    language_id,
+    near_duplicates,
+    pieces,
+    sharding,
+    top_k,
+    toxicity,
+    url_filter,
+)
+from tallyspark.llm.common import crc_of_id, in_remainder, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -136,3 +147,69 @@ def op4_url_filter(spark, sf_dir):
 )
 def op7_top_k(spark, sf_dir):
     return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query(
+    r"""
+    WITH r AS (
+        SELECT page_id, url, page_id // 1000 AS file,
+            concat('WARC/1.0', chr(13), chr(10), 'WARC-Type: response', chr(13), chr(10), 'WARC-Record-ID: <urn:page:',
+                page_id, '>', chr(13), chr(10), 'WARC-Target-URI: ', coalesce(url, ''), chr(13), chr(10),
+                'Content-Type: text/html', chr(13), chr(10), 'Content-Length: ', strlen(coalesce(html, '')),
+                chr(13), chr(10), chr(13), chr(10), coalesce(html, ''), chr(13), chr(10), chr(13), chr(10)) AS record
+        FROM pages),
+    a AS (
+        SELECT *, strlen(record) AS n, CASE page_id % 97 WHEN 0 THEN 'w' || substr(record, 2)
+            WHEN 1 THEN left(record, CAST(length(record) // 2 AS BIGINT)) ELSE record END AS copy FROM r),
+    o AS (
+        SELECT *, CAST(coalesce(sum(n) OVER (PARTITION BY file ORDER BY page_id, url
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM a)
+    SELECT file, start AS "offset", page_id, CASE WHEN page_id % 97 < 2 THEN 'changed' ELSE 'missing' END AS status,
+        n AS primary_length, CASE WHEN page_id % 97 < 2 THEN strlen(copy) END AS replica_length,
+        sha256(record) AS primary_digest, CASE WHEN page_id % 97 < 2 THEN sha256(copy) END AS replica_digest
+    FROM o WHERE page_id % 97 < 4
+    UNION ALL
+    SELECT file, start + 1, page_id, 'extra', NULL, strlen(copy), NULL, sha256(copy) FROM o WHERE page_id % 97 = 3
+    """
+)
+def op1_warc_fixity(spark, sf_dir):
+    """Audit of the archive of all pages against a replica with known damage:
+    by the remainder of the page id a letter changed, a record cut to half,
+    lost, or shifted by one byte."""
+    pages = table(spark, sf_dir, "pages")
+    record = fixity.response_record(F.col("url"), F.col("html"), F.col("page_id"))
+    fault = F.col("page_id") % 97
+    damaged = (
+        F.when(fault == 0, F.concat(F.lit("w"), F.expr("substring(record, 2)")))
+        .when(fault == 1, F.expr("left(record, CAST(floor(length(record) / 2) AS INT))"))
+        .otherwise(F.col("record"))
+    )
+    # Texts are hashed here, once for both replicas; from here on rows are slim.
+    slim = (
+        pages.select("page_id", "url", record.alias("record"))
+        .withColumn("copy", damaged)
+        .select(
+            "page_id",
+            "url",
+            F.floor(F.col("page_id") / fixity.RECORDS_PER_FILE).alias("file"),
+            F.octet_length("record").cast("bigint").alias("length"),
+            F.sha2(F.col("record").cast("binary"), 256).alias("digest"),
+            F.octet_length("copy").cast("bigint").alias("copy_length"),
+            F.sha2(F.col("copy").cast("binary"), 256).alias("copy_digest"),
+        )
+    )
+    archive = written(fixity.placed(slim, "file", ["page_id", "url"]), "archive")
+    replica = archive.filter(F.coalesce(fault != 2, F.lit(True))).select(
+        "file",
+        (F.col("offset") + F.when(fault == 3, 1).otherwise(0)).alias("offset"),
+        F.col("copy_length").alias("length"),
+        F.col("copy_digest").alias("digest"),
+        "page_id",
+    )
+    return fixity.audit(archive, replica, "page_id")
+
+
+@query()
+def op5_importance(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance.resample(docs, table(spark, sf_dir, "labels"))
