@@ -2,10 +2,37 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyspark.llm import decontamination
-from tallyspark.llm.common import table, written
+from tallyspark.llm import decontamination, language_id, near_duplicates, pieces, toxicity
+from tallyspark.llm.common import crc_of_id, table, written
+
+
+def _judged(docs: DataFrame) -> DataFrame:
+    """Ids and texts with the whole row packed beside them, so that no column clashes."""
+    return docs.select(F.struct(*docs.columns).alias("__row"), F.col("text").alias("__text"))
+
+
+def language_identification(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with letters that are in one of the learned languages."""
+    filters = language_id.learn(docs, F.coalesce(crc_of_id("doc_id") % 4 != 2, F.lit(False)))
+    found = language_id.identify(_judged(docs), filters, "__text", keep_text=False)
+    foreign = language_id.foreign(F.col("lang_pred"), F.col("coverage"), F.col("n_grams"))
+    return found.filter(~foreign).select("__row.*")
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted to be toxic."""
+    allowed = F.coalesce(crc_of_id("doc_id") % 3 != 1, F.lit(False))
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), allowed)
+    return toxicity.score(_judged(docs), model, "__text", keep_text=False).filter("predicted = 0").select("__row.*")
+
+
+def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return near_duplicates.without_near_copies(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,8 +40,17 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontamination.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
+def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their token ids and the text that these decode to."""
+    return pieces.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 STAGES = [
+    ("language identification", language_identification),
+    ("toxicity", toxicity_filter),
+    ("SimHash near-deduplication", near_deduplication),
     ("benchmark decontamination", benchmark_decontamination),
+    ("SentencePiece encoding", piece_encoding),
 ]
 
 # Trained models and the tokenizer can't be said in SQL; see tests/llm.

@@ -138,19 +138,32 @@ def golay_keys(values: np.ndarray, code: Golay) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate(keys), np.concatenate(owners)
 
 
-def _keyed(nodes: DataFrame) -> DataFrame:
+def _keyed(nodes: DataFrame, words: list[str], keyed_by: list[str]) -> DataFrame:
+    """A row with the words of the fingerprint for every key of the keyed ones."""
+    names, places = nodes.columns, [nodes.columns.index(w) for w in words]
+
     def run(batches):
         code = Golay()
         for batch in batches:
-            values = batch.column(0).to_numpy(zero_copy_only=False)
-            keys, owners = golay_keys(values.view(np.uint64), code)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(values[owners])], names=["key", "node"])
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in places]
+            for number, name in enumerate(keyed_by):
+                values = batch.column(names.index(name)).to_numpy(zero_copy_only=False)
+                keys, owners = golay_keys(values.view(np.uint64), code)
+                keys |= number << 56
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys), *[pa.array(c[owners]) for c in columns]], names=["key", *words]
+                )
+
+    return nodes.mapInArrow(run, "key bigint, " + ", ".join(f"{w} bigint" for w in words))
+
 
-    return nodes.mapInArrow(run, "key bigint, node bigint")
+def _close(a: np.ndarray, b: np.ndarray, most_bits: int) -> np.ndarray:
+    """Whether fingerprints (last axis: their words) differ in few enough bits."""
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64) <= most_bits
 
 
 def reached_links(values: np.ndarray, most_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links among distinct fingerprints.
+    """A spanning forest of the links among fingerprints, as pairs of places.
 
     Each one is compared, when its turn comes, to those that no link has
     reached yet; so a dense group costs little more than its size.
@@ -161,54 +174,67 @@ def reached_links(values: np.ndarray, most_bits: int) -> tuple[np.ndarray, np.nd
         if not waiting:
             waiting, left = [left[0]], left[1:]
             continue
-        some = np.array(waiting[: max(1, CELLS // max(1, len(left)))])
+        some = np.array(waiting[: max(1, CELLS // max(1, values.shape[1] * len(left)))])
         waiting = waiting[len(some) :]
-        close = np.bitwise_count(values[some][:, None] ^ values[left][None, :]) <= most_bits
+        close = _close(values[some][:, None], values[left][None, :], most_bits)
         hit = close.any(axis=0)
         if hit.any():
-            a.append(values[some][close[:, hit].argmax(axis=0)])
-            b.append(values[left[hit]])
+            a.append(some[close[:, hit].argmax(axis=0)])
+            b.append(left[hit])
             waiting += left[hit].tolist()
             left = left[~hit]
-    none = np.zeros(0, np.uint64)
+    none = np.zeros(0, np.int64)
     return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
 
 
-def _links_of_runs(keys: np.ndarray, nodes: np.ndarray, most_bits: int):
-    """Links within runs of equal keys; rows are sorted by key and node."""
+def _links_of_runs(keys: np.ndarray, values: np.ndarray, most_bits: int) -> np.ndarray:
+    """Pairs of nodes (the first words) linked within runs of equal keys.
+
+    Rows are sorted by key and first word, which tells nodes apart.
+    """
+    nodes = values[:, 0]
     fresh = np.ones(len(keys), bool)
     fresh[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
-    keys, nodes = keys[fresh], nodes[fresh].view(np.uint64)
+    keys, values = keys[fresh], values[fresh]
+    nodes = values[:, 0]
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
     sizes = np.diff(np.append(starts, len(keys)))
     length = np.repeat(sizes, sizes)
-    out = []
+    found = [np.zeros((0, 2), np.uint64)]
     short = np.flatnonzero((length > 1) & (length <= SHORT))
-    k, v = keys[short], nodes[short]
-    for step in range(1, SHORT):
-        if len(k) <= step:
-            break
-        good = (k[step:] == k[:-step]) & (np.bitwise_count(v[step:] ^ v[:-step]) <= most_bits)
-        out.append((v[:-step][good], v[step:][good]))
+    for step in range(1, min(SHORT, len(short))):
+        first = short[: len(short) - step]
+        second = short[step:]
+        same = keys[first] == keys[second]
+        first, second = first[same], second[same]
+        good = _close(values[first], values[second], most_bits)
+        found.append(np.stack([nodes[first[good]], nodes[second[good]]], axis=1))
     for start, size in zip(starts[sizes > SHORT], sizes[sizes > SHORT], strict=True):
-        out.append(reached_links(nodes[start : start + size], most_bits))
-    a = np.concatenate([x for x, _ in out]) if out else np.zeros(0, np.uint64)
-    b = np.concatenate([y for _, y in out]) if out else np.zeros(0, np.uint64)
-    both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.uint64)
-    return both.view(np.int64)
+        a, b = reached_links(values[start : start + size], most_bits)
+        found.append(np.stack([nodes[start + a], nodes[start + b]], axis=1))
+    pairs = np.sort(np.concatenate(found), axis=1)
+    return np.unique(pairs, axis=0).view(np.int64) if len(pairs) else pairs.view(np.int64)
 
 
-def links(nodes: DataFrame, most_bits: int = MOST_BITS, chunk: int = CHUNK) -> DataFrame:
+def links(
+    nodes: DataFrame,
+    most_bits: int = MOST_BITS,
+    chunk: int = CHUNK,
+    words: tuple[str, ...] = ("node",),
+    keyed_by: tuple[str, ...] = ("node",),
+) -> DataFrame:
     """Links ``a``, ``b`` that connect what is linked among distinct fingerprints.
 
-    ``nodes`` has one column and should be a written table; it is read twice.
+    The fingerprint that counts is made of ``words``, the first of which tells
+    nodes apart; those that the keys come from are ``keyed_by``. If both are the
+    same single fingerprint, the result is complete up to ``MOST_BITS`` bits.
+    ``nodes`` should be a written table; it is read twice.
     """
-    if not 0 <= most_bits <= MOST_BITS:
-        raise ValueError(f"the keys are complete up to {MOST_BITS} bits")
-    keyed = _keyed(nodes)
+    words = list(words)
+    keyed = _keyed(nodes, words, list(keyed_by))
     # Keys with more rows than a chunk: first count coarse classes of keys, which
     # are so many that an ordinary class stays below the size of a chunk.
-    classes = max(64, -(-nodes.count() * 42 * 4 // chunk))
+    classes = max(64, -(-nodes.count() * len(keyed_by) * 42 * 4 // chunk))
     key_class = F.pmod(F.xxhash64("key"), F.lit(classes))
     heavy = keyed.groupBy(key_class.alias("class")).count().filter(F.col("count") > chunk)
     if heavy.isEmpty():
@@ -223,13 +249,13 @@ def links(nodes: DataFrame, most_bits: int = MOST_BITS, chunk: int = CHUNK) -> D
             .select("key", F.ceil(F.col("count") / chunk).cast("int").alias("chunks")),
             "hot-keys",
         )
-        own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+        own = F.pmod(F.xxhash64(words[0]), F.col("chunks")).cast("int")
         others = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
         dealt = (
             keyed.join(hot, "key", "left")
             .fillna(1, ["chunks"])
             .withColumns({"own": own, "other": others})
-            .select("key", "node", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+            .select("key", *words, F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
         )
 
     def run(batches):
@@ -237,11 +263,12 @@ def links(nodes: DataFrame, most_bits: int = MOST_BITS, chunk: int = CHUNK) -> D
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
         def found(table: pa.Table):
-            key, lo, hi, node = (table.column(n).to_numpy() for n in ("key", "lo", "hi", "node"))
+            key, lo, hi = (table.column(n).to_numpy() for n in ("key", "lo", "hi"))
+            values = np.stack([table.column(w).to_numpy().view(np.uint64) for w in words], axis=1)
             # one number per (key, chunks): the place of the first row of the run
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
-            both = _links_of_runs(np.cumsum(new), node, most_bits)
+            both = _links_of_runs(np.cumsum(new), values, most_bits)
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], schema=schema)
 
         for batch in batches:
@@ -266,11 +293,21 @@ def links(nodes: DataFrame, most_bits: int = MOST_BITS, chunk: int = CHUNK) -> D
 
     return (
         dealt.repartition("key", "lo", "hi")
-        .sortWithinPartitions("key", "lo", "hi", "node")
+        .sortWithinPartitions("key", "lo", "hi", words[0])
         .mapInArrow(run, "a bigint, b bigint")
     )
 
 
+def _classes(marked: DataFrame, node: str, least: Column, linked: DataFrame) -> DataFrame:
+    """Per node the smallest value of ``least`` in its component, as ``component``."""
+    nodes = marked.groupBy(F.col(node).alias("node")).agg(F.min(least).alias("__least"))
+    roots = components(linked)
+    rooted = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "__least")
+    rooted = written(rooted, "rooted")
+    smallest = rooted.groupBy("root").agg(F.min("__least").alias("component"))
+    return written(rooted.join(smallest, "root").select(F.col("node").alias(node), "component"), "classes")
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -279,14 +316,106 @@ def near_duplicates(
     most_bits: int = MOST_BITS,
 ) -> DataFrame:
     """Per document its id, ``fingerprint`` and ``component_id``, the smallest id reachable."""
+    if not 0 <= most_bits <= MOST_BITS:
+        raise ValueError(f"the keys are complete up to {MOST_BITS} bits")
     marked = written(
         fingerprints(docs.select(doc_id, text), text, shingle, keep_text=False), "fingerprints"
     )
-    nodes = written(
-        marked.groupBy(F.col("fingerprint").alias("node")).agg(F.min(doc_id).alias("__least")), "nodes"
+    nodes = written(marked.select(F.col("fingerprint").alias("node")).distinct(), "nodes")
+    classes = _classes(marked, "fingerprint", F.col(doc_id), links(nodes, most_bits))
+    return marked.join(classes, "fingerprint").select(
+        doc_id, "fingerprint", F.col("component").alias("component_id")
     )
-    roots = components(links(nodes.select("node"), most_bits))
-    rooted = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "__least")
-    least = rooted.groupBy("root").agg(F.min("__least").alias("component_id"))
-    per_node = written(rooted.join(least, "root").select(F.col("node").alias("fingerprint"), "component_id"), "classes")
-    return marked.join(per_node, "fingerprint").select(doc_id, "fingerprint", "component_id")
+
+
+# Near copies by similarity: a wide fingerprint decides, others make the keys.
+SHINGLE_WORDS, SIMILARITY = 5, 0.8
+WIDE, KEYED = 4, 2
+_MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
+
+
+def bits_for(similarity: float, bits: int = 64 * WIDE) -> int:
+    """Bits in which texts of this Jaccard similarity differ, and half a standard error more.
+
+    The cosine of the two sets is 2s / (1 + s), and a bit differs with the
+    chance angle / pi.
+    """
+    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(bits * share + np.sqrt(bits * share * (1 - share)) / 2)
+
+
+def _several(hashes: list[np.ndarray], number: int) -> list[np.ndarray]:
+    """Fingerprints from the given hashes and from further mixed ones, per text."""
+    out = []
+    for mix in _MIX[:number]:
+        mixed = [(h ^ h >> np.uint64(31)) * mix for h in hashes]
+        out.append(majorities([(m ^ m >> np.uint64(29)).astype(">u8").tobytes() for m in mixed]))
+    return out
+
+
+def wide_fingerprints(docs: DataFrame, text: str = "__text", shingle: int = SHINGLE_WORDS) -> DataFrame:
+    """Replace the text by ``w0`` to ``w3``, a fingerprint of 256 bits of its word
+    shingles, and ``k0`` and ``k1``, two of its distinct words."""
+    place, kept = docs.columns.index(text), [c for c in docs.columns if c != text]
+    names = [f"w{i}" for i in range(WIDE)] + [f"k{i}" for i in range(KEYED)]
+    schema = docs.select(*kept).schema
+    for name in names:
+        schema = schema.add(name, "long")
+
+    def run(batches):
+        for batch in batches:
+            column, found = batch.column(place).cast(pa.binary()), []
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                texts = column.slice(start, ROWS_AT_ONCE).to_pylist()
+                shingles = [np.frombuffer(shingle_digests(t, shingle), ">u8").astype(np.uint64) for t in texts]
+                digest = xxhash.xxh64_digest
+                words = [
+                    np.frombuffer(b"".join([digest(w, SEED) for w in set((t or b"").lower().split())]), ">u8").astype(np.uint64)
+                    for t in texts
+                ]
+                found.append(np.stack(_several(shingles, WIDE) + _several(words, KEYED)).view(np.int64))
+            new = np.concatenate(found, axis=1) if found else np.zeros((len(names), 0), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(docs_places[c]) for c in kept] + [pa.array(n) for n in new], names=[*kept, *names]
+            )
+
+    docs_places = {c: docs.columns.index(c) for c in kept}
+    return docs.mapInArrow(run, schema)
+
+
+def without_near_copies(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY
+) -> DataFrame:
+    """The documents with one of each group of near copies, the one of the smallest id.
+
+    Two texts are linked if their wide fingerprints differ in no more bits than
+    texts of this similarity do, and a group is what links connect. Keys come
+    from the distinct words: a changed word changes one of them, but as many
+    shingles as a shingle has words, so near copies differ in few of these bits.
+    Of rows equal in id and text one stays; a NULL id is the largest.
+    """
+    own = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    rows = docs.select(F.col(doc_id).alias("__id"), own.alias("__hash"), F.col(text).alias("__text"))
+    marked = written(wide_fingerprints(rows), "fingerprints")
+    words, keyed_by = [f"w{i}" for i in range(WIDE)], [f"k{i}" for i in range(KEYED)]
+    # Equal in the first 64 bits is one node; any of its rows stands for it.
+    nodes = marked.groupBy("w0").agg(F.min(F.struct(*words[1:], *keyed_by)).alias("s")).select("w0", "s.*")
+    linked = links(written(nodes, "nodes"), bits_for(similarity), words=tuple(words), keyed_by=tuple(keyed_by))
+    least = F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__hash").alias("hash"))
+    classes = _classes(marked, "w0", least, linked)
+    stays = classes.select("component.*").distinct().select(F.col("id").alias("__id"), F.col("hash").alias("__hash"))
+    # How often the row that stays is in the input: it may be repeated.
+    counted = (
+        marked.join(stays, [marked["__id"].eqNullSafe(stays["__id"]), marked["__hash"] == stays["__hash"]], "left_semi")
+        .groupBy("__id", "__hash")
+        .agg(F.count(F.lit(1)).alias("__copies"))
+    )
+    counted = written(counted.withColumnsRenamed({"__id": "__i", "__hash": "__h"}), "stays")
+    kept = docs.withColumn("__own", own).join(
+        counted, (F.col("__own") == F.col("__h")) & F.col(doc_id).eqNullSafe(F.col("__i"))
+    )
+    once = kept.filter("__copies = 1").select(*docs.columns)
+    repeated = kept.filter("__copies > 1")
+    if counted.filter("__copies > 1").isEmpty():
+        return once
+    return once.unionByName(repeated.dropDuplicates(["__i", "__h"]).select(*docs.columns))
