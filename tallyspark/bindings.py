@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.operators.partitioning import spread
+from tallyspark.session import fresh_dir
+from tallyspark.sinks.writers import write_json_lines
+from tallyspark.sources.readers import read_json_lines
 from tallyspark.tables import table
 
 LEAGUE_SIZE = 150  # players (customers) per league
@@ -45,15 +47,19 @@ WEATHER_SQL = """weather AS (
 
 
 def power_series(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as a sparse series: one measurement column per event type."""
+    """Events as a sparse series: one measurement column per event type, with many decimals.
+
+    Views of every second event are the third consumer.
+    """
 
     def only(kind: str) -> Column:
-        return F.when(F.col("event_type") == kind, F.col("value"))
+        return F.when(F.col("event_type") == kind, F.col("value") / 7)
 
     return table(spark, sf, "events").select(
         F.unix_millis(F.col("ts").cast("timestamp")).alias("Time"),
         only("click").alias("SolarPower"),
-        only("view").alias("WaterCooling01Power"),
+        F.when(F.col("event_id") % 2 == 0, only("view")).alias("WaterCooling01Power"),
+        F.when(F.col("event_id") % 2 == 1, only("view")).alias("VentilationPower"),
         only("purchase").alias("WaterCooling02Power"),
         only("signup").alias("Temperature"),
         only("error").alias("ElectricityPrice"),
@@ -69,37 +75,39 @@ def as_sales(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_id").cast("string").alias("orderId"),
         F.date_format(F.col("ts"), "yyyy-MM-dd").alias("orderDate"),
-        F.col("value").alias("productPrice"),
+        (F.col("value") / 7).alias("productPrice"),
         F.get_json_object("props", "$.k").cast("int").alias("productCount"),
     )
 
 
 SALES_SQL = """sales AS (
   SELECT CAST(event_id AS VARCHAR) AS orderId, strftime(ts, '%Y-%m-%d') AS orderDate,
-         value AS productPrice, CAST(json_extract_string(props, '$.k') AS INTEGER) AS productCount
+         value / 7 AS productPrice, CAST(json_extract_string(props, '$.k') AS INTEGER) AS productCount
   FROM events)"""
 
 
 def game_sales(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as titles, the customer's nation as publisher; status P lacks regional sales."""
     orders, customer, nation = (table(spark, sf, t) for t in ("orders", "customer", "nation"))
-    regional = F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice"))
+    world = F.col("o_totalprice") / 7000
+    regional = F.when(F.col("o_orderstatus") != "P", world)
     return (
         orders.join(customer, orders.o_custkey == customer.c_custkey)
         .join(nation, customer.c_nationkey == nation.n_nationkey)
         .select(
             F.col("n_name").alias("publisher"),
             F.date_format("o_orderdate", "yyyy-MM-dd").alias("release_date"),
+            F.col("o_orderdate").alias("released"),
             F.year("o_orderdate").alias("year"),
             regional.alias("na_sales"),
-            F.col("o_totalprice").alias("total_sales"),
+            world.alias("total_sales"),
         )
     )
 
 
 GAME_SALES_SQL = """game_sales AS (
   SELECT n_name AS publisher, CAST(year(o_orderdate) AS INTEGER) AS year,
-         CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS na_sales, o_totalprice AS total_sales
+         CASE WHEN o_orderstatus <> 'P' THEN o_totalprice / 7000 END AS na_sales, o_totalprice / 7000 AS total_sales
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
 
 
@@ -164,7 +172,7 @@ MATCH_SQL = f"""match_list AS (
 def match_events(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as events of their order's match."""
     matches = table(spark, sf, "orders").select(*_match_columns())
-    lines = spread(table(spark, sf, "lineitem"))
+    lines = table(spark, sf, "lineitem")
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     shot = (flag == "A") & (status == "O") & (F.col("l_tax") > 0.05)
     event = F.when(flag == "R", "Save attempt").when(shot, "Shot").otherwise("Pass")
@@ -237,7 +245,7 @@ pass_ratios AS (
 
 def matches(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as nested match records with lineups, benches and substitutions."""
-    orders = spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     flat = orders.select(*_match_columns(), F.col("o_orderdate").cast("date").alias("date"))
 
     def team_data(team: str, number: str, shift: int) -> Column:
@@ -342,9 +350,9 @@ def players(spark: SparkSession, sf: str) -> DataFrame:
 def images(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as images: four pixels from the digest of every word."""
     digests = F.transform(F.split("text", " "), lambda w: F.md5(w.cast("binary")))
-    documents = spread(table(spark, sf, "documents").select("doc_id", "source", "text"))
+    documents = table(spark, sf, "documents").select("doc_id", "source", "text")
     return documents.select(
-        F.concat(F.lit("file:/images/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".png")).alias("origin"),
+        F.concat(F.lit("file:/images/"), "source", F.lit("/img%20"), F.col("doc_id").cast("string"), F.lit(".png")).alias("origin"),
         F.size(F.split("text", " ")).alias("height"),
         F.lit(4).alias("width"),
         F.lit(4).alias("nChannels"),
@@ -354,15 +362,28 @@ def images(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def image_metadata(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
-        F.col("doc_id").cast("string").alias("image"),
-        F.concat(F.lit("doc "), F.col("doc_id").cast("string")).alias("annotation"),
+    """Written and read as JSON lines; every label has metadata but no image as well."""
+    of_images = table(spark, sf, "documents").select(
+        F.concat(F.lit("img "), F.col("doc_id").cast("string")).alias("image"),
+        annotation(F.col("n_chars"), F.col("source")).alias("annotation"),
         F.col("lang").alias("group"),
     )
+    without = table(spark, sf, "labels").select(
+        F.concat(F.lit("lost "), F.col("doc_id").cast("string")).alias("image"),
+        F.lit("nowhere").alias("annotation"),
+        F.lit("en").alias("group"),
+    )
+    path = write_json_lines(of_images.unionByName(without), fresh_dir(spark, "metadata"))
+    return read_json_lines(spark, path, "image string, annotation string, `group` string")
+
+
+def annotation(n_chars: Column, source: Column) -> Column:
+    """A text that cannot be told from the name of an image."""
+    return F.concat(source, F.lit(" of "), (n_chars % 89).cast("string"))
 
 
 IMAGES_SQL = """images AS (
-  SELECT CAST(doc_id AS VARCHAR) AS image, 'doc ' || doc_id AS annotation, lang AS "group",
+  SELECT 'img ' || doc_id AS image, source || ' of ' || n_chars % 89 AS annotation, lang AS "group",
          upper(array_to_string(list_transform(string_split(text, ' '), lambda w: md5(w)), '')) AS hex
   FROM documents),
 pixels AS (
@@ -372,6 +393,7 @@ channels AS (
          CAST('0x' || substr(pixel, 3, 2) AS INTEGER) AS g, CAST('0x' || substr(pixel, 5, 2) AS INTEGER) AS r,
          CAST('0x' || substr(pixel, 7, 2) AS INTEGER) AS a FROM pixels),
 named AS (
+  -- fixed values: the color of each step of red, green and blue
   SELECT image, annotation, "group", pixel, CASE WHEN a < 128 THEN 'None' ELSE
     ['Black', 'Blue', 'Blue', 'Green', 'Green', 'Blue', 'Green', 'Green', 'Blue',
      'Red', 'Purple', 'Purple', 'Green', 'Gray', 'Purple', 'Green', 'Green', 'Blue',
@@ -388,8 +410,8 @@ def energy_minutes(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as minutes with measurements, some of them missing."""
     hour = (F.col("l_linenumber") * 3 + F.col("l_quantity").cast("int")) % 24
     day = F.unix_timestamp(F.col("l_shipdate").cast("timestamp"))
-    return spread(table(spark, sf, "lineitem")).select(
-        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("row_key"),
+    return table(spark, sf, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row_key"),
         (day + hour * 3600).alias("time"),
         F.col("l_quantity").alias("temperature"),
         (F.col("l_discount") * 100).alias("humidity"),
@@ -403,7 +425,7 @@ def energy_minutes(spark: SparkSession, sf: str) -> DataFrame:
 
 def line_points(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as points: price over quantity."""
-    lines = spread(table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice"))
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice")
     return lines.select(
         F.col("l_quantity").alias("X"), F.col("l_extendedprice").alias("label"), F.col("l_orderkey").alias("key")
     )
@@ -433,8 +455,8 @@ CLASS_SQL = """predictions AS (
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Whole texts, spread over the cores: splitting words is costly per row."""
-    return spread(table(spark, sf, "documents").select("text"))
+    """Whole texts."""
+    return table(spark, sf, "documents").select("text")
 
 
 def lines_of_text(spark: SparkSession, sf: str) -> DataFrame:

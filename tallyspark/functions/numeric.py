@@ -1,8 +1,8 @@
 """Numeric column functions.
 
 Sums of doubles depend on the order in which tasks finish. The ``exact_*``
-aggregates add decimals instead, so a re-run after a lost executor, a stream
-and a batch all give the same number.
+aggregates add whole numbers instead, so a re-run after a lost executor, a
+stream and a batch all give the same number.
 """
 
 from __future__ import annotations
@@ -18,40 +18,40 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact(c, scale: int = 2) -> Column:
-    return _col(c).cast(f"decimal(18,{scale})")
+# Steps per unit that the fraction of a double is counted in, a power of two.
+STEPS = 1 << 60
 
 
-def units(c, scale: int = 2) -> Column:
-    """Whole number of 10^-scale steps in a double, halves away from zero.
+def exact_sum(c) -> Column:
+    """Sum of doubles that does not depend on their order; NULL values are skipped.
 
-    Much cheaper than a cast of the double to a decimal, which goes through
-    text. Values beyond 18 digits (and NaN) are an error, never a wrong sum.
+    Every value is split into its whole part and its fraction in steps of
+    2^-60. Both are added as whole numbers, whole units are carried over, and
+    only the total becomes a double. Infinite values, NaN and values of 2^63 and
+    more are added apart, as doubles.
     """
     x = _col(c).cast("double")
-    steps = F.floor(F.abs(x) * F.lit(10.0**scale) + F.lit(0.5)).cast("decimal(18,0)")
-    signed = F.when(x < 0, -steps).otherwise(steps)
-    fits = F.abs(x) < F.lit(10.0 ** (18 - scale))
-    return F.when(x.isNull(), None).when(fits, signed).otherwise(F.raise_error(F.lit("value too large to add exactly")))
-
-
-def exact_total(c, scale: int = 2) -> Column:
-    """Decimal sum of doubles, each taken with ``scale`` decimals."""
-    return F.sum(units(c, scale)) * F.lit(Decimal(1).scaleb(-scale))
-
-
-def exact_sum(c, scale: int = 2) -> Column:
-    return exact_total(c, scale).cast("double")
-
-
-def exact_mean(c, scale: int = 2) -> Column:
+    fits = F.abs(x) < F.lit(2.0**63)
+    whole = F.when(fits, x).cast("bigint")
+    steps = ((x - whole.cast("double")) * F.lit(float(STEPS))).cast("bigint")
+    units = F.coalesce(F.sum(whole.cast("decimal(20,0)")), F.lit(Decimal(0)))
+    fraction = F.coalesce(F.sum(F.when(fits, steps).cast("decimal(20,0)")), F.lit(Decimal(0)))
+    # The quotient may be cut: what it leaves over or takes too much stays in the rest, which is exact.
+    per_unit = F.lit(Decimal(STEPS))
+    carried = F.floor(fraction / per_unit).cast("decimal(19,0)")
+    rest = (fraction - carried * per_unit).cast("double") / F.lit(float(STEPS))
+    apart = F.coalesce(F.sum(F.when(~fits, x)), F.lit(0.0))
+    return F.when(F.count(x) > 0, (units + carried).cast("double") + rest + apart)
+
+
+def exact_mean(c) -> Column:
     """Mean of the non-NULL values; NULL when there is none."""
-    return F.try_divide(exact_sum(c, scale), F.count(_col(c)))
+    return F.try_divide(exact_sum(c), F.count(_col(c)))
 
 
 def rounded(c, digits: int = 2) -> Column:
-    """HALF_UP on the decimal value, so 1.005 becomes 1.01 at two digits."""
-    return F.round(_col(c).cast("decimal(30,8)"), digits).cast("double")
+    """HALF_UP on the decimal text of the double, so 1.005 becomes 1.01 at two digits."""
+    return F.round(_col(c).cast("double"), digits)
 
 
 def signed_text(c) -> Column:
@@ -81,13 +81,14 @@ def fifth_root(c, settle_steps: int = 12) -> Column:
     x = _col(c).cast("double")
     size = F.abs(x)
     shrink = math.log(1.25)
-    steps = (F.lit(settle_steps) + F.ceil(F.abs(F.ln(size)) * F.lit(0.8 / shrink))).cast("int")
+    far = F.when((size > 0) & (size < F.lit(float("inf"))), F.abs(F.ln(size))).otherwise(0.0)
+    steps = (F.lit(settle_steps) + F.ceil(far * F.lit(0.8 / shrink))).cast("int")
     root = F.aggregate(
         F.sequence(F.lit(1), steps),
         F.lit(1.0),
         lambda y, _: (y * 4.0 + size / (y * y * y * y)) / 5.0,
     )
-    return F.when(x == 0, F.lit(0.0)).otherwise(F.signum(x) * root)
+    return F.when((x == 0) | F.isnan(x) | (size == F.lit(float("inf"))), x).otherwise(F.signum(x) * root)
 
 
 def cyclic_distance(a, b, period: int) -> Column:

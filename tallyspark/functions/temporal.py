@@ -29,3 +29,13 @@ def whole_minutes(seconds) -> Column:
 def parsed_year(c, pattern: str = "yyyy-MM-dd") -> Column:
     """Year of a date given as text; NULL if the text is no date."""
     return F.year(F.try_to_timestamp(_col(c), F.lit(pattern)))
+
+
+def within_years(moment, first: int, last: int) -> Column:
+    """Whether a date or timestamp lies in a closed range of years.
+
+    The column itself is compared, so the range reaches the scan.
+    """
+    return (_col(moment) >= F.lit(f"{first}-01-01").cast("timestamp_ntz")) & (
+        _col(moment) < F.lit(f"{last + 1}-01-01").cast("timestamp_ntz")
+    )

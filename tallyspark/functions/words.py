@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from tallyspark.functions.numeric import _col
 
 # Patterns and characters of the three word rules.
-BLANKS = r"\s+"
+# White space as Python's strip and split see it, for Java and RE2 patterns alike.
+WHITE = r"\x09-\x0d\x1c-\x20\x{85}\p{Z}"
+BLANKS = f"[{WHITE}]+"
+NOT_BLANK = f"[^{WHITE}]"
 DIGIT = "[0-9]"
 LETTERS = r"^\p{L}+$"
 ASCII_LETTERS = "^[a-zA-Z]+$"
@@ -42,4 +45,4 @@ def word_rule(line, rule: str = "no_digits"):
 
 
 def not_blank(line) -> Column:
-    return _col(line).rlike(r"\S")
+    return _col(line).rlike(NOT_BLANK)

@@ -14,6 +14,7 @@ from tallyspark.functions.temporal import hour_number_of_seconds, month_of_secon
 from tallyspark.learning.regression import assemble, regression_scores
 from tallyspark.learning.scores import class_scores
 from tallyspark.operators.sampling import hash_bucket
+from tallyspark.session import written
 
 # Measurement columns of the energy table and circle lengths.
 WEATHER_INPUTS = ("temperature", "humidity", "wind_speed")
@@ -65,17 +66,24 @@ def forest_predictions(model, df: DataFrame, case: Case) -> DataFrame:
     return model.transform(assemble(df, list(case.inputs)))
 
 
-def run_case(
-    df: DataFrame, case: Case, key: str, trees: int = 100, depth: int = 5, train_percent: int = 80
-) -> DataFrame:
-    """Clean, split by a hash of the key, train, and score: one result row.
+def prepared(df: DataFrame, key: str, train_percent: int = 80, cases: list[Case] = CASES) -> DataFrame:
+    """Inputs, labels and the mark ``is_test`` (by a hash of the key), written once.
 
-    Training and test rows are scored in the same pass.
+    All cases train and score from this narrow table.
     """
-    bucket = hash_bucket(key)
-    data = clean(df, case, [key]).withColumn("is_test", bucket >= train_percent)
-    model = fit_forest(data.filter(~F.col("is_test")), case, trees, depth)
-    predictions = forest_predictions(model, data, case)
+    used = sorted({c for case in cases for c in (*case.inputs, case.label)})
+    return written(df.select(*used, (hash_bucket(key) >= train_percent).alias("is_test")), "features")
+
+
+def case_predictions(data: DataFrame, case: Case, trees: int = 100, depth: int = 5):
+    """The model of a case and its predictions for training and test rows."""
+    rows = clean(data, case, ["is_test"])
+    model = fit_forest(rows.filter(~F.col("is_test")), case, trees, depth)
+    return model, forest_predictions(model, rows, case)
+
+
+def case_scores(predictions: DataFrame, case: Case) -> DataFrame:
+    """One result row; training and test rows are scored in the same pass."""
     if case.regression:
         result = regression_scores(predictions.filter("is_test"), case.label)
     else:
@@ -83,7 +91,26 @@ def run_case(
     return result.select(F.lit(case.name).alias("case"), "*")
 
 
+def run_case(
+    df: DataFrame, case: Case, key: str, trees: int = 100, depth: int = 5, train_percent: int = 80
+) -> DataFrame:
+    """Clean, split by a hash of the key, train, and score: one result row."""
+    data = prepared(df, key, train_percent, [case])
+    return case_scores(case_predictions(data, case, trees, depth)[1], case)
+
+
+def rows_per_part(data: DataFrame, cases: list[Case] = CASES) -> DataFrame:
+    """Rows that each case keeps of the prepared table, for training and test."""
+    counted = [
+        clean(data, case, ["is_test"]).groupBy("is_test").agg(F.count(F.lit(1)).alias("n_rows"))
+        .select(F.lit(case.name).alias("case"), "is_test", "n_rows")
+        for case in cases
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 def run_cases(df: DataFrame, key: str, cases: list[Case] = CASES, trees: int = 100, depth: int = 5) -> DataFrame:
     """All cases, one row each; scores a case does not have are NULL."""
-    results = [run_case(df, case, key, trees, depth) for case in cases]
+    data = prepared(df, key, cases=cases)
+    results = [case_scores(case_predictions(data, case, trees, depth)[1], case) for case in cases]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), results)

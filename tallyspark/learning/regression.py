@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.numeric import rounded
@@ -44,11 +44,9 @@ def regression_scores(predictions: DataFrame, label: str, digits: int = 4) -> Da
     )
 
 
-def fit_series(model, train: DataFrame, test: DataFrame, x: str, label: str) -> DataFrame:
-    """Rows (part, x, y, prediction) that a fit plot would draw."""
-    parts = train.select(F.lit("train").alias("part"), x, label).unionByName(
-        test.select(F.lit("test").alias("part"), x, label)
-    )
+def fit_series(model, points: DataFrame, part: Column, x: str, label: str) -> DataFrame:
+    """Rows (part, x, y, prediction) that a fit plot would draw, from one scan."""
+    parts = points.select(part.alias("part"), x, label)
     return predict(model, parts, [x]).select(
         "part", F.col(x).alias("x"), F.col(label).alias("y"), "prediction"
     )

@@ -45,7 +45,7 @@ def true_class_probability(
     """
     given = F.coalesce(F.get(vector_to_array(probability), F.col(label).cast("int")), F.lit(0.0))
     given = given if among is None else F.when(among, given)
-    return rounded(exact_mean(given, 12) * 100, 4)
+    return rounded(exact_mean(given) * 100, 4)
 
 
 def class_scores(predictions: DataFrame, label: str, period: int, is_test: Column) -> DataFrame:

@@ -5,6 +5,9 @@ Write the result to a new folder; never overwrite the folder that is read.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,24 +28,26 @@ def unique_by(df: DataFrame, keys: list[str]) -> DataFrame:
     """The rows unchanged; the job fails if a key occurs twice.
 
     Rows are combined per key before the shuffle, so even a key repeated very
-    often cannot overload the task that reports it.
+    often cannot overload the task that reports it. The test is a filter, which
+    no later step can prune. A key with a NULL equals no other key.
     """
     others = [c for c in df.columns if c not in keys]
-    grouped = df.groupBy(*keys).agg(
+    whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    grouped = df.filter(whole).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__n"), *[F.any_value(c).alias(c) for c in others]
     )
-    # The test rides on a key column, which no later step can prune away.
     duplicate = F.concat(F.lit("two rows for one key: "), F.to_json(F.struct(*keys)))
-    checked = F.when(F.col("__n") == 1, F.col(keys[0])).otherwise(F.raise_error(duplicate))
-    return grouped.withColumn(keys[0], checked).select(*df.columns)
+    once = grouped.filter(F.when(F.col("__n") == 1, F.lit(True)).otherwise(F.raise_error(duplicate).cast("boolean")))
+    return once.select(*df.columns).unionByName(df.filter(~whole))
 
 
 def upsert(base: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``updates`` replace the base rows of the same key or are added.
 
-    Duplicate keys in ``updates`` are an error, as in SQL ``MERGE``. The anti
-    join needs the keys only: while the updates are small Spark broadcasts
-    them, and the base is then not shuffled at all.
+    Duplicate keys in ``updates`` are an error, as in SQL ``MERGE``; rows with a
+    NULL key match nothing and are added. The anti join needs the keys only:
+    while the updates are small Spark broadcasts them, and the base is then not
+    shuffled at all. ``updates`` is read twice; write costly ones to a table first.
     """
     kept = base.join(updates.select(*keys), keys, "left_anti")
     return kept.unionByName(unique_by(updates, keys))

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _plain(name: str, kind: str) -> Column:
+    """A value as text, equal for equal values: 0.0 and -0.0 are one."""
+    value = F.col(name)
+    return (value + F.lit(0).cast(kind) if kind in ("double", "float") else value).cast("string")
+
+
 def column_profile(df: DataFrame) -> DataFrame:
     """One row per column: name, type, NULL count, distinct non-NULL values.
 
@@ -13,9 +19,8 @@ def column_profile(df: DataFrame) -> DataFrame:
     last step, so the shuffle carries each distinct value of a map partition
     once and a frequent value is no hot spot.
     """
-    names = [c for c, _ in df.dtypes]
     pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in names])
+        F.array(*[F.struct(F.lit(c).alias("column_name"), _plain(c, kind).alias("value")) for c, kind in df.dtypes])
     )
     per_value = df.select(pairs.alias("p")).groupBy("p.column_name", "p.value").agg(
         F.count(F.lit(1)).alias("n")

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.session import written
+
 
 def top_n(df: DataFrame, groups: list[str], order: list[Column], n: int, position: str | None = None) -> DataFrame:
     """First ``n`` rows per group.
@@ -19,28 +24,32 @@ def top_n(df: DataFrame, groups: list[str], order: list[Column], n: int, positio
     return kept if position else kept.drop(name)
 
 
-def positions(df: DataFrame, groups: list[str], level: Column, order: list[Column], name: str) -> DataFrame:
+def positions(df: DataFrame, groups: list[str], order: list[Column], name: str) -> DataFrame:
     """Position of every row within its group, also in very large groups.
 
-    ``level`` is not NULL and never falls along the wanted order (the leading
-    sort value or a coarse step of it); ``order`` is the order within a level.
-    A window over a whole group would sort a hot group in one task. Instead
-    rows are numbered within (group, level), and the number of rows on earlier
-    levels is added from a small table with one row per group and level. The
-    input is computed twice, so give it a scan or a written table.
+    A window over a whole group would sort a hot group in one task. Instead rows
+    are dealt out in ranges of (group, order), a hash of the row breaking ties,
+    so neither a large group nor a value with very many rows stays in one task.
+    The ranges are written once; rows are numbered within (range, group), and
+    the rows of a group in earlier ranges are added from a table with one row
+    per range and group.
     """
-    leveled = df.withColumn("__level", level)
-    per_level = leveled.groupBy(*groups, "__level").agg(F.count(F.lit(1)).alias("__rows"))
-    before = Window.partitionBy(*groups).orderBy("__level").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_level.select(
-        *groups, "__level", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before")
+    ranges = df.repartitionByRange(*[F.col(g) for g in groups], *order, F.xxhash64(*df.columns))
+    dealt = written(ranges.withColumn("__range", F.spark_partition_id()), "ranges")
+    per_range = dealt.groupBy(*groups, "__range").agg(F.count(F.lit(1)).alias("__rows"))
+    before = Window.partitionBy(*groups).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_range.select(
+        *[F.col(g).alias(f"__{g}") for g in groups],
+        F.col("__range").alias("__of"),
+        F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"),
     )
-    within = Window.partitionBy(*groups, "__level").orderBy(*order)
+    within = Window.partitionBy(*groups, "__range").orderBy(*order)
+    same = [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in groups]
     return (
-        leveled.withColumn("__within", F.row_number().over(within))
-        .join(offsets, [*groups, "__level"])
+        dealt.withColumn("__within", F.row_number().over(within))
+        .join(offsets, reduce(and_, same, F.col("__range") == F.col("__of")))
         .withColumn(name, (F.col("__before") + F.col("__within")).cast("int"))
-        .drop("__level", "__within", "__before")
+        .select(*df.columns, name)
     )
 
 

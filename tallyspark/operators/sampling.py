@@ -28,6 +28,11 @@ def hash_bucket(key, buckets: int = 100) -> Column:
     return F.pmod(F.conv(digits, 16, 10).cast("bigint"), F.lit(buckets)).cast("int")
 
 
+def part_by_key(key, train_percent: int = 80) -> Column:
+    """``train`` or ``test`` by a hash of the key, to mark rows in one scan."""
+    return F.when(hash_bucket(key) < train_percent, F.lit("train")).otherwise(F.lit("test"))
+
+
 def split_by_key(df: DataFrame, key, train_percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """Training and test rows by a hash of the key.
 

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from tallyspark.functions.numeric import exact_mean, exact_sum, floored, rounded
 from tallyspark.functions.temporal import hour_of_millis
 
-MEASURE_SCALE = 6  # decimals kept of measurements while they are added up
-
 
 def hourly_balance(
     series: DataFrame,
@@ -31,11 +29,11 @@ def hourly_balance(
     row per hour and map task.
     """
     kilo = F.lit(1000)
-    used = reduce(add, [exact_mean(c, MEASURE_SCALE) for c in consumed])
+    used = reduce(add, [exact_mean(c) for c in consumed])
     priced_at = F.when(F.col(price).isNotNull(), F.col(time))
     return series.groupBy(hour_of_millis(time).alias("Time")).agg(
-        exact_mean(temperature, MEASURE_SCALE).alias("AvgTemperature"),
-        (exact_mean(produced, MEASURE_SCALE) / kilo).alias("ProducedEnergy"),
+        exact_mean(temperature).alias("AvgTemperature"),
+        (exact_mean(produced) / kilo).alias("ProducedEnergy"),
         (used / kilo).alias("ConsumedEnergy"),
         F.min_by(price, priced_at).alias("Price"),
     )
@@ -52,10 +50,10 @@ def daily_table(costs: DataFrame) -> DataFrame:
     """Mean temperature and sums per day, two decimals."""
 
     def total(c):
-        return rounded(exact_sum(c, MEASURE_SCALE), 2)
+        return rounded(exact_sum(c), 2)
 
     return costs.groupBy(F.to_date("Time").alias("Date")).agg(
-        rounded(exact_mean("AvgTemperature", MEASURE_SCALE), 2).alias("Temperature"),
+        rounded(exact_mean("AvgTemperature"), 2).alias("Temperature"),
         total("ProducedEnergy").alias("ProducedEnergy"),
         total("ConsumedEnergy").alias("ConsumedEnergy"),
         total("HourlyCost").alias("DailyCost"),

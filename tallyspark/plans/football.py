@@ -136,7 +136,7 @@ def pass_ratios(passes: DataFrame) -> DataFrame:
     """Mean of the match ratios per team and season, in percent, two decimals."""
     ratio = F.try_divide(F.col("successfulPasses").cast("double"), F.col("totalPasses").cast("double"))
     return passes.groupBy(*TEAM_SEASON).agg(
-        rounded(exact_mean(ratio, 12) * 100, 2).alias("passSuccessRatio")
+        rounded(exact_mean(ratio) * 100, 2).alias("passSuccessRatio")
     )
 
 
@@ -168,6 +168,15 @@ def match_summary(events: DataFrame) -> DataFrame:
     )
 
 
+def season_table_with_passes(events: DataFrame) -> DataFrame:
+    """Season table and pass ratio from one pass over the events, without a join."""
+    rows = team_results(match_summary(events), {"passes": "Passes", "successful": "Successful"})
+    ratio = F.try_divide(F.col("successful").cast("double"), F.col("passes").cast("double"))
+    return rows.groupBy(*TEAM_SEASON).agg(
+        *_season_measures(), rounded(exact_mean(ratio) * 100, 2).alias("passSuccessRatio")
+    )
+
+
 def best_teams(events: DataFrame, n: int = 2, season: str | None = None) -> DataFrame:
     """Best ``n`` teams per league and season by mean points, best first.
 
@@ -178,7 +187,7 @@ def best_teams(events: DataFrame, n: int = 2, season: str | None = None) -> Data
     rows = team_results(match_summary(picked), {"passes": "Passes", "successful": "Successful"})
     ratio = F.try_divide(F.col("successful").cast("double"), F.col("passes").cast("double"))
     seasons = rows.groupBy(*TEAM_SEASON).agg(
-        *_season_measures(), rounded(exact_mean(ratio, 12) * 100, 2).alias("PassRatio")
+        *_season_measures(), rounded(exact_mean(ratio) * 100, 2).alias("PassRatio")
     )
     average = F.col("points").cast("decimal(18,8)") / F.col("games").cast("decimal(10,0)")
     order = [

@@ -59,6 +59,11 @@ def is_colored() -> Column:
     return F.col("color") != NO_COLOR
 
 
+def of_metadata(images: DataFrame, metadata: DataFrame, key: str = "image") -> DataFrame:
+    """The images that the (filtered) metadata names, before any pixel is read."""
+    return images.join(metadata.select(key), key, "left_semi")
+
+
 def with_metadata(counts: DataFrame, metadata: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Join image counts and metadata on the image key.
 

@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.numeric import exact_sum, exact_total, rounded, units
+from tallyspark.functions.numeric import exact_sum, rounded
+from tallyspark.functions.temporal import within_years
 
 
 def daily_totals(
     sales: DataFrame, day: str = "orderDate", price: str = "productPrice", count: str = "productCount"
 ) -> DataFrame:
     """Total price and item count per day; works on batches and streams alike."""
-    cents = units(price).cast("bigint") * F.col(count).cast("bigint")
     return sales.groupBy(day).agg(
-        (F.sum(cents.cast("decimal(20,0)")).cast("double") / 100).alias("totalPrice"),
+        exact_sum(F.col(price) * F.col(count)).alias("totalPrice"),
         F.sum(F.col(count).cast("bigint")).alias("totalCount"),
     )
 
@@ -28,15 +28,20 @@ def best_days(sales: DataFrame, n: int = 8, **columns) -> DataFrame:
 
 def publisher_years(
     sales: DataFrame, first_year: int, last_year: int, publisher: str = "publisher",
-    year: str = "year", region: str = "na_sales", world: str = "total_sales",
+    year: str = "year", region: str = "na_sales", world: str = "total_sales", released: str | None = None,
 ) -> DataFrame:
-    """Per publisher and year: sums and the number of titles without regional sales."""
+    """Per publisher and year: sums and the number of titles without regional sales.
+
+    With the name of a timestamp column ``released`` the range of years is a
+    range of that column, which lets the scan skip what is outside.
+    """
+    inside = F.col(year).between(first_year, last_year) if released is None else within_years(released, first_year, last_year)
     return (
-        sales.filter(F.col(year).between(first_year, last_year))
+        sales.filter(inside)
         .groupBy(publisher, year)
         .agg(
-            exact_total(region).alias("na_total"),
-            exact_total(world).alias("global_total"),
+            exact_sum(region).alias("na_total"),
+            exact_sum(world).alias("global_total"),
             F.count_if(F.col(region).isNull()).alias("missing_titles"),
         )
     )
@@ -52,11 +57,11 @@ def best_publisher_years(rollup: DataFrame, publisher: str = "publisher", year:
     yearly = F.struct(year, "na_total", "global_total", "missing_titles")
     best = (
         rollup.groupBy(publisher)
-        .agg(F.sum("na_total").alias("na_all"), F.collect_list(yearly).alias("years"))
+        .agg(exact_sum("na_total").alias("na_all"), F.collect_list(yearly).alias("years"))
         .orderBy(F.desc_nulls_last("na_all"), F.asc(publisher))
         .limit(1)
     )
-    return best.select(publisher, F.col("na_all").cast("double"), F.explode("years").alias("y")).select(
+    return best.select(publisher, "na_all", F.explode("years").alias("y")).select(
         publisher,
         F.col(f"y.{year}").alias(year),
         rounded("y.na_total").alias("na_total"),
@@ -70,10 +75,9 @@ def missing_titles_of_best(rollup: DataFrame, publisher: str = "publisher") -> D
     """The best publisher, its regional total and its titles without regional sales."""
     return (
         rollup.groupBy(publisher)
-        .agg(F.sum("na_total").alias("na_all"), F.sum("missing_titles").alias("missing_titles"))
+        .agg(exact_sum("na_total").alias("na_all"), F.sum("missing_titles").alias("missing_titles"))
         .orderBy(F.desc_nulls_last("na_all"), F.asc(publisher))
         .limit(1)
-        .withColumn("na_all", F.col("na_all").cast("double"))
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyspark import bindings as b
 from tallyspark.functions.numeric import exact_sum, rounded
 from tallyspark.plans import sales, weather
-from tallyspark.registry.core import half_up, money_sum, query
+from tallyspark.registry.core import TOTAL_DIGITS, half_up, query, total_sum
 from tallyspark.tables import table
 
 
@@ -49,7 +49,7 @@ SUMMARY_SQL = f"""{b.WEATHER_SQL},
 summary AS (
   SELECT year, country, count(*) AS entries, {half_up("min(temperature_min)", 1)} AS temperature_min,
          {half_up("max(temperature_max)", 1)} AS temperature_max,
-         CAST({half_up("CAST(sum(CAST(snow_depth AS DECIMAL(18, 2))) AS DOUBLE) / count(*)", 0)} AS INTEGER) AS snow_depth_avg
+         CAST({half_up("fsum(snow_depth) / count(*)", 0)} AS INTEGER) AS snow_depth_avg
   FROM weather GROUP BY year, country)"""
 
 
@@ -86,8 +86,7 @@ def warm_days_with_snow(spark, sf):
                    max(CASE WHEN year = 1997 AND country = 'N' THEN temperature_max END) AS warmest,
                    max(CASE WHEN year = 1998 AND country = 'R' THEN temperature_max END)
                    - max(CASE WHEN year = 1998 AND country = 'R' THEN temperature_min END) AS spread,
-                   CAST(round(CAST(avg(CASE WHEN year = 1995 THEN snow_depth_avg END) AS DECIMAL(30, 8)), 0) AS INTEGER)
-                     AS mean_snow_depth
+                   CAST({half_up("avg(CASE WHEN year = 1995 THEN snow_depth_avg END)", 0)} AS INTEGER) AS mean_snow_depth
             FROM summary""",
 )
 def picked_values(spark, sf):
@@ -97,52 +96,55 @@ def picked_values(spark, sf):
 
 @query(
     "publisher_totals", "AG8 SL1",
-    sql=f"""WITH {b.GAME_SALES_SQL} SELECT publisher, {money_sum("na_sales")} AS na_all FROM game_sales GROUP BY publisher""",
+    sql=f"""WITH {b.GAME_SALES_SQL} SELECT publisher, {total_sum("na_sales")} AS na_all FROM game_sales GROUP BY publisher""",
 )
 def publisher_totals(spark, sf):
-    return sales.totals_best_first(b.game_sales(spark, sf), "publisher", "na_sales", "na_all")
+    totals = sales.totals_best_first(b.game_sales(spark, sf), "publisher", "na_sales", "na_all")
+    return totals.withColumn("na_all", rounded("na_all", TOTAL_DIGITS))
 
 
 ROLLUP_SQL = f"""{b.GAME_SALES_SQL},
 rollup_rows AS (
-  SELECT publisher, year, sum(CAST(na_sales AS DECIMAL(18, 2))) AS na_total,
-         sum(CAST(total_sales AS DECIMAL(18, 2))) AS global_total,
+  SELECT publisher, year, fsum(na_sales) AS na_total,
+         fsum(total_sales) AS global_total,
          count(*) FILTER (WHERE na_sales IS NULL) AS missing_titles
   FROM game_sales WHERE year BETWEEN 1996 AND 2000 GROUP BY publisher, year),
 best AS (
-  SELECT publisher, sum(na_total) AS na_all FROM rollup_rows GROUP BY publisher
+  SELECT publisher, fsum(na_total) AS na_all FROM rollup_rows GROUP BY publisher
   ORDER BY na_all DESC NULLS LAST, publisher LIMIT 1)"""
 
 
 @query(
     "best_publisher_years", "DP8 AG9 AG10",
     sql=f"""WITH {ROLLUP_SQL} SELECT publisher, year, {half_up("na_total", 2)} AS na_total,
-            {half_up("global_total", 2)} AS global_total, missing_titles, CAST(na_all AS DOUBLE) AS na_all
+            {half_up("global_total", 2)} AS global_total, missing_titles, {half_up("na_all", TOTAL_DIGITS)} AS na_all
             FROM rollup_rows JOIN best USING (publisher)""",
 )
 def best_publisher_years(spark, sf):
-    return sales.best_publisher_years(sales.publisher_years(b.game_sales(spark, sf), 1996, 2000))
+    years = sales.best_publisher_years(sales.publisher_years(b.game_sales(spark, sf), 1996, 2000, released="released"))
+    return years.withColumn("na_all", rounded("na_all", TOTAL_DIGITS))
 
 
 @query(
     "missing_titles_of_best", "DP8 AG9 AG11",
-    sql=f"""WITH {ROLLUP_SQL} SELECT publisher, CAST(any_value(na_all) AS DOUBLE) AS na_all,
+    sql=f"""WITH {ROLLUP_SQL} SELECT publisher, {half_up("any_value(na_all)", TOTAL_DIGITS)} AS na_all,
             CAST(sum(missing_titles) AS BIGINT) AS missing_titles
             FROM rollup_rows JOIN best USING (publisher) GROUP BY publisher""",
 )
 def missing_titles_of_best(spark, sf):
-    return sales.missing_titles_of_best(sales.publisher_years(b.game_sales(spark, sf), 1996, 2000))
+    best = sales.missing_titles_of_best(sales.publisher_years(b.game_sales(spark, sf), 1996, 2000, released="released"))
+    return best.withColumn("na_all", rounded("na_all", TOTAL_DIGITS))
 
 
 @query(
     "two_rounded_sums", "AG10",
-    sql=f"""SELECT l_returnflag, {half_up(money_sum("l_extendedprice"), 2)} AS price,
-            {half_up(money_sum("l_quantity"), 2)} AS quantity FROM lineitem GROUP BY l_returnflag""",
+    sql=f"""SELECT l_returnflag, {total_sum("l_extendedprice / l_quantity", 2)} AS price,
+            {total_sum("l_quantity / 3", 2)} AS quantity FROM lineitem GROUP BY l_returnflag""",
 )
 def two_rounded_sums(spark, sf):
     return table(spark, sf, "lineitem").groupBy("l_returnflag").agg(
-        rounded(exact_sum("l_extendedprice"), 2).alias("price"),
-        rounded(exact_sum("l_quantity"), 2).alias("quantity"),
+        rounded(exact_sum(F.col("l_extendedprice") / F.col("l_quantity")), 2).alias("price"),
+        rounded(exact_sum(F.col("l_quantity") / 3), 2).alias("quantity"),
     )
 
 
@@ -228,11 +230,11 @@ def tokens_of_one_text(spark, sf):
 
 @query(
     "reduce_to_grand_total", "AG19",
-    sql=f"""SELECT {half_up(money_sum("daily"), 2)} AS total FROM (
-              SELECT {half_up(money_sum("value"), 2)} AS daily FROM events GROUP BY CAST(ts AS DATE))""",
+    sql=f"""SELECT {total_sum("daily", 2)} AS total FROM (
+              SELECT {total_sum("value / 7", 2)} AS daily FROM events GROUP BY CAST(ts AS DATE))""",
 )
 def reduce_to_grand_total(spark, sf):
     daily = table(spark, sf, "events").groupBy(F.to_date("ts").alias("day")).agg(
-        rounded(exact_sum("value"), 2).alias("daily")
+        rounded(exact_sum(F.col("value") / 7), 2).alias("daily")
     )
     return daily.agg(rounded(exact_sum("daily"), 2).alias("total"))

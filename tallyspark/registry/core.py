@@ -31,9 +31,15 @@ def query(name: str, items: str, sql: str | None = None):
 
 
 def half_up(expression: str, digits: int) -> str:
-    """SQL text that rounds like ``functions.numeric.rounded``."""
-    return f"CAST(round(CAST({expression} AS DECIMAL(30, 8)), {digits}) AS DOUBLE)"
+    """SQL text that rounds like ``functions.numeric.rounded``: the decimal text of the double."""
+    text = f"CAST(CAST({expression} AS DOUBLE) AS VARCHAR)"
+    return f"CAST(round(CAST({text} AS DECIMAL(38, 16)), {digits}) AS DOUBLE)"
 
 
-def money_sum(expression: str) -> str:
-    return f"CAST(sum(CAST({expression} AS DECIMAL(18, 2))) AS DOUBLE)"
+# Decimals in which a total in a result is compared; the rows are added unrounded.
+TOTAL_DIGITS = 6
+
+
+def total_sum(expression: str, digits: int = TOTAL_DIGITS) -> str:
+    """SQL text of a rounded sum of unrounded doubles (with compensation)."""
+    return half_up(f"fsum({expression})", digits)

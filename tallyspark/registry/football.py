@@ -90,7 +90,7 @@ def best_teams(spark, sf):
     sql=f"{EVENTS} SELECT * FROM season_table JOIN pass_ratios USING (competition, season, team)",
 )
 def season_tables_with_passes(spark, sf):
-    return _seasons(spark, sf).join(fb.pass_ratios(_passes(spark, sf)), fb.TEAM_SEASON)
+    return fb.season_table_with_passes(b.match_events(spark, sf))
 
 
 @query(

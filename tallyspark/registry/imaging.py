@@ -17,10 +17,15 @@ def _scan(spark, sf):
     return im.image_key(b.images(spark, sf))
 
 
-def _counts(spark, sf):
-    """Color counts per image, then the metadata."""
-    counts = im.color_counts(_scan(spark, sf), ["image"])
-    return im.with_metadata(counts, b.image_metadata(spark, sf), "image", ["annotation", "group"])
+def _counts(spark, sf, wanted=None):
+    """Color counts per image, then the metadata. If only some metadata is
+    wanted, only the images that it names are taken apart."""
+    metadata, images = b.image_metadata(spark, sf), _scan(spark, sf)
+    if wanted is not None:
+        metadata = metadata.filter(wanted)
+        images = im.of_metadata(images, metadata)
+    counts = im.color_counts(images, ["image"])
+    return im.with_metadata(counts, metadata, "image", ["annotation", "group"])
 
 
 @query(
@@ -96,10 +101,10 @@ TOP_SQL = f"""shares AS (
 
 @query(
     "top_colors_of_image", "IM5 WN5",
-    sql=f"{IMAGES}, {TOP_SQL} SELECT * FROM shares WHERE place <= 3 AND annotation = 'doc 7'",
+    sql=f"{IMAGES}, {TOP_SQL} SELECT * FROM shares WHERE place <= 3 AND annotation = 'src7 of 7'",
 )
 def top_colors_of_image(spark, sf):
-    counts = _counts(spark, sf).filter(F.col("annotation") == "doc 7")
+    counts = _counts(spark, sf, F.col("annotation") == "src7 of 7")
     return im.top_colors(counts, KEYS, 3)
 
 
@@ -126,7 +131,7 @@ def images_with_color_order(spark, sf):
             WHERE color = 'Red' AND "group" = 'en' GROUP BY ALL ORDER BY pixels DESC, image LIMIT 5""",
 )
 def most_red_images_of_group(spark, sf):
-    counts = _counts(spark, sf).filter(F.col("group") == "en")
+    counts = _counts(spark, sf, F.col("group") == "en")
     return im.most_of_color(counts, KEYS, "Red", 5)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.numeric import exact_sum, fahrenheit_to_celsius, rounded
 from tallyspark.operators import keyed
-from tallyspark.registry.core import query
+from tallyspark.registry.core import TOTAL_DIGITS, query, total_sum
 from tallyspark.session import fresh_dir
 from tallyspark.sinks.storage import row_counts
 from tallyspark.sinks.writers import write_parquet
@@ -35,7 +35,7 @@ def _updates(spark, sf):
     totals = (
         table(spark, sf, "orders")
         .groupBy(F.col("o_custkey").alias("key"))
-        .agg(exact_sum("o_totalprice").alias("balance"))
+        .agg(rounded(exact_sum(F.col("o_totalprice") / 7), TOTAL_DIGITS).alias("balance"))
         .select("key", F.lit("updated").alias("name"), "balance")
     )
     return totals.unionByName(_new_accounts(spark, sf))
@@ -44,7 +44,7 @@ def _updates(spark, sf):
 KEYED_SQL = f"""base AS (SELECT c_custkey AS key, c_name AS name, c_acctbal AS balance FROM customer),
 new_rows AS (SELECT {NEW_KEYS_FROM} + s_suppkey AS key, s_name AS name, s_acctbal AS balance FROM supplier),
 updates AS (
-  SELECT o_custkey AS key, 'updated' AS name, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS balance
+  SELECT o_custkey AS key, 'updated' AS name, {total_sum('o_totalprice / 7')} AS balance
   FROM orders GROUP BY o_custkey UNION ALL SELECT * FROM new_rows),
 merged AS (
   SELECT * FROM base WHERE key NOT IN (SELECT key FROM updates) UNION ALL SELECT * FROM updates)"""

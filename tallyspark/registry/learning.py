@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 from tallyspark import bindings as b
 from tallyspark.functions.numeric import rounded
 from tallyspark.learning import forests, regression, scores
-from tallyspark.operators.sampling import split_by_key
+from tallyspark.operators.sampling import part_by_key, split_by_key
 from tallyspark.registry.core import half_up, query
-
-TREES, DEPTH = 5, 4  # small forests here; the functions default to 100 trees
+from tallyspark.session import written
 
 BUCKET = "CAST('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 100"
 LINE_SQL = f"""points AS (
@@ -86,9 +85,9 @@ def evaluator_rmse(spark, sf):
             {half_up("slope * x + intercept", 3)} AS prediction FROM points, line""",
 )
 def fit_series(spark, sf):
-    train, test = _parts(spark, sf)
-    model = regression.fit_line(train, ["X"])
-    series = regression.fit_series(model, train, test, "X", "label")
+    points = b.line_points(spark, sf)
+    model = regression.fit_line(split_by_key(points, "key", 80)[0], ["X"])
+    series = regression.fit_series(model, points, part_by_key("key", 80), "X", "label")
     return series.withColumn("prediction", rounded("prediction", 3))
 
 
@@ -102,17 +101,98 @@ def _minutes(spark, sf):
 
 @query("forest_classifier", "ML5 ML7 ML8")
 def forest_classifier(spark, sf):
-    return forests.run_case(_minutes(spark, sf), _case("hour from weather"), "row_key", TREES, DEPTH)
+    return forests.run_case(_minutes(spark, sf), _case("hour from weather"), "row_key")
 
 
 @query("forest_regressor", "ML6")
 def forest_regressor(spark, sf):
-    return forests.run_case(_minutes(spark, sf), _case("price from hour"), "row_key", TREES, DEPTH)
+    return forests.run_case(_minutes(spark, sf), _case("price from hour"), "row_key")
 
 
 @query("forest_experiments", "ML11 ML5 ML6")
 def forest_experiments(spark, sf):
-    return forests.run_cases(_minutes(spark, sf), "row_key", trees=TREES, depth=DEPTH)
+    return forests.run_cases(_minutes(spark, sf), "row_key")
+
+
+MINUTES_SQL = """minutes AS (
+  SELECT CAST('0x' || substr(md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 8) AS BIGINT) % 100
+           >= 80 AS is_test,
+         CAST(hour(l_shipdate + to_hours(CAST((l_linenumber * 3 + CAST(l_quantity AS INTEGER)) % 24 AS BIGINT))) AS BIGINT)
+           AS hour,
+         l_returnflag <> 'A' AS has_wind, l_linestatus <> 'F' AS has_maintenance,
+         l_extendedprice / l_quantity AS price
+  FROM lineitem)"""
+
+
+@query(
+    "forest_parts", "ML11 FLT9 SL7",
+    sql=f"WITH {MINUTES_SQL} " + " UNION ALL ".join(
+        f"""SELECT '{name}' AS "case", is_test, count(*) AS n_rows FROM minutes WHERE {test} GROUP BY is_test"""
+        for name, test in (
+            ("month from weather", "has_wind"), ("month from power", "has_maintenance"),
+            ("month from all", "has_wind AND has_maintenance"), ("hour from weather", "has_wind"),
+            ("hour from power", "has_maintenance"), ("hour from all", "has_wind AND has_maintenance"),
+            ("price from hour", "has_wind AND has_maintenance"), ("price from month", "has_wind AND has_maintenance"),
+        )
+    ),
+)
+def forest_parts(spark, sf):
+    """What the experiment runner trains and tests each case on."""
+    return forests.rows_per_part(forests.prepared(_minutes(spark, sf), "row_key"))
+
+
+@query(
+    "forest_classifier_facts", "ML5 ML7 ML8 ML11",
+    sql=f"""WITH {MINUTES_SQL} SELECT count(*) FILTER (WHERE NOT is_test) AS n_train,
+            count(*) FILTER (WHERE is_test) AS n_test, max(hour) FILTER (WHERE NOT is_test) + 1 AS classes,
+            100 AS trees, true AS chances_add_up, true AS as_reported, true AS beats_majority
+            FROM minutes WHERE has_wind""",
+)
+def forest_classifier_facts(spark, sf):
+    """Facts of a trained model: its stored predictions are counted again, plainly."""
+    case = _case("hour from weather")
+    model, predictions = forests.case_predictions(forests.prepared(_minutes(spark, sf), "row_key", cases=[case]), case)
+    stored = written(predictions.select(case.label, "prediction", "probability", "is_test"), "predictions")
+    reported = forests.case_scores(stored, case).select("accuracy", "train_accuracy").first()
+    right, test = F.col(case.label) == F.col("prediction"), F.col("is_test")
+    percent = lambda hits, of: 100 * F.count_if(hits) / F.count_if(of)
+    common = stored.filter(test).groupBy(case.label).count().agg(F.max("count")).first()[0]
+    off = F.aggregate(vector_to_array("probability"), F.lit(-1.0), lambda a, x: a + x)
+    return stored.agg(
+        F.count_if(~test).alias("n_train"),
+        F.count_if(test).alias("n_test"),
+        F.lit(model.numClasses).cast("bigint").alias("classes"),
+        F.lit(model.getNumTrees).alias("trees"),
+        (F.count_if(F.abs(off) > 1e-9) == 0).alias("chances_add_up"),
+        (
+            (F.abs(percent(right & test, test) - reported["accuracy"]) < 1e-4)
+            & (F.abs(percent(right & ~test, ~test) - reported["train_accuracy"]) < 1e-4)
+        ).alias("as_reported"),
+        (F.count_if(right & test) >= (common or 0)).alias("beats_majority"),
+    )
+
+
+@query(
+    "forest_regressor_facts", "ML6 ML4 ML11",
+    sql=f"""WITH {MINUTES_SQL} SELECT count(*) FILTER (WHERE NOT is_test) AS n_train,
+            count(*) FILTER (WHERE is_test) AS n_test, 100 AS trees, true AS as_reported, true AS beats_mean
+            FROM minutes WHERE has_wind AND has_maintenance""",
+)
+def forest_regressor_facts(spark, sf):
+    case = _case("price from hour")
+    model, predictions = forests.case_predictions(forests.prepared(_minutes(spark, sf), "row_key", cases=[case]), case)
+    stored = written(predictions.select(case.label, "prediction", "is_test"), "predictions")
+    reported = forests.case_scores(stored, case).first()["rmse"]
+    test = F.col("is_test")
+    error = F.when(test, F.col(case.label) - F.col("prediction"))
+    rmse = F.sqrt(F.avg(error * error))
+    return stored.agg(
+        F.count_if(~test).alias("n_train"),
+        F.count_if(test).alias("n_test"),
+        F.lit(model.getNumTrees).alias("trees"),
+        (F.abs(rmse - reported) < 1e-4).alias("as_reported"),
+        (rmse <= F.stddev_pop(F.when(test, F.col(case.label)))).alias("beats_mean"),
+    )
 
 
 @query(
@@ -170,7 +250,7 @@ def cyclic_closeness(spark, sf):
 
 @query(
     "true_class_probability", "ML10",
-    sql=f"""WITH {b.CLASS_SQL} SELECT {half_up("CAST(sum(CAST(given AS DECIMAL(24, 12))) AS DOUBLE) / count(*) * 100", 4)}
+    sql=f"""WITH {b.CLASS_SQL} SELECT {half_up("fsum(given) / count(*) * 100", 4)}
             AS mean_probability FROM predictions""",
 )
 def true_class_probability(spark, sf):

@@ -23,13 +23,8 @@ from tallyspark.tables import table
            FROM customer""",
 )
 def positions_in_group(spark, sf):
-    ranked = ranking.positions(
-        table(spark, sf, "customer"),
-        ["c_nationkey"],
-        -F.floor(F.col("c_acctbal") / 10),  # about a thousand levels per nation
-        [F.desc("c_acctbal"), F.asc("c_custkey")],
-        "place",
-    )
+    order = [F.desc("c_acctbal"), F.asc("c_custkey")]
+    ranked = ranking.positions(table(spark, sf, "customer"), ["c_nationkey"], order, "place")
     return ranked.select("c_nationkey", "c_custkey", "place")
 
 
@@ -158,8 +153,7 @@ def sample_by_suffix(spark, sf):
                   THEN 'train' ELSE 'test' END AS part FROM orders""",
 )
 def split_by_key(spark, sf):
-    train, test = sampling.split_by_key(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 80)
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return table(spark, sf, "orders").select("o_orderkey", sampling.part_by_key("o_orderkey", 80).alias("part"))
 
 
 @query("random_split_sizes", "SL7", sql="SELECT count(*) AS n, true AS both_filled FROM orders")

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tallyspark import bindings as b
 from tallyspark.functions import numeric, temporal
-from tallyspark.operators.partitioning import spread
+from tallyspark.functions.temporal import within_years
+from tallyspark.functions.words import NOT_BLANK, not_blank
 from tallyspark.operators.profile import column_profile
 from tallyspark.registry.core import half_up, query
 from tallyspark.tables import table
@@ -77,7 +78,10 @@ def casts(spark, sf):
     )
 
 
-PROFILED = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "regional": "double"}
+PROFILED = {
+    "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
+    "o_orderdate": "timestamp_ntz", "o_orderpriority": "string", "regional": "double",
+}
 
 
 @query(
@@ -91,7 +95,7 @@ PROFILED = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "str
 )
 def profile(spark, sf):
     regional = F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("regional")
-    return column_profile(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", regional))
+    return column_profile(table(spark, sf, "orders").select("*", regional))
 
 
 @query(
@@ -135,7 +139,7 @@ def filter_compare(spark, sf):
 )
 def filter_closed_range(spark, sf):
     orders = table(spark, sf, "orders")
-    return orders.filter(F.year("o_orderdate").between(1996, 2000)).select("o_orderkey")
+    return orders.filter(within_years("o_orderdate", 1996, 2000)).select("o_orderkey")
 
 
 @query(
@@ -160,11 +164,11 @@ def filter_array_member(spark, sf):
 @query(
     "filter_regex", "FLT6",
     sql=f"""WITH {b.LINES_SQL} SELECT value, count(*) AS n FROM lines
-            WHERE regexp_matches(value, '\\S') AND regexp_matches(value, '^[a-zA-Z ]+$') GROUP BY value""",
+            WHERE regexp_matches(value, '{NOT_BLANK}') AND regexp_matches(value, '^[a-zA-Z ]+$') GROUP BY value""",
 )
 def filter_regex(spark, sf):
     lines = b.lines_of_text(spark, sf)
-    plain = lines.filter(F.col("value").rlike(r"\S") & F.col("value").rlike("^[a-zA-Z ]+$"))
+    plain = lines.filter(not_blank("value") & F.col("value").rlike("^[a-zA-Z ]+$"))
     return plain.groupBy("value").agg(_count())
 
 
@@ -221,10 +225,10 @@ def fill_null(spark, sf):
 
 @query(
     "filter_blank_lines", "FLT11",
-    sql=f"""WITH {b.LINES_SQL} SELECT count(*) AS n FROM lines WHERE trim(value) <> ''""",
+    sql=f"""WITH {b.LINES_SQL} SELECT count(*) AS n FROM lines WHERE regexp_matches(value, '{NOT_BLANK}')""",
 )
 def filter_blank_lines(spark, sf):
-    return b.lines_of_text(spark, sf).filter(F.trim("value") != "").agg(_count())
+    return b.lines_of_text(spark, sf).filter(not_blank("value")).agg(_count())
 
 
 # --- scalar functions --------------------------------------------------------
@@ -414,7 +418,7 @@ def seeded_column(spark, sf):
 )
 def fifth_roots(spark, sf):
     root = numeric.rounded(numeric.fifth_root("o_totalprice"), 6)
-    orders = spread(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     return orders.select("o_orderkey", root.alias("root"))
 
 

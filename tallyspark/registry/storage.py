@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark import bindings as b
-from tallyspark.functions.numeric import exact_total
-from tallyspark.functions.words import not_blank
+from tallyspark.functions.numeric import exact_sum, rounded
+from tallyspark.functions.words import NOT_BLANK, not_blank
 from tallyspark.plans import schema_change as change
 from tallyspark.plans.images import image_key
-from tallyspark.registry.core import query
+from tallyspark.registry.core import TOTAL_DIGITS, query, total_sum
 from tallyspark.session import fresh_dir
 from tallyspark.sinks import storage, writers
 from tallyspark.sources import readers
@@ -50,8 +50,8 @@ def literal_rows(spark, sf):
 
 @query(
     "literal_rows_with_schema", "SRC2 AG8",
-    sql="""SELECT CAST(w.weight AS INTEGER) AS weight,
-                  CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total
+    sql=f"""SELECT CAST(w.weight AS INTEGER) AS weight,
+                  {total_sum("o_totalprice / 7")} AS total
            FROM orders JOIN (VALUES ('1', 5), ('2', 4), ('3', 3), ('4', 2), ('5', 1)) w(rank, weight)
              ON substr(o_orderpriority, 1, 1) = w.rank GROUP BY 1""",
 )
@@ -61,20 +61,21 @@ def literal_rows_with_schema(spark, sf):
     totals = (
         table(spark, sf, "orders")
         .groupBy(F.substring("o_orderpriority", 1, 1).alias("rank"))
-        .agg(exact_total("o_totalprice").alias("t"))
+        .agg(exact_sum(F.col("o_totalprice") / 7).alias("t"))
     )
-    joined = totals.join(weights, "rank").groupBy("weight").agg(F.sum("t").cast("double").alias("total"))
+    joined = totals.join(weights, "rank").groupBy("weight").agg(rounded(exact_sum("t"), TOTAL_DIGITS).alias("total"))
     return joined
 
 
 @query(
     "csv_header_strings", "SRC3 SNK1",
     sql=f"""WITH {ORDERS_TEXT_SQL} SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
-            CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_orderdate, o_orderpriority FROM orders_text""",
+            CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice,
+            o_orderdate, o_orderpriority FROM orders_text""",
 )
 def csv_header_strings(spark, sf):
     path = writers.write_csv(_orders_as_text(spark, sf), fresh_dir(spark, "csv"))
-    return readers.read_csv(spark, path).drop("o_totalprice")
+    return readers.read_csv(spark, path)
 
 
 @query(
@@ -96,16 +97,17 @@ def csv_semicolon_inferred(spark, sf):
 @query(
     "csv_pipe_directory", "SRC5 SNK3",
     sql=f"""WITH {ORDERS_TEXT_SQL}, both_parts AS (
-              SELECT o_orderkey, o_orderstatus FROM orders_text
-              UNION ALL SELECT -1 - o_orderkey, o_orderstatus FROM orders_text)
-            SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus FROM both_parts""",
+              SELECT * FROM orders_text
+              UNION ALL SELECT * REPLACE (-1 - o_orderkey AS o_orderkey) FROM orders_text)
+            SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+            CAST(o_totalprice AS VARCHAR) AS o_totalprice, o_orderdate, o_orderpriority FROM both_parts""",
 )
 def csv_pipe_directory(spark, sf):
     orders = _orders_as_text(spark, sf)
     path = writers.write_csv(orders, fresh_dir(spark, "csv"), PIPE)
     negated = orders.withColumn("o_orderkey", F.lit(-1) - F.col("o_orderkey"))
     writers.append_csv(negated, path, PIPE)
-    return readers.read_csv(spark, path, PIPE).select("o_orderkey", "o_orderstatus")
+    return readers.read_csv(spark, path, PIPE)
 
 
 @query(
@@ -139,7 +141,7 @@ def parquet_selected_columns(spark, sf):
 @query(
     "text_lines", "SRC9 FLT11",
     sql=f"""WITH {b.LINES_SQL} SELECT count(*) AS n_lines, count(DISTINCT value) AS distinct_lines,
-            CAST(sum(length(value)) AS BIGINT) AS n_chars FROM lines WHERE regexp_matches(value, '\\S')""",
+            CAST(sum(length(value)) AS BIGINT) AS n_chars FROM lines WHERE regexp_matches(value, '{NOT_BLANK}')""",
 )
 def text_lines(spark, sf):
     path = writers.write_lines(table(spark, sf, "documents"), fresh_dir(spark, "text"), "text")
@@ -154,13 +156,11 @@ def text_lines(spark, sf):
 
 @query(
     "snapshot_scan", "SRC10 SNK2",
-    sql=f"WITH {b.ACCIDENTS_SQL} SELECT ID, Start_Time, End_Time, City, Temperature_F FROM accidents",
+    sql=f"WITH {b.ACCIDENTS_SQL} SELECT * FROM accidents",
 )
 def snapshot_scan(spark, sf):
     path = writers.write_parquet(b.accidents(spark, sf), fresh_dir(spark, "snapshot"))
-    return _accident_text(readers.read_parquet(spark, path)).select(
-        "ID", "Start_Time", "End_Time", "City", "Temperature_F"
-    )
+    return _accident_text(readers.read_parquet(spark, path))
 
 
 def _accident_text(df):
@@ -263,7 +263,9 @@ store AS (
 def _changed_store(spark, sf) -> str:
     base = b.accidents(spark, sf)
     path = writers.write_parquet(base, fresh_dir(spark, "store"))
-    same = change.same_schema_rows(change.latest_rows(base, "F", 73))
+    # The latest rows are picked once; both appends read them from a table.
+    picked = writers.write_parquet(change.latest_rows(readers.read_parquet(spark, path), "F", 73), fresh_dir(spark, "latest"))
+    same = change.same_schema_rows(readers.read_parquet(spark, picked))
     writers.append_parquet(same, path)
     return writers.append_parquet(change.changed_schema_rows(same), path)
 
@@ -278,7 +280,11 @@ def append_merged_schema(spark, sf):
     sql=f"""WITH {CHANGED_SQL}
             SELECT ID, Start_Time, End_Time,
                    CASE WHEN Temperature_C IS NULL THEN Description ELSE City END AS Description,
-                   CASE WHEN Temperature_C IS NULL THEN City ELSE County END AS City FROM store""",
+                   CASE WHEN Temperature_C IS NULL THEN City ELSE County END AS City,
+                   CASE WHEN Temperature_C IS NULL THEN County ELSE State END AS County,
+                   CASE WHEN Temperature_C IS NULL THEN State ELSE CAST(Temperature_C AS VARCHAR) END AS State,
+                   CASE WHEN Temperature_C IS NULL THEN CAST(Temperature_F AS VARCHAR) ELSE AddedColumn1 END AS Temperature_F
+            FROM store""",
 )
 def csv_store_after_changed_append(spark, sf):
     """A CSV store matches columns by position, so the changed rows are shifted."""
@@ -289,24 +295,38 @@ def csv_store_after_changed_append(spark, sf):
     writers.append_csv(change.changed_schema_rows(same), path, PIPE)
     names = ["ID", "Start_Time", "End_Time", "Description", "City", "County", "State", "Temperature_F"]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    options = CsvOptions(sep="|", multi_line=True)
-    return readers.read_csv(spark, path, options, schema=schema).select(*names[:5])
+    return readers.read_csv(spark, path, PIPE, schema=schema)
 
 
 @query(
     "rows_per_file", "SNK9",
-    sql="SELECT 'lineitem.parquet' AS file_name, count(*) AS n_rows, true AS has_bytes FROM lineitem",
+    sql="SELECT count(*) AS n_rows, true AS one_row_per_file, true AS have_bytes FROM lineitem",
 )
 def rows_per_file(spark, sf):
-    return storage.rows_per_file(table(spark, sf, "lineitem")).select(
-        "file_name", "n_rows", (F.col("file_bytes") > 0).alias("has_bytes")
+    """Files of the table, however many it has: their rows add up to those of the table."""
+    per_file = storage.rows_per_file(table(spark, sf, "lineitem"))
+    return per_file.agg(
+        F.sum("n_rows").alias("n_rows"),
+        (F.count(F.lit(1)) == F.count_distinct("file_path")).alias("one_row_per_file"),
+        (F.min("file_bytes") > 0).alias("have_bytes"),
     )
 
 
-@query("storage_profile", "SNK9")
+@query(
+    "storage_profile", "SNK9",
+    sql="SELECT true AS has_files, true AS same_bytes, true AS same_megabytes",
+)
 def storage_profile(spark, sf):
+    """The profile of a written table against the list of its files."""
     path = writers.write_parquet(table(spark, sf, "lineitem"), fresh_dir(spark, "profile"))
-    return storage.storage_profile(spark, path)
+    listed = storage.storage_files(spark, path).agg(F.sum("bytes").alias("listed"), F.count(F.lit(1)).alias("n"))
+    profile = storage.storage_profile(spark, path)
+    # One row each, joined on what must be equal: their number of files.
+    return profile.join(listed, F.col("files") == F.col("n")).select(
+        (F.col("files") > 0).alias("has_files"),
+        (F.col("bytes") == F.col("listed")).alias("same_bytes"),
+        (F.abs(F.col("megabytes") - F.col("listed") / 1048576) <= 0.005).alias("same_megabytes"),
+    )
 
 
 @query(

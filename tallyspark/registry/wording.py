@@ -9,13 +9,13 @@ from tallyspark.tables import table
 
 WORDS_SQL = {
     "no_digits": """words AS (
-  SELECT word FROM (SELECT unnest(regexp_split_to_array(text, '\\s+')) AS word FROM documents)
+  SELECT word FROM (SELECT unnest(regexp_split_to_array(text, '[\\x09-\\x0d\\x1c-\\x20\\x{85}\\p{Z}]+')) AS word FROM documents)
   WHERE word <> '' AND NOT regexp_matches(word, '[0-9]'))""",
     "letters": """words AS (
-  SELECT word FROM (SELECT unnest(regexp_split_to_array(replace(text, '.', ''), '\\s+')) AS word FROM documents)
+  SELECT word FROM (SELECT unnest(regexp_split_to_array(replace(text, '.', ''), '[\\x09-\\x0d\\x1c-\\x20\\x{85}\\p{Z}]+')) AS word FROM documents)
   WHERE regexp_matches(word, '^\\p{L}+$'))""",
     "ascii": """words AS (
-  SELECT word FROM (SELECT unnest(regexp_split_to_array(lower(translate(text, '.,!?:''', '')), '\\s+')) AS word
+  SELECT word FROM (SELECT unnest(regexp_split_to_array(lower(translate(text, '.,!?:''', '')), '[\\x09-\\x0d\\x1c-\\x20\\x{85}\\p{Z}]+')) AS word
                     FROM documents)
   WHERE regexp_matches(word, '^[a-zA-Z]+$'))""",
 }
@@ -67,7 +67,7 @@ def words_of_lines(spark, sf):
 @query(
     "tokens_of_conversations", "AG29 TX1",
     sql="""SELECT word, count(*) AS count
-           FROM (SELECT unnest(regexp_split_to_array(text, '\\s+')) AS word FROM conversations)
+           FROM (SELECT unnest(regexp_split_to_array(text, '[\\x09-\\x0d\\x1c-\\x20\\x{85}\\p{Z}]+')) AS word FROM conversations)
            WHERE word <> '' AND NOT regexp_matches(word, '[0-9]') GROUP BY word""",
 )
 def tokens_of_conversations(spark, sf):

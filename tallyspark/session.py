@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans rely on. All can be changed on a running session.
 RUNTIME_SETTINGS = {
@@ -27,24 +28,14 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# Wanted size of a shuffle partition, and most partitions per core.
+# Wanted size of a shuffle partition.
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
-SHUFFLE_PARTITIONS_PER_CORE = 32
 
 
-def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
-    """Shuffle partitions for an input: one per core at least, about 128 MB each,
-    but not more than the driver can schedule well."""
-    wanted = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
-    return max(cores, min(wanted, SHUFFLE_PARTITIONS_PER_CORE * cores))
-
-
-def size_shuffles(spark: SparkSession, input_bytes: int) -> SparkSession:
-    """Set the initial number of shuffle partitions; adaptive execution merges
-    those that turn out small, but it cannot make more of them."""
-    cores = spark.sparkContext.defaultParallelism
-    spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions_for(input_bytes, cores)))
-    return spark
+def shuffle_partitions_for(input_bytes: int, cores: int = 1) -> int:
+    """A good ``spark.sql.shuffle.partitions`` for an input: about 128 MB each and
+    at least one per core. Set it when the session is built; no query changes it."""
+    return max(cores, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
 
 
 def build_session(
@@ -71,15 +62,16 @@ def build_session(
 def work_root(spark: SparkSession) -> str:
     """Shared folder for written tables, stream state and checkpoints.
 
-    Taken from ``spark.checkpoint.dir``. Only a local session may fall back to
-    a temporary folder; on a cluster executors could not see it.
+    Taken from ``spark.checkpoint.dir``. Only a session within one process may
+    fall back to a temporary folder; other executors could not see it. What is
+    below belongs to the session: remove the folder when it ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="tallyspark-")
     spark.conf.set("spark.checkpoint.dir", root)
@@ -89,3 +81,14 @@ def work_root(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path below the work folder that nobody has used before."""
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows from a Parquet table in the work folder.
+
+    What follows reads the table and not the steps that made it, so a lost
+    executor costs a read, and a table used twice is computed once.
+    """
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

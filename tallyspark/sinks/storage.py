@@ -31,7 +31,7 @@ def storage_profile(spark: SparkSession, path: str) -> DataFrame:
 def rows_per_file(df: DataFrame) -> DataFrame:
     """Rows per scanned file of a file-based DataFrame."""
     return df.groupBy(
-        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_size").alias("file_bytes"),
     ).agg(F.count(F.lit(1)).alias("n_rows"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallyspark.sources.readers import CsvOptions
 
@@ -10,6 +11,16 @@ from tallyspark.sources.readers import CsvOptions
 def write_csv(
     df: DataFrame, path: str, options: CsvOptions = CsvOptions(), mode: str = "errorifexists"
 ) -> str:
+    """Write as CSV. In a store that is read line by line, a value with a line
+    break would come back as several rows, so it is an error."""
+    if not options.multi_line:
+        df = df.withColumns(
+            {
+                c: F.when(F.col(c).rlike("[\\r\\n]"), F.raise_error(F.lit(f"line break in column {c}"))).otherwise(F.col(c))
+                for c, kind in df.dtypes
+                if kind == "string"
+            }
+        )
     df.write.options(**options.as_options()).mode(mode).csv(path)
     return path
 

@@ -17,12 +17,14 @@ class CsvOptions:
     header: bool = True
     multi_line: bool = False
     quote: str = '"'
+    null_mark: str = "\\N"  # an empty text is "" and no NULL
 
     def as_options(self) -> dict[str, str]:
         options = {
             "sep": self.sep,
             "header": str(self.header).lower(),
             "quote": self.quote,
+            "nullValue": self.null_mark,
             # Writers trim values unless told not to.
             "ignoreLeadingWhiteSpace": "false",
             "ignoreTrailingWhiteSpace": "false",
@@ -99,6 +101,9 @@ def named_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def file_stem(path) -> Column:
-    """File name of a path without folder and extension."""
+    """File name of a path or file URI without folder and extension, decoded."""
     path = F.col(path) if isinstance(path, str) else path
-    return F.regexp_extract(path, r"([^/]+?)(\.[^./]*)?$", 1)
+    stem = F.regexp_extract(path, r"([^/]+?)(\.[^./]*)?$", 1)
+    # In a URI only %xx stands for something else; a plus is a plus.
+    plain = F.try_url_decode(F.replace(stem, F.lit("+"), F.lit("%2B")))
+    return F.when(path.rlike("^[a-z][a-z0-9]*:/"), F.coalesce(plain, stem)).otherwise(stem)

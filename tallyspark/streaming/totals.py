@@ -55,9 +55,12 @@ def start_to_files(result: DataFrame, path: str, checkpoint: str, drain: bool =
     return (writer.trigger(availableNow=True) if drain else writer).start()
 
 
-def finish(query: StreamingQuery, seconds: int = 600) -> StreamingQuery:
-    """Wait for a draining query; stop it and fail if it takes too long."""
-    if not query.awaitTermination(seconds):
+def finish(query: StreamingQuery, seconds: int | None = None) -> StreamingQuery:
+    """Wait for a draining query to end. With a limit it is stopped and fails
+    if it takes longer."""
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
         query.stop()
         raise TimeoutError(f"stream did not finish within {seconds} s")
     return query
@@ -71,10 +74,16 @@ def drain_to_table(spark: SparkSession, result: DataFrame, label: str = "totals"
 
 
 def drain_to_files(spark: SparkSession, result: DataFrame, label: str = "totals") -> DataFrame:
-    """Run a stream over its present data; the final state from files."""
+    """Run a stream over its present data; the final state from files.
+
+    Without any input there is no batch, and the result has no rows.
+    """
     path = fresh_dir(spark, f"result-{label}")
     query = finish(start_to_files(result, path, fresh_dir(spark, f"state-{label}"), drain=True))
-    return spark.read.parquet(f"{path}/batch={query.lastProgress['batchId']}")
+    last = [p["batchId"] for p in query.recentProgress if p["numInputRows"]]
+    if not last:
+        return spark.createDataFrame([], result.schema)
+    return spark.read.parquet(f"{path}/batch={last[-1]}")
 
 
 def agreement(batch: DataFrame, streamed: DataFrame, day: str) -> DataFrame:

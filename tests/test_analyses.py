@@ -119,7 +119,7 @@ TITLES = [
 def test_best_publisher(frame):
     df = frame(TITLES, "publisher string, year int, na_sales double, total_sales double")
     rollup = sales.publisher_years(df, 2006, 2015)
-    assert rows(sales.missing_titles_of_best(rollup)) == [("Ann", 1.11, 1)]
+    assert rows(sales.missing_titles_of_best(rollup)) == [("Ann", 1.105, 1)]
     best = sales.best_publisher_years(rollup)
     assert rows(best.select("year", "na_total", "global_total", "missing_titles")) == [(2006, 1.0, 3.0, 1), (2007, 0.11, 0.2, 0)]
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from tallyspark.session import shuffle_partitions_for
-from tallyspark.operators import joins, keyed, partitioning, profile, ranking, sampling
+from tallyspark.operators import joins, keyed, profile, ranking, sampling
 
 BASE = [("a", 49.0, None), ("b", 58.0, None), ("c", 48.0, None), ("x", 31.0, None), ("y", 31.0, None), ("z", 31.0, None)]
 UPDATES = [("a", 63.6, None), ("b", 59.9, None), ("c", 13.5, None), ("d", 7.7, None), ("e", 85.4, None)]
@@ -37,6 +37,15 @@ def test_duplicate_check_survives_column_pruning(frame):
     twice = frame([("a", 1.0, None), ("a", 2.0, None)], SCHEMA)
     with pytest.raises(PySparkException, match="two rows for one key"):
         keyed.upsert(frame(BASE, SCHEMA), twice, ["ID"]).select("ID").collect()
+    for use in (lambda df: df.count(), lambda df: df.select("F").collect(), lambda df: df.select(F.lit(1)).collect()):
+        with pytest.raises(PySparkException, match="two rows for one key"):
+            use(keyed.upsert(frame(BASE, SCHEMA), twice, ["ID"]))
+
+
+def test_null_keys_match_nothing(frame):
+    base = frame([(None, 1.0, None), ("a", 2.0, None)], SCHEMA)
+    merged = keyed.upsert(base, frame([(None, 3.0, None), (None, 4.0, None), ("a", 5.0, None)], SCHEMA), ["ID"])
+    assert rows(merged.select("ID", "F")) == [("a", 5.0), (None, 1.0), (None, 3.0), (None, 4.0)]
 
 
 def test_upsert_into_and_from_nothing(frame, spark):
@@ -83,9 +92,30 @@ def test_positions_equal_a_plain_window(spark):
     df = skewed(spark)
     order = [F.desc("v"), F.asc("id")]
     want = df.withColumn("p", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
-    for level in (-F.col("v"), -F.floor(F.col("v") / 10)):
-        got = ranking.positions(df, ["g"], level, order, "p")
-        assert rows(got.select("g", "v", "id", "p")) == rows(want.select("g", "v", "id", "p"))
+    got = ranking.positions(df, ["g"], order, "p")
+    assert rows(got.select("g", "v", "id", "p")) == rows(want.select("g", "v", "id", "p"))
+
+
+def test_positions_split_a_value_that_a_third_of_all_rows_has(spark):
+    """All positions are given once, and no range holds the hot value alone."""
+    data = [("hot", 7, i) if i % 3 == 0 else (f"g{i % 5}", i % 9, i) for i in range(6000)] + [(None, 1, -1)]
+    df = spark.createDataFrame(data, "g string, v int, id int").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = ranking.positions(df, ["g"], [F.desc("v")], "p").collect()
+        ranges = df.repartitionByRange(F.col("g"), F.desc("v"), F.xxhash64("g", "v", "id"))
+        sizes = ranges.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(r["count"] for r in sizes) < 2000
+    per_group = {}
+    for r in got:
+        per_group.setdefault(r.g, []).append((r.p, r.v))
+    for members in per_group.values():
+        assert sorted(p for p, _ in members) == list(range(1, len(members) + 1))
+        values = [v for _, v in sorted(members)]
+        assert values == sorted(values, reverse=True)
+    assert len(got) == 6001 and len(per_group[None]) == 1
 
 
 def test_top_n_cuts_before_the_shuffle(spark):
@@ -163,10 +193,20 @@ def test_shuffle_partitions_follow_the_input():
     gigabyte = 1 << 30
     assert shuffle_partitions_for(0, 8) == 8
     assert shuffle_partitions_for(16 * gigabyte, 8) == 128
-    assert shuffle_partitions_for(100_000 * gigabyte, 4000) == 32 * 4000
+    assert shuffle_partitions_for(100_000 * gigabyte, 2) == shuffle_partitions_for(100_000 * gigabyte, 4000) == 800_000
+
+
+def test_queries_leave_the_shuffle_setting_alone(spark):
+    import __spark_entry__ as entry_points
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        entry_points.queries()["count_per_key"](spark, "/root/testdata/sf0.001")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "13"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_spread_leaves_wide_input_alone(spark):
-    wide, narrow = spark.range(0, 100, 1, 64), spark.range(0, 100, 1, 1)
-    assert partitioning.spread(wide) is wide
-    assert partitioning.spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_zero_has_no_sign_in_a_profile(frame):
+    assert rows(profile.column_profile(frame([(0.0,), (-0.0,), (1.5,)], "d double"))) == [("d", "double", 0, 2)]

@@ -4,6 +4,7 @@ import struct
 import zlib
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import SMALL, plan, rows
@@ -21,6 +22,7 @@ AWKWARD = [
     (4, "  blanks  ", 0.0),
     (5, "back\\slash", 3.0),
     (6, None, 4.0),
+    (7, "", 5.0),
 ]
 
 
@@ -32,6 +34,26 @@ def test_csv_round_trip_keeps_awkward_text(frame, spark, sep):
     assert rows(readers.read_csv(spark, path, options, schema=df.schema)) == rows(df)
 
 
+def test_line_breaks_need_a_multi_line_store(frame, spark):
+    with pytest.raises(PySparkException, match="line break in column t"):
+        writers.write_csv(frame([(1, "two\nlines")], "k int, t string"), fresh_dir(spark, "csv"))
+
+
+def test_rows_per_file_tells_files_of_one_name_apart(spark, tmp_path):
+    for day in (1, 2):
+        spark.range(5).coalesce(1).write.parquet(str(tmp_path / "raw" / str(day)))
+        (tmp_path / "all" / f"d={day}").mkdir(parents=True)
+        part = next((tmp_path / "raw" / str(day)).glob("part-*"))
+        (tmp_path / "all" / f"d={day}" / "part-0.parquet").write_bytes(part.read_bytes())
+    assert [r.n_rows for r in storage.rows_per_file(spark.read.parquet(str(tmp_path / "all"))).collect()] == [5, 5]
+
+
+def test_file_stems_of_uris_are_decoded(spark):
+    paths = ["file:/x/my%20flag.png", "file:///x/a%231.png", "/x/100%25.png", "file:/x/a+b.png", "file:/x/50%.png"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    assert [r[0] for r in df.select(readers.file_stem("p")).collect()] == ["my flag", "a#1", "100%25", "a+b", "50%"]
+
+
 def test_csv_types(frame, spark):
     path = writers.write_csv(frame([(1, "a", 1.5)], "k int, t string, v double"), fresh_dir(spark, "csv"))
     assert [t for _, t in readers.read_csv(spark, path).dtypes] == ["string"] * 3

@@ -88,6 +88,13 @@ def test_restart_goes_on_where_it_stopped(spark, folder):
     assert rows(spark.read.parquet(f"{path}/batch={last}")) == rows(batch)
 
 
+def test_a_stream_without_files_has_no_rows(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    stream = readers.stream_csv(spark, str(tmp_path / "empty"), schemas.SALES, NO_HEADER)
+    drained = totals.drain_to_files(spark, totals.running_totals(stream))
+    assert drained.count() == 0 and drained.columns == ["orderDate", "totalPrice", "totalCount"]
+
+
 def test_agreement_reports_differences(frame):
     schema = "orderDate string, totalPrice double, totalCount bigint"
     a = frame([("d1", 1.0, 1), ("d2", 2.0, 2), ("d3", 3.0, 3)], schema)
