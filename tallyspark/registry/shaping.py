@@ -50,14 +50,14 @@ def home_and_away_views(spark, sf):
 @query(
     "computed_and_constant_columns", "PRJ3 PRJ6 SC1",
     sql="""SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, 'store' AS channel,
-                  CAST(CAST(o_totalprice AS DECIMAL(18, 2)) * 2 AS DOUBLE) AS doubled FROM orders""",
+                  o_totalprice * 2 AS doubled FROM orders""",
 )
 def computed_and_constant_columns(spark, sf):
     return table(spark, sf, "orders").select(
         "o_orderkey",
         F.year("o_orderdate").alias("year"),
         F.lit("store").alias("channel"),
-        (numeric.exact("o_totalprice") * 2).cast("double").alias("doubled"),
+        (F.col("o_totalprice") * 2).alias("doubled"),
     )
 
 
@@ -100,14 +100,14 @@ def profile(spark, sf):
 
 @query(
     "column_sums", "PRJ9",
-    sql="""SELECT CAST(CAST(l_quantity AS DECIMAL(18, 2)) + l_linenumber AS DOUBLE) AS two_terms,
-                  CAST(CAST(l_quantity AS DECIMAL(18, 2)) + l_linenumber + CAST(l_tax AS DECIMAL(18, 2)) AS DOUBLE)
+    sql="""SELECT l_quantity + l_linenumber AS two_terms,
+                  l_quantity + l_linenumber + l_tax
                     AS three_terms
            FROM lineitem""",
 )
 def column_sums(spark, sf):
-    two = numeric.exact("l_quantity") + F.col("l_linenumber")
-    three = two + numeric.exact("l_tax")
+    two = F.col("l_quantity") + F.col("l_linenumber")
+    three = two + F.col("l_tax")
     return table(spark, sf, "lineitem").select(two.cast("double").alias("two_terms"), three.cast("double").alias("three_terms"))
 
 

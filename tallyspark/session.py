@@ -18,6 +18,8 @@ RUNTIME_SETTINGS = {
     # needs one more shuffle: a single task with a third of all rows costs more.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.ansi.enabled": "true",
+    # Rows with long texts: batches for Python stay at some megabytes.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
