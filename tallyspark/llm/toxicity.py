@@ -40,7 +40,7 @@ ROUNDS, BATCH, RATE = 6, 128, 0.01
 # few windows are used several times.
 ROUND_WINDOWS, LEADING = 8192, 2
 TOXIC_FROM = 0.7
-WORDS_KEPT = 250_000
+WORDS_KEPT = 150_000
 WINDOWS_AT_ONCE, ROWS_AT_ONCE = 2048, 256
 
 WORD = re.compile(r"[^\W\d_]+")
