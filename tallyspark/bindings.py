@@ -311,8 +311,8 @@ lengths AS (
   SELECT matchId, CAST(45 + coalesce(ceil(max(eventTime) FILTER (WHERE eventPeriod = '2H') / 60), 0) AS INTEGER) AS minutes
   FROM match_events GROUP BY matchId),
 minutes_played AS (
-  SELECT playerId, season, CAST(sum(greatest(coalesce(exit, minutes) - enter, 0)) AS BIGINT) AS minutes
-  FROM stints JOIN lengths USING (matchId) GROUP BY playerId, season),
+  SELECT playerId, season, CAST(sum(greatest(coalesce(exit, minutes, 45) - enter, 0)) AS BIGINT) AS minutes
+  FROM stints LEFT JOIN lengths USING (matchId) GROUP BY playerId, season),
 goals AS (
   SELECT matchId, CASE WHEN eventTeam = awayTeam THEN 1 ELSE -1 END AS value,
          CASE WHEN eventPeriod = '2H' THEN 2 ELSE 1 END AS half, eventTime

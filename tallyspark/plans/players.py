@@ -80,9 +80,10 @@ def minutes_played(matches: DataFrame, events: DataFrame) -> DataFrame:
     """Total minutes per player and season.
 
     Match rows and their lengths are joined one to one before the players are
-    unfolded, so the shuffle moves matches and not player rows.
+    unfolded, so the shuffle moves matches and not player rows. A match without
+    any event lasts as long as one without a second half.
     """
-    timed = matches.join(match_lengths(events), "matchId")
+    timed = matches.join(match_lengths(events), "matchId", "left").fillna(FIRST_HALF_MINUTES, ["minutes"])
     played = F.coalesce("exit", "minutes") - F.col("enter")
     return (
         stints(timed, keep=("minutes",))
