@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspark.operators.ranking import top_n
 from tallyspark.session import written
 from tallyspark.tables import table
 
-__all__ = ["bounded_keys", "crc_of_id", "in_remainder", "table", "with_new_columns", "written"]
+__all__ = ["bounded_keys", "crc_of_id", "first_by_hash", "in_remainder", "table", "with_new_columns", "written"]
 
 
 def crc_of_id(key: str) -> Column:
@@ -21,16 +22,28 @@ def in_remainder(key: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(crc_of_id(key) % modulus == remainder, F.lit(False))
 
 
+PARTS_OF_A_GROUP = 64
+
+
+def first_by_hash(df: DataFrame, groups: list[str], key: str, limit: int) -> DataFrame:
+    """Distinct keys of each group, at most ``limit`` of them in hash order.
+
+    Hash order makes the choice independent of partitioning and retries. Every
+    group is cut to the limit in parts first, so that a group with a third of
+    all rows, or very many partitions, is not left to one task.
+    """
+    part = F.pmod(F.xxhash64(key), F.lit(PARTS_OF_A_GROUP))
+    order = [F.xxhash64(key), F.col(key)]
+    keys = df.filter(F.col(key).isNotNull()).select(*groups, key).distinct().withColumn("__part", part)
+    return top_n(top_n(keys, [*groups, "__part"], order, limit).drop("__part"), groups, order, limit)
+
+
 def bounded_keys(keys: DataFrame, key: str, limit: int) -> list:
     """At most ``limit`` distinct keys in hash order, as a list on the driver.
 
-    The bound makes the list small whatever the input is; hash order makes the
-    choice independent of partitioning and retries.
+    The bound makes the list small whatever the input is.
     """
-    picked = (
-        keys.filter(F.col(key).isNotNull()).select(key).distinct().orderBy(F.xxhash64(key), key).limit(limit)
-    )
-    return [row[0] for row in picked.collect()]
+    return [row[key] for row in first_by_hash(keys.withColumn("__all", F.lit(0)), ["__all"], key, limit).collect()]
 
 
 def with_new_columns(df: DataFrame, *names: str) -> DataFrame:

@@ -28,8 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import rows_for_keys, with_new_columns
-from tallyspark.operators.ranking import top_n
+from tallyspark.llm.common import first_by_hash, rows_for_keys, with_new_columns
 
 GRAM_BYTES = 4
 DOCS_PER_LANGUAGE = 1000
@@ -136,8 +135,7 @@ def learn(docs: DataFrame, allowed: Column, doc_id="doc_id", text="text", lang="
     spark = docs.sparkSession
     labelled = docs.filter(allowed & F.col(lang).isNotNull() & F.col(doc_id).isNotNull() & F.col(text).isNotNull())
     labelled = labelled.select(F.col(doc_id).cast("bigint").alias("__id"), F.col(lang).alias("__lang"), F.col(text).alias("__text"))
-    order = [F.xxhash64("__id"), F.col("__id")]
-    picked = top_n(labelled.select("__lang", "__id").distinct(), ["__lang"], order, DOCS_PER_LANGUAGE)
+    picked = first_by_hash(labelled, ["__lang"], "__id", DOCS_PER_LANGUAGE)
     ids = sorted({row["__id"] for row in picked.select("__id").collect()})
     sample = rows_for_keys(spark, labelled, "__id", ids)
 
