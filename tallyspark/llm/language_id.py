@@ -39,7 +39,7 @@ UNKNOWN = "und"
 # Share of n-grams below which a text is in none of the learned languages, and
 # the n-grams that it takes to say so.
 LEAST_SHARE, LEAST_GRAMS = 0.1, 20
-ROWS_AT_ONCE, WINDOWS_AT_ONCE = 512, 1 << 21
+ROWS_AT_ONCE, WINDOWS_AT_ONCE = 512, 1 << 18
 
 RESULTS = ("lang_pred", "score", "coverage", "n_grams")
 

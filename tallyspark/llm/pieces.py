@@ -37,7 +37,7 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 MERGE_MODEL = 2
 # What is remembered per worker at most: parts of texts, and pairs of pieces.
-PARTS_KEPT, PAIRS_KEPT, PART_LENGTH = 400_000, 400_000, 48
+PARTS_KEPT, PAIRS_KEPT, PART_LENGTH = 250_000, 250_000, 48
 ROWS_AT_ONCE = 512
 
 
