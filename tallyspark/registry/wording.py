@@ -53,7 +53,7 @@ def most_common_word(spark, sf):
 
 
 @query(
-    "words_of_lines", "TX1 FLT6 SC21",
+    "words_of_lines", "FLT6 SC21",
     sql=f"""WITH {b.LINES_SQL}, shown AS (SELECT substr(value, 1, 60) AS shown FROM lines
             WHERE regexp_matches(value, '\\S')) SELECT shown, count(*) AS n FROM shown GROUP BY shown""",
 )
