@@ -25,17 +25,22 @@ def in_remainder(key: str, modulus: int, remainder: int) -> Column:
 PARTS_OF_A_GROUP = 64
 
 
-def first_by_hash(df: DataFrame, groups: list[str], key: str, limit: int) -> DataFrame:
-    """Distinct keys of each group, at most ``limit`` of them in hash order.
-
-    Hash order makes the choice independent of partitioning and retries. Every
-    group is cut to the limit in parts first, so that a group with a third of
-    all rows, or very many partitions, is not left to one task.
-    """
+def _cut_in_parts(df: DataFrame, groups: list[str], key: str, limit: int) -> DataFrame:
+    """Distinct keys, each group cut to the limit in parts by hash, so that a
+    group with a third of all rows, or very many partitions, is not left to one task."""
     part = F.pmod(F.xxhash64(key), F.lit(PARTS_OF_A_GROUP))
-    order = [F.xxhash64(key), F.col(key)]
     keys = df.filter(F.col(key).isNotNull()).select(*groups, key).distinct().withColumn("__part", part)
-    return top_n(top_n(keys, [*groups, "__part"], order, limit).drop("__part"), groups, order, limit)
+    return top_n(keys, [*groups, "__part"], _hash_order(key), limit).drop("__part")
+
+
+def _hash_order(key: str) -> list[Column]:
+    """An order of keys that does not depend on partitioning and retries."""
+    return [F.xxhash64(key), F.col(key)]
+
+
+def first_by_hash(df: DataFrame, groups: list[str], key: str, limit: int) -> DataFrame:
+    """Distinct keys of each group, at most ``limit`` of them in hash order."""
+    return top_n(_cut_in_parts(df, groups, key, limit), groups, _hash_order(key), limit)
 
 
 def bounded_keys(keys: DataFrame, key: str, limit: int) -> list:
@@ -43,7 +48,8 @@ def bounded_keys(keys: DataFrame, key: str, limit: int) -> list:
 
     The bound makes the list small whatever the input is.
     """
-    return [row[key] for row in first_by_hash(keys.withColumn("__all", F.lit(0)), ["__all"], key, limit).collect()]
+    cut = _cut_in_parts(keys, [], key, limit)
+    return [row[0] for row in cut.orderBy(*_hash_order(key)).limit(limit).collect()]
 
 
 def with_new_columns(df: DataFrame, *names: str) -> DataFrame:
