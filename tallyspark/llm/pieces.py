@@ -78,9 +78,15 @@ class _Parts(dict):
 
     def __missing__(self, part: str) -> bytes:
         codec = self.codec
-        cut = codec.safe_cut(part)
-        if cut:  # ends in a mark that no piece joins to a letter, like a full stop
-            return self[part[:cut]] + codec.bare[part[cut:]]
+        if len(part) > PART_LENGTH:  # any length, like a paragraph without spaces: no recursion
+            cuts = codec.safe_cuts(part)
+            if cuts:
+                rest = map(codec.bare.__getitem__, map(part.__getitem__, map(slice, cuts, [*cuts[1:], None])))
+                return self[part[: cuts[0]]] + b"".join(rest)
+        else:
+            cut = codec.safe_cut(part)
+            if cut:  # ends in a mark that no piece joins to a letter, like a full stop
+                return self[part[:cut]] + codec.bare[part[cut:]]
         ids = codec.packed_part(self.lead + part)
         if len(part) <= PART_LENGTH:
             if len(self) >= PARTS_KEPT:
@@ -131,6 +137,7 @@ class Codec:
         self.characters = {c for p in self.usable for c in p}
         self.joined = {p[i : i + 2] for p in self.usable for i in range(len(p) - 1)}
         self.length = [len(p) for p in pieces]
+        self.longest = max(map(len, self.usable), default=1)
         self.shorter = [-1] * len(pieces)
         self.automaton = ahocorasick.Automaton()
         for text, i in self.usable.items():
@@ -181,13 +188,19 @@ class Codec:
             return len(part) - 1
         return 0
 
+    def safe_cuts(self, part: str) -> list[int]:
+        """All places where no piece joins a character to the one before."""
+        joined = self.joined
+        return [i for i in range(1, len(part)) if part[i - 1 : i + 1] not in joined and part[i - 1] != SPACE]
+
     def encode_known(self, text: str) -> list[int]:
         """Ids of a text whose characters all have pieces."""
-        n, length, shorter, matches = len(text), self.length, self.shorter, self.automaton.iter_long
+        # Each search gets a window that holds any piece: the automaton copies what it is given.
+        n, length, shorter, matches, window = len(text), self.length, self.shorter, self.automaton.iter_long, self.longest
         known, fits = self.compatible.get, self.fits
         failed = bytearray(n + 1)
         ids: list[int] = []
-        at, piece = 0, next(matches(text))[1]
+        at, piece = 0, next(matches(text[:window]))[1]
         while at < n:
             last = ids[-1] if ids else -1
             while piece >= 0:
@@ -203,7 +216,7 @@ class Codec:
                 ids.append(piece)
                 at = end
                 if at < n:  # every character is a piece, so the longest match starts right here
-                    piece = next(matches(text, at))[1]
+                    piece = next(matches(text[at : at + window]))[1]
             elif last < 0:
                 raise ValueError("no sequence of pieces fits")
             else:  # nothing fits after the last piece: mark the place, try a shorter last piece

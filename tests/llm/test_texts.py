@@ -115,6 +115,16 @@ def test_round_trip_of_odd_documents(odd_docs, no_docs):
     assert listed.ids == LIBRARY.encode(FRENCH, add_bos=True, add_eos=True)
 
 
+@pytest.mark.parametrize("run", ["的是日本ます", "ภาษาไทย", "😀🎉", "的" * 7 + "x", "x"])
+def test_long_runs_without_spaces_equal_the_library(run):
+    codec = pieces.Codec(open(MODEL, "rb").read())
+    text = (run * (100_000 // len(run) + 1))[:100_000]
+    for whole in (text, "a " + text + ". b\n" + text[:2_000]):
+        ids = np.frombuffer(codec.encode(whole), "<u4").tolist()
+        assert ids == [LIBRARY.bos_id(), *LIBRARY.encode(whole), LIBRARY.eos_id()]
+        assert codec.decode(ids) == whole
+
+
 def test_other_models_are_refused():
     with pytest.raises(ValueError, match="merge models"):
         pieces.Codec(b"")
