@@ -7,12 +7,15 @@ of variable order. The chance of a character after a context of up to
 its first character, down to an even chance.
 
 What scoring needs of both models is one number per character sequence, the
-difference of the log chances of its last character. Per length of sequences
-these numbers are kept in a table of at most ``CELLS`` rows: of sequences whose
-hashes meet in a cell the most frequent stays, the others are judged by their
-shorter contexts. So the tables are a few MB whatever the size of the input,
-which makes it safe to broadcast them. Texts are taken apart, looked up and
-added up again in the map tasks; what is shuffled is one slim row per URL.
+difference of the log chances of its last character. All sequences of the
+examples are kept, in written tables that grow with the input. Of a URL every
+character is judged by its window, the last ``ORDER`` characters up to it: the
+value of a window is that of its longest end that the examples hold. Values are
+joined to the distinct windows of the input, length by length. Windows that
+make up at least one of ``FREQUENT`` parts of all characters, which are
+``FREQUENT`` at most, are then broadcast; the others are counted per URL and
+joined by shuffling. Sums are exact in steps of 2^-``STEP_BITS``, so they do not
+depend on the order of rows.
 
 The sum of the differences over a URL, divided by its length, is compared with
 a limit. The limit is the one that separates the examples best which were held
@@ -29,6 +32,7 @@ rule is allowed; columns named like a result are replaced.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +42,8 @@ from tallyspark.llm.common import with_new_columns, written
 ORDER = 4
 SMOOTHING = 1.0
 ALPHABET = 256
-CELLS = 1 << 16
+FREQUENT = 1 << 16
+STEP_BITS = 40
 HELD_BACK = 5
 BINS_PER_UNIT, LAST_BIN = 200, 4000
 END = "\x03"
@@ -101,7 +106,7 @@ def _sequences(urls: DataFrame) -> DataFrame:
 
 
 def _model(examples: DataFrame) -> list[DataFrame]:
-    """Per length of sequences their hashes and values, at most CELLS rows."""
+    """Per length all sequences of the examples with their values."""
     counted = written(
         _sequences(examples)
         .groupBy("gram", "size")
@@ -122,46 +127,76 @@ def _model(examples: DataFrame) -> list[DataFrame]:
         below = written(
             level.select(
                 "gram",
-                (F.col("a") + F.col("r")).alias("n"),
                 ((F.col("a") + smooth * F.col("pa0")) / (F.col("ta") + smooth)).alias("pa"),
                 ((F.col("r") + smooth * F.col("pr0")) / (F.col("tr") + smooth)).alias("pr"),
             ),
             "url-chances",
         )
         levels.append(below)
-    tables = []
-    for level in levels:
-        cell = F.pmod(F.xxhash64("gram"), F.lit(CELLS))
-        value = F.ln("pa") - F.ln("pr")
-        best = level.groupBy(cell.alias("cell")).agg(F.max(F.struct("n", "gram", value.alias("value"))).alias("s"))
-        tables.append(
-            written(best.select(F.xxhash64("s.gram").alias("key"), F.col("s.value").alias("value")), "url-model")
-        )
-    return tables
+    steps = F.round((F.ln("pa") - F.ln("pr")) * F.lit(float(1 << STEP_BITS))).cast("bigint")
+    return [level.select("gram", steps.alias("steps")) for level in levels]
+
+
+def _valued(windows: DataFrame, model: list[DataFrame]) -> DataFrame:
+    """The distinct windows with ``n``, how often they occur, and the ``steps`` of their
+    longest end in the model, 0 if it holds none.
+
+    A shorter end has at most as many windows as there are characters before it.
+    """
+    counted = written(windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")), "url-windows")
+    size = F.length("window")
+    ends = [counted.filter(size == len(model)).select("window")]
+    for shorter in range(len(model) - 1, 0, -1):
+        cut = ends[-1].select(F.col("window").substr(2, shorter).alias("window"))
+        ends.append(written(cut.union(counted.filter(size == shorter).select("window")).distinct(), "url-ends"))
+    values, below = [], None
+    for length, (needed, level) in enumerate(zip(reversed(ends), model, strict=True), 1):
+        found = needed.join(level.withColumnRenamed("gram", "window"), "window", "left")
+        if below is None:
+            found = found.fillna(0, ["steps"])
+        else:
+            end = below.select(F.col("window").alias("__end"), F.col("steps").alias("__steps"))
+            found = found.join(end, F.col("window").substr(2, length - 1) == F.col("__end"), "left").select(
+                "window", F.coalesce("steps", "__steps").alias("steps")
+            )
+        below = written(found, "url-values")
+        values.append(below)
+    return counted.join(reduce(DataFrame.union, values), "window")
 
 
 def _scored(df: DataFrame, model: list[DataFrame]) -> DataFrame:
     """Add ``__score``, the difference of the log chances per character of ``__text``.
 
-    Rows are told apart by a number that depends only on their place in the
-    input, so it is the same again when a lost task is repeated.
+    Rows are told apart by a number that is written with them.
     """
-    text, at = F.col("__text"), F.col("__at")
-    rows = df.withColumn("__row", F.monotonically_increasing_id())
-    looked = rows.withColumn("__at", F.explode(F.sequence(F.lit(1), F.length(text))))
-    for size, table in enumerate(model, 1):
-        key = F.when(at >= size, F.xxhash64(text.substr(at - size + 1, F.lit(size))))
-        known = table.select(F.col("key").alias(f"__key{size}"), F.col("value").alias(f"__value{size}"))
-        looked = looked.withColumn("__key", key).join(F.broadcast(known), F.col("__key") == F.col(f"__key{size}"), "left")
-    longest_first = [F.col(f"__value{size}") for size in range(len(model), 0, -1)]
-    summed = looked.groupBy("__row", *df.columns).agg(F.sum(F.coalesce(*longest_first, F.lit(0.0))).alias("__sum"))
-    return summed.withColumn("__score", F.col("__sum") / F.length(text)).drop("__sum", "__row")
-
-
-def _limit(held_back: DataFrame, model: list[DataFrame]) -> float:
+    text = F.col("__text")
+    rows = written(df.withColumn("__row", F.monotonically_increasing_id()), "url-rows")
+    at, order = F.col("__at"), F.lit(len(model))
+    window = text.substr(F.greatest(at - order + 1, F.lit(1)), F.least(at, order))
+    windows = rows.select("__row", "__text", F.explode(F.sequence(F.lit(1), F.length(text))).alias("__at")).select(
+        "__row", window.alias("window")
+    )
+    valued = written(_valued(windows, model), "url-valued")
+    total = valued.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    often = F.col("n") >= F.lit(total / FREQUENT)
+    frequent = F.broadcast(valued.filter(often).select("window", "steps"))  # at most FREQUENT rows
+    by_frequent = windows.join(frequent, "window").groupBy("__row").agg(F.sum("steps").alias("steps"))
+    by_others = (
+        windows.join(frequent, "window", "left_anti")
+        .groupBy("__row", "window")
+        .agg(F.count(F.lit(1)).alias("times"))
+        .join(valued.filter(~often).select("window", "steps"), "window")
+        .select("__row", (F.col("times") * F.col("steps")).alias("steps"))
+    )
+    summed = by_frequent.union(by_others).groupBy("__row").agg(F.sum("steps").alias("__steps"))
+    score = F.col("__steps") / F.lit(float(1 << STEP_BITS)) / F.length(text)
+    return rows.join(summed, "__row").withColumn("__score", score).drop("__steps", "__row")
+
+
+def _limit(held_back: DataFrame) -> float:
     """The limit with the best mean of both rates, from counts in fixed bins."""
     place = F.round(F.col("__score") * BINS_PER_UNIT)
-    bins = _scored(held_back, model).select(
+    bins = held_back.select(
         F.greatest(F.lit(-LAST_BIN), F.least(F.lit(LAST_BIN), place)).cast("int").alias("bin"), "__accepted"
     )
     counts = (
@@ -207,8 +242,10 @@ def judge(pages: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
     )
     back = F.pmod(F.xxhash64("__text"), F.lit(HELD_BACK)) == 0
     model = _model(examples.filter(~back))
-    limit = _limit(examples.filter(back), model)
-    judged = _scored(marked, model)
+    judged = written(_scored(marked, model), "url-scored")
+    # Equal texts have equal scores, so the distinct examples keep one row each.
+    ruled = judged.filter(F.col("__by_rule").isNotNull() & back)
+    limit = _limit(ruled.select("__text", "__score", (F.col("__by_rule") == "allow").alias("__accepted")).distinct())
     by_model = F.when(F.col("__score") >= limit, F.lit("allow")).otherwise(F.lit("block"))
     judged = judged.withColumn("__verdict", F.coalesce("__by_rule", by_model)).drop("__by_rule", "__text")
     return with_new_columns(judged, *RESULTS).withColumnsRenamed({f"__{name}": name for name in RESULTS})

@@ -194,6 +194,36 @@ def test_urls_by_rule_and_by_model(spark):
     assert {r.verdict for r in free if "net/de" in r.url} and len({r.verdict for r in free}) == 2
 
 
+@pytest.mark.parametrize("frequent", [1 << 16, 100])
+def test_urls_are_scored_by_every_sequence_of_the_examples(spark, monkeypatch, frequent):
+    monkeypatch.setattr(url_filter, "FREQUENT", frequent, raising=False)
+    rng = np.random.default_rng(4)
+    tails = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), 20)) for _ in range(600)]
+    urls = [f"https://x.{t}/fr/{tail}" for tail, t in zip(tails, ["com", "net", "org"] * 200, strict=True)]
+    urls += [f"https://y.org/{tail}" for tail in tails[:200]] + urls[:3]
+    pages = spark.createDataFrame([(u,) for u in urls], "url string").withColumn(
+        "back", F.pmod(F.xxhash64(F.concat("url", F.lit(url_filter.END))), F.lit(url_filter.HELD_BACK)) == 0
+    )
+    rows = url_filter.judge(pages, queries.URL_RULES).collect()
+    assert sorted(r.url for r in rows) == sorted(urls)
+    order, counts, totals = url_filter.ORDER, {True: Counter(), False: Counter()}, {True: Counter(), False: Counter()}
+    grams = lambda text, at: [text[at - k + 1 : at + 1] for k in range(min(at + 1, order), 0, -1)]
+    for url, rule in {(r.url, r.rule) for r in rows if r.rule and not r.back}:
+        for at in range(len(text := url + url_filter.END)):
+            counts[rule == "com/"].update(grams(text, at))
+            totals[rule == "com/"].update((len(g), g[:-1]) for g in grams(text, at))
+
+    def chance(v, gram):
+        lower = chance(v, gram[1:]) if len(gram) > 1 else 1 / url_filter.ALPHABET
+        return (counts[v][gram] + lower) / (totals[v][(len(gram), gram[:-1])] + 1)
+
+    for row in rows:
+        text = row.url + url_filter.END
+        known = [next((g for g in grams(text, at) if counts[True][g] + counts[False][g]), None) for at in range(len(text))]
+        total = sum(math.log(chance(True, g)) - math.log(chance(False, g)) for g in known if g)
+        assert abs(row.score - total / len(text)) < 1e-9
+
+
 def test_urls_without_examples(spark):
     pages = spark.createDataFrame([(1, "a://b.org/c"), (2, None)], "page_id int, url string")
     assert {r.verdict for r in url_filter.judge(pages, queries.URL_RULES).collect()} == {"allow"}
