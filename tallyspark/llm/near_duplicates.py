@@ -187,16 +187,17 @@ def reached_links(values: np.ndarray, most_bits: int) -> tuple[np.ndarray, np.nd
     return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
 
 
-def _links_of_runs(keys: np.ndarray, values: np.ndarray, most_bits: int) -> np.ndarray:
-    """Pairs of nodes (the first words) linked within runs of equal keys.
+def _links_of_runs(
+    keys: np.ndarray, values: np.ndarray, most_bits: int, nodes: np.ndarray | None = None
+) -> np.ndarray:
+    """Pairs of nodes (the first words if not given) linked within runs of equal keys.
 
-    Rows are sorted by key and first word, which tells nodes apart.
+    Rows are sorted by key and node.
     """
-    nodes = values[:, 0]
+    nodes = values[:, 0] if nodes is None else nodes
     fresh = np.ones(len(keys), bool)
     fresh[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
-    keys, values = keys[fresh], values[fresh]
-    nodes = values[:, 0]
+    keys, values, nodes = keys[fresh], values[fresh], nodes[fresh]
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
     sizes = np.diff(np.append(starts, len(keys)))
     length = np.repeat(sizes, sizes)
@@ -222,16 +223,17 @@ def links(
     chunk: int = CHUNK,
     words: tuple[str, ...] = ("node",),
     keyed_by: tuple[str, ...] = ("node",),
+    node: str = "node",
 ) -> DataFrame:
     """Links ``a``, ``b`` that connect what is linked among distinct fingerprints.
 
-    The fingerprint that counts is made of ``words``, the first of which tells
-    nodes apart; those that the keys come from are ``keyed_by``. If both are the
-    same single fingerprint, the result is complete up to ``MOST_BITS`` bits.
+    The fingerprint that counts is made of ``words``; ``node`` tells nodes apart,
+    and the keys come from ``keyed_by``. If all are the same single fingerprint, the result is complete up to ``MOST_BITS`` bits.
     ``nodes`` should be a written table; it is read twice.
     """
     words = list(words)
-    keyed = _keyed(nodes, words, list(keyed_by))
+    carried = [node, *(w for w in words if w != node)]
+    keyed = _keyed(nodes, carried, list(keyed_by))
     # Keys with more rows than a chunk: first count coarse classes of keys, which
     # are so many that an ordinary class stays below the size of a chunk.
     classes = max(64, -(-nodes.count() * len(keyed_by) * 42 * 4 // chunk))
@@ -249,13 +251,13 @@ def links(
             .select("key", F.ceil(F.col("count") / chunk).cast("int").alias("chunks")),
             "hot-keys",
         )
-        own = F.pmod(F.xxhash64(words[0]), F.col("chunks")).cast("int")
+        own = F.pmod(F.xxhash64(node), F.col("chunks")).cast("int")
         others = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
         dealt = (
             keyed.join(hot, "key", "left")
             .fillna(1, ["chunks"])
             .withColumns({"own": own, "other": others})
-            .select("key", *words, F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+            .select("key", *carried, F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
         )
 
     def run(batches):
@@ -268,7 +270,7 @@ def links(
             # one number per (key, chunks): the place of the first row of the run
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
-            both = _links_of_runs(np.cumsum(new), values, most_bits)
+            both = _links_of_runs(np.cumsum(new), values, most_bits, table.column(node).to_numpy().view(np.uint64))
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], schema=schema)
 
         for batch in batches:
@@ -293,7 +295,7 @@ def links(
 
     return (
         dealt.repartition("key", "lo", "hi")
-        .sortWithinPartitions("key", "lo", "hi", words[0])
+        .sortWithinPartitions("key", "lo", "hi", node)
         .mapInArrow(run, "a bigint, b bigint")
     )
 
@@ -398,11 +400,12 @@ def without_near_copies(
     rows = docs.select(F.col(doc_id).alias("__id"), own.alias("__hash"), F.col(text).alias("__text"))
     marked = written(wide_fingerprints(rows), "fingerprints")
     words, keyed_by = [f"w{i}" for i in range(WIDE)], [f"k{i}" for i in range(KEYED)]
-    # Equal in the first 64 bits is one node; any of its rows stands for it.
-    nodes = marked.groupBy("w0").agg(F.min(F.struct(*words[1:], *keyed_by)).alias("s")).select("w0", "s.*")
-    linked = links(written(nodes, "nodes"), bits_for(similarity), words=tuple(words), keyed_by=tuple(keyed_by))
     least = F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__hash").alias("hash"))
-    classes = _classes(marked, "w0", least, linked)
+    # Rows equal in all bits, those of the keys too, are one node.
+    nodes = marked.groupBy(*words, *keyed_by).agg(F.min(least).alias("__first"))
+    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    linked = links(nodes.drop("__first"), bits_for(similarity), words=tuple(words), keyed_by=tuple(keyed_by))
+    classes = _classes(nodes, "node", F.col("__first"), linked)
     stays = classes.select("component.*").distinct().select(F.col("id").alias("__id"), F.col("hash").alias("__hash"))
     # How often the row that stays is in the input: it may be repeated.
     counted = (

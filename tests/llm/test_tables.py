@@ -427,6 +427,20 @@ def test_near_copies_leave_one_of_each_group(spark, odd_docs):
     assert [r.doc_id for r in near_duplicates.without_near_copies(same).collect()] == [5]
 
 
+def test_texts_equal_in_the_first_word_only_are_not_copies(spark, monkeypatch):
+    # 1 and 2 are equal in 64 of 256 bits; 3 is near 2 and shares keys with 2 only; 4 equals 1.
+    prints = {1: (7, 0, 0, 0, 1, 1), 2: (7, -1, -1, -1, 1 << 60, 1 << 61), 3: (6, -1, -1, -1, 1 << 60, 1 << 61)}
+    prints[4] = prints[1]
+    names = ["w0", "w1", "w2", "w3", "k0", "k1"]
+    table = spark.createDataFrame([(i, *p) for i, p in prints.items()], "__i bigint, " + ", ".join(f"{n} bigint" for n in names))
+    monkeypatch.setattr(
+        near_duplicates, "wide_fingerprints",
+        lambda rows: rows.join(table, rows["__id"] == table["__i"]).select("__id", "__hash", *names),
+    )
+    docs = spark.createDataFrame([(i, f"text {i}") for i in prints], "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in near_duplicates.without_near_copies(docs).collect()) == [1, 2]
+
+
 def test_components_of_a_random_graph(spark):
     rng = np.random.default_rng(9)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 400, (300, 2))] + [(1000 + i, 1001 + i) for i in range(60)]
