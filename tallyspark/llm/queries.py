@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from tallyspark.llm import (
     decontamination,
+    filter_audit,
     fixity,
     importance,
+    infilling,
     language_id,
+    line_dedup,
     near_duplicates,
     pieces,
     sharding,
@@ -213,3 +216,121 @@ def op1_warc_fixity(spark, sf_dir):
 def op5_importance(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return importance.resample(docs, table(spark, sf_dir, "labels"))
+
+
+# The first four groups of eight digits of a hash, as numbers, in DuckDB.
+_DRAWS = ", ".join(f"CAST('0x' || substr(s, {1 + 8 * i}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))
+
+
+@query(
+    rf"""
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+            sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s
+        FROM documents),
+    h AS (SELECT *, CAST(len(u) AS BIGINT) AS n, {_DRAWS} FROM d),
+    c AS (
+        SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+            CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90
+                THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+        FROM h),
+    p AS (
+        SELECT *, array_to_string(list_slice(u, 1, a), '') AS prefix, array_to_string(list_slice(u, a + 1, b), '') AS middle,
+            array_to_string(list_slice(u, b + 1, n), '') AS suffix
+        FROM c)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+            ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+        sha256(t) AS restored_sha256
+    FROM p
+    """
+)
+def op11_infilling(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = infilling.restore(infilling.transform(docs, keep_text=False))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+@query(
+    r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, -9223372036854775808) AS doc,
+            string_split(coalesce(text, ''), chr(10)) AS lines
+        FROM documents),
+    l AS (SELECT r, doc, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d),
+    k AS (
+        SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM l),
+    c AS (
+        SELECT key, max(doc) AS keeper FROM k WHERE length(key) >= 20
+        GROUP BY key HAVING count(DISTINCT doc) >= 3),
+    m AS (SELECT r, pos, line, keeper IS NOT NULL AND doc <> keeper AS gone FROM k LEFT JOIN c USING (key))
+    SELECT doc_id, CAST(any_value(len(lines)) AS BIGINT) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+    FROM m JOIN d USING (r) GROUP BY r, doc_id
+    """
+)
+def op12_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.without_repeated_lines(docs, line_dedup.keep_bitmaps(docs))
+    return kept.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+@query(
+    r"""
+    WITH w AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+            regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS words
+        FROM documents),
+    e AS (SELECT t, min(doc_id) AS first FROM w GROUP BY t),
+    g AS (
+        SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad
+        FROM labels GROUP BY doc_id),
+    f AS (
+        SELECT part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad,
+            concat(CASE WHEN len(words) < 200 THEN 'A' END,
+                CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' END,
+                CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' END,
+                CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+                CASE WHEN doc_id > first THEN 'E' END) AS fails
+        FROM w LEFT JOIN g USING (doc_id) JOIN e USING (t)),
+    n AS (SELECT part, good, bad, fails, count(*) AS n FROM f GROUP BY ALL),
+    x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    o AS (
+        SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+        WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    s AS (
+        SELECT part, filter_order, step, letter, n, good, bad, fails, contains(fails, letter) AS failed,
+            len(list_filter(string_split(left(filter_order, step - 1), ''), lambda z: z <> '' AND contains(fails, z))) > 0 AS gone
+        FROM (SELECT filter_order, step, substr(filter_order, step, 1) AS letter
+              FROM o, (SELECT unnest(range(1, 6)) AS step)), n),
+    r AS (
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, any_value(letter) AS letter,
+            coalesce(sum(n) FILTER (NOT failed AND NOT gone), 0) AS kept,
+            coalesce(sum(n) FILTER (failed AND NOT gone), 0) AS removed,
+            coalesce(sum(n) FILTER (failed AND gone), 0) AS redundant,
+            coalesce(sum(n) FILTER (fails = letter), 0) AS unique_fails,
+            coalesce(sum(n) FILTER (failed AND NOT gone AND good = 1), 0) AS good_lost,
+            coalesce(sum(n) FILTER (failed AND NOT gone AND bad = 1), 0) AS toxic_lost
+        FROM s GROUP BY part, filter_order, step)
+    SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+        CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+        CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+        CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+    FROM r
+    """
+)
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
