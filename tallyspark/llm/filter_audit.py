@@ -10,11 +10,12 @@ Five filters judge each text; a document fails a filter when its condition holds
 
 A and B are read from a sparse document-term matrix. Tasks cut their documents
 into shards of about ``SHARD_BYTES`` and write each as compressed sparse rows over
-the words of the shard. The distinct words of all shards get global numbers in a
-dictionary that is itself a distributed table; each shard's word list, one row per
-word and shard, is joined to it, and the columns of the shard are renumbered. So
-postings are never shuffled one by one, and a word in every document is one row per
-shard. Sums of the rows are the word counts, their stored entries the distinct words.
+the words of the shard, with a list of these words. The lists, one row per word and
+shard, are dealt out by word and sorted; a stream over the sorted words numbers
+them, which makes the global dictionary, and the numbers go back to the shards to
+rename their columns. So postings are never shuffled one by one, and a word in every
+document is one row per shard. Sums of the rows are the word counts, their stored
+entries the distinct words.
 
 The other flags are computed when the shard is cut and travel with its rows. What
 follows works on counts of (part, failed filters, labels), a bounded table.
@@ -28,15 +29,18 @@ repeated rows count each; an empty table has no parts and gives no rows.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
+from collections.abc import Iterator
 from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import written
+from tallyspark.llm.infilling import slices
 
 # The filters' limits.
 FILTERS = "ABCDE"
@@ -46,12 +50,15 @@ CAPITALS_PERCENT = 3
 SYMBOLS = b"#$%&*|"
 CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 CONTINUED = bytes(range(0x80, 0xC0))  # bytes within a character of UTF-8
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 16 << 20
 
-ROWS = "array<struct<doc_id:bigint,part:string,fails:string,digest:binary>>"
-LOCAL = f"shard bigint, rows {ROWS}, indptr binary, indices binary, counts binary, words array<binary>"
-GLOBAL = f"shard bigint, rows {ROWS}, indptr binary, indices binary, counts binary"
-_ROW_TYPE = pa.struct([("doc_id", pa.int64()), ("part", pa.string()), ("fails", pa.string()), ("digest", pa.binary())])
+LABELS = "array<struct<doc_id:bigint,part:string,fails:string,digest:binary>>"
+MATRIX = f"shard bigint, rows {LABELS}, indptr binary, indices binary, counts binary"
+CUT = "pos int, word string, " + MATRIX
+_LABEL_TYPE = pa.struct([("doc_id", pa.int64()), ("part", pa.string()), ("fails", pa.string()), ("digest", pa.binary())])
+_CUT_TYPES = [pa.int32(), pa.string(), pa.int64(), pa.list_(_LABEL_TYPE), pa.binary(), pa.binary(), pa.binary()]
+_CUT_NAMES = ["pos", "word", "shard", "rows", "indptr", "indices", "counts"]
+WORDS_AT_ONCE = 20_000
 
 
 def flags_of(text: bytes) -> str:
@@ -62,101 +69,123 @@ def flags_of(text: bytes) -> str:
     return ("C" if 100 * capitals > CAPITALS_PERCENT * characters else "") + ("D" if odd else "")
 
 
-class _Shard:
-    """Sparse rows over the words of one shard."""
+def packed(numbers: np.ndarray) -> bytes:
+    """Integers in compressed little-endian form, behind their width in bytes."""
+    return bytes([numbers.dtype.itemsize]) + zstandard.ZstdCompressor(1).compress(numbers.tobytes())
 
-    def __init__(self):
-        self.number: dict[bytes, int] = {}
-        self.rows: list[dict] = []
-        self.indptr, self.indices, self.counts = [0], [], []
-        self.bytes = 0
 
-    def add(self, doc_id: int | None, part: str, text: bytes) -> None:
-        # Splitting bytes without an argument splits at exactly the ASCII white space.
-        words = Counter(text.split())
-        place = self.number.setdefault
-        self.indices.append(np.fromiter((place(w, len(self.number)) for w in words), np.int32, len(words)))
-        self.counts.append(np.fromiter(words.values(), np.int32, len(words)))
-        self.indptr.append(self.indptr[-1] + len(words))
-        self.rows.append(
-            {"doc_id": doc_id, "part": part, "fails": flags_of(text), "digest": hashlib.sha256(text).digest()}
-        )
-        self.bytes += len(text) + 64
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), f"<i{data[0]}")
 
-    def batch(self, shard: int) -> pa.RecordBatch:
-        packed = [np.array(self.indptr, "<i8"), np.concatenate(self.indices), np.concatenate(self.counts)]
-        columns = [pa.array([shard], pa.int64()), pa.array([self.rows], pa.list_(_ROW_TYPE))]
-        columns += [pa.array([p.tobytes()], pa.binary()) for p in packed]
-        columns.append(pa.array([list(self.number)], pa.list_(pa.binary())))
-        return pa.RecordBatch.from_arrays(columns, names=["shard", "rows", "indptr", "indices", "counts", "words"])
+
+def sparse_rows(texts: pa.StringArray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of some texts, and per text which of them it holds how often (indptr, indices, counts)."""
+    lists = pc.ascii_split_whitespace(texts)
+    words, parents = pc.list_flatten(lists), pc.list_parent_indices(lists)
+    real = pc.not_equal(words, "")  # white space at an end leaves an empty string
+    coded = words.filter(real).dictionary_encode()
+    places = parents.filter(real).to_numpy().astype(np.int64) << 32 | coded.indices.to_numpy()
+    cells, counts = np.unique(places, return_counts=True)
+    indptr = np.searchsorted(cells >> 32, np.arange(len(texts) + 1)).astype(np.int64)
+    return coded.dictionary, indptr, (cells & 0xFFFFFFFF).astype(np.int32), counts.astype(np.int32)
+
+
+def _cut_batches(shard: int, ids: list, parts: list, texts: pa.StringArray) -> Iterator[pa.RecordBatch]:
+    """A shard as rows: one per word, and one with its sparse rows and their labels."""
+    words, *matrix = sparse_rows(texts)
+    for start in range(0, len(words), WORDS_AT_ONCE):
+        some = words.slice(start, WORDS_AT_ONCE)
+        columns = [pa.array(np.arange(start, start + len(some), dtype=np.int32)), some]
+        columns += [pa.array(np.full(len(some), shard)), *[pa.nulls(len(some), kind) for kind in _CUT_TYPES[3:]]]
+        yield pa.RecordBatch.from_arrays(columns, names=_CUT_NAMES)
+    labels = []
+    for doc_id, part, text in zip(ids, parts, texts, strict=True):
+        raw = text.as_buffer().to_pybytes()
+        labels.append({"doc_id": doc_id, "part": part, "fails": flags_of(raw), "digest": hashlib.sha256(raw).digest()})
+    values = [None, None, shard, labels, *[packed(m) for m in matrix]]
+    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, _CUT_TYPES, strict=True)], names=_CUT_NAMES)
 
 
 def local_shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Shards of sparse rows over their own words. ``docs``: doc_id, part, text."""
+    """Shards of sparse rows over their own words (rows without ``word``), and
+    these words (all other rows). ``docs``: doc_id, part, text."""
     source = docs.select(
-        F.spark_partition_id().alias("at"),
+        F.spark_partition_id().cast("bigint").alias("at"),
         F.col("doc_id").cast("bigint"),
         F.coalesce("part", F.lit("")).alias("part"),
-        F.coalesce("text", F.lit("")).cast("binary").alias("text"),
+        F.coalesce("text", F.lit("")).alias("text"),
     )
 
     def run(batches):
-        shard, made, at = _Shard(), 0, 0
+        ids, parts, texts, size, shard = [], [], [], 0, None
         for batch in batches:
-            ids, parts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            for place, (doc_id, part) in enumerate(zip(ids, parts, strict=True)):
-                at = batch.column(0)[place].as_py()
-                shard.add(doc_id, part, batch.column(3)[place].as_py())
-                if shard.bytes >= shard_bytes:
-                    yield shard.batch((at << 32) + made)
-                    shard, made = _Shard(), made + 1
-        if shard.rows:
-            yield shard.batch((at << 32) + made)
-
-    return written(source.mapInArrow(run, LOCAL), "shards")
-
-
-def dictionary(shards: DataFrame) -> DataFrame:
-    """Every distinct word with its number: dense, from 0, in the order of the words.
-
-    Words are dealt out in ranges and numbered within them; the numbers of words in
-    earlier ranges are added from a table with one row per range.
+            for start, length in slices(batch.column(3), shard_bytes):
+                some = batch.slice(start, length)
+                if shard is None:
+                    shard = some.column(0)[0].as_py() << 32
+                ids += some.column(1).to_pylist()
+                parts += some.column(2).to_pylist()
+                texts.append(some.column(3))
+                size += (pc.sum(pc.binary_length(some.column(3))).as_py() or 0) + 64 * length
+                if size >= shard_bytes:
+                    yield from _cut_batches(shard, ids, parts, pa.concat_arrays(texts))
+                    ids, parts, texts, size, shard = [], [], [], 0, shard + 1
+        if ids:
+            yield from _cut_batches(shard, ids, parts, pa.concat_arrays(texts))
+
+    return written(source.mapInArrow(run, CUT), "shards")
+
+
+def numbered_words(cut: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The dictionary (``word``, ``term``: dense numbers from 0), and for every
+    shard the ``term`` at each place of its word list.
+
+    Words are dealt out by hash and sorted; a stream over a range counts them. The
+    numbers of earlier ranges are added from a table with one row per range.
     """
-    words = shards.select(F.explode("words").alias("word")).distinct()
-    dealt = written(words.repartitionByRange("word").withColumn("range", F.spark_partition_id()), "words")
+    used = cut.filter(F.col("word").isNotNull()).select("word", "shard", "pos")
+
+    def run(batches):
+        seen, last = -1, None
+        for batch in batches:
+            if not len(batch):
+                continue
+            words = batch.column(0)
+            new = np.ones(len(batch), bool)
+            new[1:] = pc.not_equal(words.slice(1), words.slice(0, len(words) - 1)).to_numpy(zero_copy_only=False)
+            new[0] = words[0].as_py() != last
+            rank = seen + np.cumsum(new)
+            seen, last = int(rank[-1]), words[-1].as_py()
+            first = pc.if_else(pa.array(new), words, pa.scalar(None, words.type))
+            columns = [first, *batch.columns[1:], pa.array(rank)]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "shard", "pos", "range", "rank"])
+
+    dealt = used.repartition("word").sortWithinPartitions("word", "shard").withColumn("range", F.spark_partition_id())
+    ranked = written(dealt.mapInArrow(run, "word string, shard bigint, pos int, range int, rank bigint"), "words")
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = dealt.groupBy("range").agg(F.count(F.lit(1)).alias("size"))
+    sizes = ranked.groupBy("range").agg((F.max("rank") + 1).alias("size"))
     begins = sizes.select("range", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("begin"))
-    within = F.row_number().over(Window.partitionBy("range").orderBy("word"))
-    return dealt.withColumn("within", within).join(F.broadcast(begins), "range").select(
-        "word", (F.col("begin") + F.col("within") - 1).alias("term")
-    )
+    terms = ranked.join(F.broadcast(begins), "range").withColumn("term", F.col("begin") + F.col("rank"))
+    return terms.filter(F.col("word").isNotNull()).select("word", "term"), terms.select("shard", "pos", "term")
 
 
 def csr_shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The document-term matrix: shards of sparse rows whose columns are global word numbers.
 
-    ``indptr`` and ``indices`` are little-endian 64-bit integers, ``counts`` 32-bit.
+    ``indptr``, ``indices`` and ``counts`` are packed integers, see ``unpacked``.
     """
-    shards = local_shards(docs, shard_bytes)
-    used = shards.select("shard", F.posexplode("words").alias("pos", "word"))
-    encoded = used.join(dictionary(shards), "word")
-    terms = encoded.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("pos", "term"))).alias("pairs"))
-    terms = terms.select(F.col("shard").alias("of"), F.col("pairs.term").alias("terms"))
-    both = shards.drop("words").join(terms, F.col("shard") == F.col("of"), "left").drop("of")
+    cut = local_shards(docs, shard_bytes)
+    bodies = cut.filter(F.col("word").isNull()).select("shard", "rows", "indptr", "indices", "counts")
+    _, terms = numbered_words(cut)
 
-    def run(batches):
-        for batch in batches:
-            for place in range(len(batch)):
-                row = batch.slice(place, 1)
-                local = np.frombuffer(row.column(3)[0].as_py(), "<i4")
-                terms = row.column(5)[0]
-                numbers = terms.values.to_numpy() if terms.is_valid else np.zeros(0, np.int64)
-                renumbered = pa.array([numbers[local].astype("<i8").tobytes()], pa.binary())
-                columns = [*row.columns[:3], renumbered, row.column(4)]
-                yield pa.RecordBatch.from_arrays(columns, names=["shard", "rows", "indptr", "indices", "counts"])
+    def rename(body, places):
+        numbers = np.zeros(places.num_rows, np.int64)
+        numbers[places.column("pos").to_numpy()] = places.column("term").to_numpy()
+        local = unpacked(body.column("indices")[0].as_py())
+        at = body.schema.get_field_index("indices")
+        return body.set_column(at, body.schema.field(at), pa.array([packed(numbers[local])], pa.binary()))
 
-    return both.mapInArrow(run, GLOBAL)
+    return bodies.groupBy("shard").cogroup(terms.groupBy("shard")).applyInArrow(rename, MATRIX)
 
 
 def row_statistics(shards: DataFrame) -> DataFrame:
@@ -165,8 +194,8 @@ def row_statistics(shards: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for place in range(len(batch)):
-                indptr = np.frombuffer(batch.column(2)[place].as_py(), "<i8")
-                counts = np.frombuffer(batch.column(4)[place].as_py(), "<i4").astype(np.int64)
+                indptr = unpacked(batch.column(2)[place].as_py())
+                counts = unpacked(batch.column(4)[place].as_py()).astype(np.int64)
                 total = np.concatenate([[0], np.cumsum(counts)])
                 labels = batch.column(1)[place].values
                 columns = [*labels.flatten(), pa.array(np.diff(total[indptr])), pa.array(np.diff(indptr))]
