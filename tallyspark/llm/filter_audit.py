@@ -59,6 +59,7 @@ _LABEL_TYPE = pa.struct([("doc_id", pa.int64()), ("part", pa.string()), ("fails"
 _CUT_TYPES = [pa.int32(), pa.string(), pa.int64(), pa.list_(_LABEL_TYPE), pa.binary(), pa.binary(), pa.binary()]
 _CUT_NAMES = ["pos", "word", "shard", "rows", "indptr", "indices", "counts"]
 WORDS_AT_ONCE = 20_000
+SLICE_BYTES = 1 << 20
 
 
 def flags_of(text: bytes) -> str:
@@ -90,20 +91,46 @@ def sparse_rows(texts: pa.StringArray) -> tuple[pa.Array, np.ndarray, np.ndarray
     return coded.dictionary, indptr, (cells & 0xFFFFFFFF).astype(np.int32), counts.astype(np.int32)
 
 
-def _cut_batches(shard: int, ids: list, parts: list, texts: pa.StringArray) -> Iterator[pa.RecordBatch]:
-    """A shard as rows: one per word, and one with its sparse rows and their labels."""
-    words, *matrix = sparse_rows(texts)
-    for start in range(0, len(words), WORDS_AT_ONCE):
-        some = words.slice(start, WORDS_AT_ONCE)
-        columns = [pa.array(np.arange(start, start + len(some), dtype=np.int32)), some]
-        columns += [pa.array(np.full(len(some), shard)), *[pa.nulls(len(some), kind) for kind in _CUT_TYPES[3:]]]
+class _Numbers(dict):
+    """Numbers words in the order in which they are asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+class _Shard:
+    """Sparse rows over the words of one shard, built from slices of texts."""
+
+    def __init__(self, number: int):
+        self.number, self.words, self.labels, self.bytes = number, _Numbers(), [], 0
+        self.indptr, self.indices, self.counts, self.entries = [np.zeros(1, np.int64)], [], [], 0
+
+    def add(self, ids: list, parts: list, texts: pa.StringArray) -> None:
+        words, indptr, indices, counts = sparse_rows(texts)
+        numbers = np.fromiter(map(self.words.__getitem__, words.to_pylist()), np.int32, len(words))
+        self.indptr.append(indptr[1:] + self.entries)
+        self.indices.append(numbers[indices])
+        self.counts.append(counts)
+        self.entries += len(indices)
+        for doc_id, part, text in zip(ids, parts, texts, strict=True):
+            raw = text.as_buffer().to_pybytes()
+            digest = hashlib.sha256(raw).digest()
+            self.labels.append({"doc_id": doc_id, "part": part, "fails": flags_of(raw), "digest": digest})
+            self.bytes += len(raw) + 64
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        """One row per word, and one with the sparse rows and their labels."""
+        words = list(self.words)
+        for start in range(0, len(words), WORDS_AT_ONCE):
+            some = words[start : start + WORDS_AT_ONCE]
+            columns = [pa.array(np.arange(start, start + len(some), dtype=np.int32)), pa.array(some, pa.string())]
+            columns += [pa.array(np.full(len(some), self.number)), *[pa.nulls(len(some), t) for t in _CUT_TYPES[3:]]]
+            yield pa.RecordBatch.from_arrays(columns, names=_CUT_NAMES)
+        matrix = [packed(np.concatenate(m)) for m in (self.indptr, self.indices, self.counts)]
+        values = [None, None, self.number, self.labels, *matrix]
+        columns = [pa.array([v], k) for v, k in zip(values, _CUT_TYPES, strict=True)]
         yield pa.RecordBatch.from_arrays(columns, names=_CUT_NAMES)
-    labels = []
-    for doc_id, part, text in zip(ids, parts, texts, strict=True):
-        raw = text.as_buffer().to_pybytes()
-        labels.append({"doc_id": doc_id, "part": part, "fails": flags_of(raw), "digest": hashlib.sha256(raw).digest()})
-    values = [None, None, shard, labels, *[packed(m) for m in matrix]]
-    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, _CUT_TYPES, strict=True)], names=_CUT_NAMES)
 
 
 def local_shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -117,21 +144,17 @@ def local_shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     )
 
     def run(batches):
-        ids, parts, texts, size, shard = [], [], [], 0, None
+        shard = None
         for batch in batches:
-            for start, length in slices(batch.column(3), shard_bytes):
-                some = batch.slice(start, length)
-                if shard is None:
-                    shard = some.column(0)[0].as_py() << 32
-                ids += some.column(1).to_pylist()
-                parts += some.column(2).to_pylist()
-                texts.append(some.column(3))
-                size += (pc.sum(pc.binary_length(some.column(3))).as_py() or 0) + 64 * length
-                if size >= shard_bytes:
-                    yield from _cut_batches(shard, ids, parts, pa.concat_arrays(texts))
-                    ids, parts, texts, size, shard = [], [], [], 0, shard + 1
-        if ids:
-            yield from _cut_batches(shard, ids, parts, pa.concat_arrays(texts))
+            for start, length in slices(batch.column(3), min(shard_bytes, SLICE_BYTES)):
+                at, ids, parts, texts = batch.slice(start, length).columns
+                shard = shard or _Shard(at[0].as_py() << 32)
+                shard.add(ids.to_pylist(), parts.to_pylist(), texts)
+                if shard.bytes >= shard_bytes:
+                    yield from shard.batches()
+                    shard = _Shard(shard.number + 1)
+        if shard and shard.labels:
+            yield from shard.batches()
 
     return written(source.mapInArrow(run, CUT), "shards")
 
