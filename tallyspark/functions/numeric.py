@@ -8,7 +8,6 @@ stream and a batch all give the same number.
 from __future__ import annotations
 
 import math
-from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,35 +17,110 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# Steps per unit that the fraction of a double is counted in, a power of two.
-STEPS = 1 << 60
+# A sum is kept in limbs: limb k counts steps of 2^(LIMB_BITS * k). A value adds less
+# than 2^23 steps to a limb, so 2^40 rows (10^12) fit into a 64-bit sum.
+LIMB_BITS = 24
+# The usual limbs: values below 2^95 (10^28), steps of 2^-120 (10^-36).
+USUAL_LIMBS = range(-5, 4)
+# Every bit that a double can have.
+ALL_LIMBS = range(-45, 43)
 
 
-def exact_sum(c) -> Column:
-    """Sum of doubles that does not depend on their order; NULL values are skipped.
+def exact_sum(value: str | Column, limbs: range = USUAL_LIMBS) -> Column:
+    """Sum of doubles that does not depend on their order, correctly rounded once; NULL values are skipped.
 
-    Every value is split into its whole part and its fraction in steps of
-    2^-60. Both are added as whole numbers, whole units are carried over, and
-    only the total becomes a double. Infinite values, NaN and values of 2^63 and
-    more are added apart, as doubles.
+    ``value`` is a column name or other SQL text, or a column. Every value is cut into limbs, pieces
+    of 24 bits at fixed places of the binary number, by exact operations on doubles.
+    Each limb is added as a 64-bit integer; what a limb holds too much is carried over
+    once, after the last row, and only the total becomes a double. Cost grows with the
+    number of limbs:
+
+    - the usual ones hold all bits of values from 10^-20 to 10^28. Of smaller values
+      steps below 2^-120 are rounded (to even, so in no direction, and the same
+      in any order); larger ones are added apart, as doubles;
+    - ``ALL_LIMBS`` hold every bit of every finite double.
+
+    Infinite values and NaN are added apart and decide the result.
     """
-    x = _col(c).cast("double")
-    fits = F.abs(x) < F.lit(2.0**63)
-    whole = F.when(fits, x).cast("bigint")
-    steps = ((x - whole.cast("double")) * F.lit(float(STEPS))).cast("bigint")
-    units = F.coalesce(F.sum(whole.cast("decimal(20,0)")), F.lit(Decimal(0)))
-    fraction = F.coalesce(F.sum(F.when(fits, steps).cast("decimal(20,0)")), F.lit(Decimal(0)))
-    # The quotient may be cut: what it leaves over or takes too much stays in the rest, which is exact.
-    per_unit = F.lit(Decimal(STEPS))
-    carried = F.floor(fraction / per_unit).cast("decimal(19,0)")
-    rest = (fraction - carried * per_unit).cast("double") / F.lit(float(STEPS))
-    apart = F.coalesce(F.sum(F.when(~fits, x)), F.lit(0.0))
-    return F.when(F.count(x) > 0, (units + carried).cast("double") + rest + apart)
-
-
-def exact_mean(c) -> Column:
+    bound = LIMB_BITS * (limbs[-1] + 1) - 1
+    if isinstance(value, Column):
+        x = value.cast("double")
+        fits = F.abs(x) < F.expr(_limit(bound))
+        sums = F.array(*[F.coalesce(F.sum(_limb(F.when(fits, x), k, limbs)), F.lit(0).cast("bigint")) for k in limbs])
+        total = F.call_function("transform", F.array(sums), F.expr(f"limbs -> {_rounded_total('limbs', limbs[0])}"))
+        return F.when(F.count(x) > 0, F.get(total, F.lit(0)) + F.coalesce(F.sum(F.when(~fits, x)), F.lit(0.0)))
+    # As text the aggregate is built at once: as column objects that takes longer than to run it.
+    x = f"CAST(({value}) AS DOUBLE)"
+    parts = []
+    for place in limbs:
+        limit = _limit(bound if _no_overflow(place, limbs) else LIMB_BITS * place + 77)
+        steps = f"rint({_scaled(x, -LIMB_BITS * place)})"
+        if place < limbs[-1]:
+            steps += f" - rint({_scaled(x, -LIMB_BITS * (place + 1))}) * {_double(1 << LIMB_BITS)}"
+        parts.append(f"coalesce(sum(CASE WHEN abs({x}) < {limit} THEN CAST({steps} AS BIGINT) END), 0L)")
+    total = _rounded_total(f"array({', '.join(parts)})", limbs[0])
+    apart = f"coalesce(sum(CASE WHEN NOT abs({x}) < {_limit(bound)} THEN {x} END), 0D)"
+    return F.expr(f"CASE WHEN count({x}) > 0 THEN {total} + {apart} END")
+
+
+def _limb(x: Column, place: int, limbs: range) -> Column:
+    """What a value has in a limb: rounding to the steps of this limb and of the next
+    one leaves what lies between, at most 2^23 steps. All are doubles without fraction."""
+    steps = F.rint(x * F.lit(2.0 ** (-LIMB_BITS * place)))
+    if place < limbs[-1]:
+        steps = steps - F.rint(x * F.lit(2.0 ** (-LIMB_BITS * (place + 1)))) * F.lit(float(1 << LIMB_BITS))
+    return steps.cast("bigint")
+
+
+def _no_overflow(place: int, limbs: range) -> bool:
+    """Whether all values may be scaled to the steps of a limb. Where not, values of 2^77
+    steps and more are left out: they have no bit there."""
+    bound = LIMB_BITS * (limbs[-1] + 1) - 1
+    return bound <= LIMB_BITS * place + 77 or bound - LIMB_BITS * limbs[0] < 1000
+
+
+def _limit(power: int) -> str:
+    return _double(2.0**power) if power < 1024 else "CAST('Infinity' AS DOUBLE)"
+
+
+def _double(value: float) -> str:
+    return f"{float(value)!r}D"
+
+
+def _scaled(x: str, power: int) -> str:
+    """``x * 2^power``, in two exact steps where one factor would be no double."""
+    if abs(power) <= 1000:
+        return f"{x} * {_double(2.0**power)}"
+    half = power // 2
+    return f"{x} * {_double(2.0**half)} * {_double(2.0 ** (power - half))}"
+
+
+def _rounded_total(sums: str, low: int) -> str:
+    """The double nearest to the number whose limbs, lowest first, have the sums of an array."""
+    bits, size, half = LIMB_BITS, f"{1 << LIMB_BITS}L", f"{1 << (LIMB_BITS - 1)}L"
+    # What a limb holds too much goes to the one above. A sum of 63 bits in the highest gives two more digits.
+    digits = f"""aggregate(concat({sums}, array(0L, 0L)), named_struct('up', 0L, 'digits', CAST(array() AS array<bigint>)),
+        (s, v) -> named_struct('up', shiftright(v + s.up + {half}, {bits}),
+            'digits', concat(s.digits, array(v + s.up - shiftright(v + s.up + {half}, {bits}) * {size}))),
+        s -> s.digits)"""
+    # From the highest digit that is not zero on, two numbers of two digits each and the sign of what is below
+    # them: the sum of both numbers as doubles is the only rounding, and twice the lower number leaves a bit for
+    # the sign. Three zeros complete short totals.
+    power = f"((s.taken - 4) * {bits} + {bits * (low - 3) - 1})"
+    return f"""aggregate(concat(reverse({digits}), array(0L, 0L, 0L)),
+        named_struct('upper', 0L, 'lower', 0L, 'rest', 0L, 'taken', 0),
+        (s, d) -> named_struct('upper', if(s.taken < 2, s.upper * {size} + d, s.upper),
+            'lower', if(s.taken in (2, 3), s.lower * {size} + d, s.lower),
+            'rest', if(s.taken > 3 AND s.rest = 0, CAST(signum(d) AS BIGINT), s.rest),
+            'taken', if(s.taken > 0 OR d <> 0, s.taken + 1, 0)),
+        s -> (s.upper * {_double(2.0 ** (2 * bits + 1))} + CAST(s.lower * 2 + s.rest AS DOUBLE))
+            * pow(2D, shiftright({power}, 1)) * pow(2D, {power} - shiftright({power}, 1)))"""
+
+
+def exact_mean(value: str | Column) -> Column:
     """Mean of the non-NULL values; NULL when there is none."""
-    return F.try_divide(exact_sum(c), F.count(_col(c)))
+    count = F.count(value) if isinstance(value, Column) else F.expr(f"count({value})")
+    return F.try_divide(exact_sum(value), count)
 
 
 def rounded(c, digits: int = 2) -> Column:

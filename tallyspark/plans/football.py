@@ -134,7 +134,7 @@ def match_passes(events: DataFrame) -> DataFrame:
 
 def pass_ratios(passes: DataFrame) -> DataFrame:
     """Mean of the match ratios per team and season, in percent, two decimals."""
-    ratio = F.try_divide(F.col("successfulPasses").cast("double"), F.col("totalPasses").cast("double"))
+    ratio = "try_divide(CAST(successfulPasses AS DOUBLE), CAST(totalPasses AS DOUBLE))"
     return passes.groupBy(*TEAM_SEASON).agg(
         rounded(exact_mean(ratio) * 100, 2).alias("passSuccessRatio")
     )
@@ -171,7 +171,7 @@ def match_summary(events: DataFrame) -> DataFrame:
 def season_table_with_passes(events: DataFrame) -> DataFrame:
     """Season table and pass ratio from one pass over the events, without a join."""
     rows = team_results(match_summary(events), {"passes": "Passes", "successful": "Successful"})
-    ratio = F.try_divide(F.col("successful").cast("double"), F.col("passes").cast("double"))
+    ratio = "try_divide(CAST(successful AS DOUBLE), CAST(passes AS DOUBLE))"
     return rows.groupBy(*TEAM_SEASON).agg(
         *_season_measures(), rounded(exact_mean(ratio) * 100, 2).alias("passSuccessRatio")
     )
@@ -185,7 +185,7 @@ def best_teams(events: DataFrame, n: int = 2, season: str | None = None) -> Data
     """
     picked = events if season is None else events.filter(F.col("season") == season)
     rows = team_results(match_summary(picked), {"passes": "Passes", "successful": "Successful"})
-    ratio = F.try_divide(F.col("successful").cast("double"), F.col("passes").cast("double"))
+    ratio = "try_divide(CAST(successful AS DOUBLE), CAST(passes AS DOUBLE))"
     seasons = rows.groupBy(*TEAM_SEASON).agg(
         *_season_measures(), rounded(exact_mean(ratio) * 100, 2).alias("PassRatio")
     )

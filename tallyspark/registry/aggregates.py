@@ -143,11 +143,27 @@ def missing_titles_of_best(spark, sf):
 )
 def two_rounded_sums(spark, sf):
     return table(spark, sf, "lineitem").groupBy("l_returnflag").agg(
-        rounded(exact_sum(F.col("l_extendedprice") / F.col("l_quantity")), 2).alias("price"),
-        rounded(exact_sum(F.col("l_quantity") / 3), 2).alias("quantity"),
+        rounded(exact_sum("l_extendedprice / l_quantity"), 2).alias("price"),
+        rounded(exact_sum("l_quantity / 3"), 2).alias("quantity"),
     )
 
 
+WIDE = "CASE l_suppkey % 3 WHEN 0 THEN l_extendedprice / {tiny} / 7 WHEN 1 THEN l_extendedprice * {huge} / 7 ELSE l_extendedprice / 7 END"
+
+
+@query(
+    "sums_of_all_sizes", "AG8 AG10",
+    sql=f"""SELECT CAST(l_suppkey % 3 AS BIGINT) AS size, {half_up(f"CASE l_suppkey % 3 WHEN 0 THEN fsum({WIDE.format(tiny='1e12', huge='1e12')}) * 1e12 WHEN 1 THEN fsum({WIDE.format(tiny='1e12', huge='1e12')}) / 1e12 ELSE fsum({WIDE.format(tiny='1e12', huge='1e12')}) END", 2)} AS total
+            FROM lineitem GROUP BY l_suppkey % 3""",
+)
+def sums_of_all_sizes(spark, sf):
+    """Sums of values around 10^-8, 10^4 and 10^16, each brought back to one size."""
+    size = (F.col("l_suppkey") % 3).cast("bigint").alias("size")
+    totals = table(spark, sf, "lineitem").groupBy(size).agg(exact_sum(WIDE.format(tiny="1e12D", huge="1e12D")).alias("total"))
+    scale = F.when(F.col("size") == 0, F.col("total") * 1e12).when(F.col("size") == 1, F.col("total") / 1e12)
+    return totals.select("size", rounded(scale.otherwise(F.col("total")), 2).alias("total"))
+
+
 @query(
     "conditional_sums", "AG12",
     sql="""SELECT l_suppkey, CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS returned,
@@ -235,6 +251,6 @@ def tokens_of_one_text(spark, sf):
 )
 def reduce_to_grand_total(spark, sf):
     daily = table(spark, sf, "events").groupBy(F.to_date("ts").alias("day")).agg(
-        rounded(exact_sum(F.col("value") / 7), 2).alias("daily")
+        rounded(exact_sum("value / 7"), 2).alias("daily")
     )
     return daily.agg(rounded(exact_sum("daily"), 2).alias("total"))

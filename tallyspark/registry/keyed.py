@@ -35,7 +35,7 @@ def _updates(spark, sf):
     totals = (
         table(spark, sf, "orders")
         .groupBy(F.col("o_custkey").alias("key"))
-        .agg(rounded(exact_sum(F.col("o_totalprice") / 7), TOTAL_DIGITS).alias("balance"))
+        .agg(rounded(exact_sum("o_totalprice / 7"), TOTAL_DIGITS).alias("balance"))
         .select("key", F.lit("updated").alias("name"), "balance")
     )
     return totals.unionByName(_new_accounts(spark, sf))

@@ -61,7 +61,7 @@ def literal_rows_with_schema(spark, sf):
     totals = (
         table(spark, sf, "orders")
         .groupBy(F.substring("o_orderpriority", 1, 1).alias("rank"))
-        .agg(exact_sum(F.col("o_totalprice") / 7).alias("t"))
+        .agg(exact_sum("o_totalprice / 7").alias("t"))
     )
     joined = totals.join(weights, "rank").groupBy("weight").agg(rounded(exact_sum("t"), TOTAL_DIGITS).alias("total"))
     return joined

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.functions import numeric, pixels, temporal, words
-from conftest import rows
+from conftest import plan, rows
 
 
 def one(df, column):
@@ -83,6 +83,85 @@ def test_exact_sum_is_the_same_in_any_order(spark):
     assert len(sums) == 1 and sums.pop() == pytest.approx(math.fsum(values), abs=1e-9)
 
 
+def fsum_of(spark, values, parts=4, limbs=numeric.USUAL_LIMBS):
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(parts)
+    return df.agg(numeric.exact_sum("x", limbs)).first()[0]
+
+
+@pytest.mark.parametrize(
+    ("value", "times"), [(1e-19, 1000), (3e-10, 1000), (1e-12, 777), (1e12 / 3, 999), (2.0**63, 5), (1e25 / 7, 300), (-0.1, 1000)]
+)
+def test_exact_sum_of_equal_values_is_the_rounded_product(spark, value, times):
+    assert fsum_of(spark, [value] * times) == math.fsum([value] * times)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_exact_sum_is_correctly_rounded(spark, seed):
+    rng = random.Random(seed)
+    values = [rng.choice([-1, 1]) * rng.random() * 10 ** rng.uniform(-19, 27) for _ in range(400)]
+    assert fsum_of(spark, values) == math.fsum(values)
+    cancelled = values + [-v for v in values[::-1]] + [rng.random() * 1e-15 for _ in range(9)]
+    assert fsum_of(spark, cancelled) == math.fsum(cancelled)
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [1.0, 2.0**-53, 2.0**-100],  # just above a tie
+        [1.0, 2.0**-53, -(2.0**-100)],
+        [1.0, 2.0**-53],
+        [1.0 + 2.0**-52, 2.0**-53],
+        [2.0**24, -(2.0**23), 2.0**-30],
+        [-(2.0**94), 2.0**94 - 2.0**41, 2.0**-120],
+        [2.0**94] * 1000,
+        [0.0, -0.0],
+    ],
+)
+def test_exact_sum_of_ties_and_carries(spark, values):
+    assert fsum_of(spark, values, 1) == math.fsum(values)
+
+
+def test_exact_sum_of_tiny_values_is_rounded_evenly_and_of_huge_ones_stays_a_sum(spark):
+    assert fsum_of(spark, [1e-300] * 100 + [0.5]) == 0.5
+    assert fsum_of(spark, [1e300, 1.0, 1e300]) == 2e300
+
+
+def test_exact_sum_over_the_whole_range_of_doubles(spark):
+    cases = [
+        [1e300, 1.0, -1e300],
+        [5e-324] * 7,
+        [1e-300] * 100,
+        [1.7e308, -1.7e308, 5e-324],
+        [1e308, 1e-308, -1e308, 1e-320],
+        [2.0**-1074, 2.0**1000, -(2.0**1000), 3.0],
+    ]
+    rows = [(i, v) for i, values in enumerate(cases) for v in values] + [(99, 1.7e308), (99, 1.7e308)]
+    df = spark.createDataFrame(rows, "k int, x double").coalesce(2)
+    got = {r.k: r.s for r in df.groupBy("k").agg(numeric.exact_sum("x", numeric.ALL_LIMBS).alias("s")).collect()}
+    assert got == {i: math.fsum(values) for i, values in enumerate(cases)} | {99: float("inf")}
+
+
+def test_exact_sum_of_a_column_object_is_that_of_its_text(spark):
+    values = [random.Random(5).uniform(-1, 1) * 10.0**i for i in range(-18, 25)] + [None, 1e200]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for rows_in in (df.filter("x < 1e28"), df, df.filter("x IS NULL")):
+        a, b = rows_in.agg(numeric.exact_sum("x / 3"), numeric.exact_sum(F.col("x") / 3)).first()
+        assert a == b
+    assert df.agg(numeric.exact_mean(F.col("x"))).first() == df.agg(numeric.exact_mean("x")).first()
+
+
+def test_exact_sum_keeps_infinite_values(spark):
+    assert fsum_of(spark, [float("-inf"), 1.0]) == float("-inf")
+
+
+def test_exact_sum_of_groups_has_no_decimals_in_its_plan(spark):
+    rows = [(i % 5, (i * 7919 % 1000) / 7 * (-1) ** i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k int, x double").repartition(7)
+    sums = df.groupBy("k").agg(numeric.exact_sum("x").alias("s"))
+    assert {r.k: r.s for r in sums.collect()} == {k: math.fsum(x for g, x in rows if g == k) for k in range(5)}
+    assert "decimal" not in plan(sums).lower()
+
+
 def test_exact_sum_keeps_not_a_number(spark):
     df = spark.createDataFrame([(float("nan"),), (1.0,)], "x double")
     assert math.isnan(df.agg(numeric.exact_sum("x")).first()[0])
