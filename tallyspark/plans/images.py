@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyspark.functions.pixels import (
-    NO_COLOR,
-    PIXEL_COLORS,
-    color_number,
-    color_of_number,
-    pixel_hex,
-)
+from tallyspark.functions.pixels import NO_COLOR, PIXEL_COLORS, color_histogram, pixel_hex
 from tallyspark.operators.ranking import share_of_total, top_n, top_names
 from tallyspark.sources.readers import file_stem
 
@@ -38,21 +35,71 @@ def pixels(images: DataFrame, keys: list[str]) -> DataFrame:
     return _positions(images, keys).select(*keys, "mode", "position", pixel.alias("pixel"))
 
 
+def pixel_statistics(images: DataFrame, keys: list[str]) -> DataFrame:
+    """Per image: pixels, distinct pixels, the highest and the first pixel (as a number) and the last position.
+
+    The pixels of an image of one to four channels stay in its row.
+    """
+
+    def of_image(data: bytes | None, channels: int | None) -> list:
+        count = len(data) // channels if data and channels and channels > 0 else 0
+        if not count:
+            return [0, 0, None, None, None]
+        parts = np.frombuffer(data, np.uint8)[: count * channels].reshape(count, channels)
+        numbers = np.zeros(count, np.int64)
+        for place in range(channels):
+            numbers = numbers << 8 | parts[:, place]
+        return [count, len(np.unique(numbers)), int(numbers.max()), count - 1, int(numbers[0])]
+
+    kept = images.select(*keys, "nChannels", "data")
+    names = ["n", "distinct_pixels", "highest", "last_position", "first_pixel"]
+    schema = T.StructType([kept.schema[k] for k in keys])
+    for name in names:
+        schema = schema.add(name, "integer" if name == "last_position" else "long")
+
+    def run(batches):
+        for batch in batches:
+            data, channels = batch.column(len(keys) + 1), batch.column(len(keys)).to_pylist()
+            found = [of_image(d.as_py(), c) for d, c in zip(data, channels, strict=True)]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+            columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *columns], names=[*keys, *names])
+
+    return kept.mapInArrow(run, schema)
+
+
 def color_counts(images: DataFrame, keys: list[str]) -> DataFrame:
     """Pixels per image and color name.
 
-    Pixels are classified before they are counted: an image has only a handful
-    of colors, so its partial counts are a few rows whatever its size.
+    The pixels of an image are counted within its row: no row per pixel is made,
+    and an image leaves its task as at most one row per color. Images of other
+    modes count as without color; images without pixels have no row.
     """
-    readable = (F.col("mode") == BGRA_MODE) & (F.col("nChannels") == 4)
-    unknown = F.lit(PIXEL_COLORS.index(NO_COLOR))
-    number = F.when(readable, color_number("data", F.col("position"))).otherwise(unknown)
-    counted = (
-        _positions(images, keys)
-        .groupBy(*keys, number.alias("number"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return counted.select(*keys, color_of_number("number").alias("color"), "n")
+    kept = images.select(*keys, "mode", "nChannels", "data")
+    schema = T.StructType([kept.schema[k] for k in keys]).add("color", "string").add("n", "long")
+    own = len(keys)
+
+    def of_image(mode: int | None, channels: int | None, data: bytes | None) -> np.ndarray:
+        counts = np.zeros(len(PIXEL_COLORS), np.int64)
+        if data is None or not channels or channels < 0:
+            return counts
+        if mode == BGRA_MODE and channels == 4:
+            return color_histogram(data)
+        counts[PIXEL_COLORS.index(NO_COLOR)] = len(data) // channels
+        return counts
+
+    def run(batches):
+        for batch in batches:
+            modes, channels = batch.column(own).to_pylist(), batch.column(own + 1).to_pylist()
+            data = batch.column(own + 2)
+            counts = [of_image(m, c, d.as_py()) for m, c, d in zip(modes, channels, data, strict=True)]
+            counts = np.array(counts, np.int64).reshape(-1, len(PIXEL_COLORS))
+            rows, colors = np.nonzero(counts)
+            columns = [column.take(pa.array(rows)) for column in batch.columns[:own]]
+            columns += [pa.array([PIXEL_COLORS[c] for c in colors], pa.string()), pa.array(counts[rows, colors])]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keys, "color", "n"])
+
+    return kept.mapInArrow(run, schema).groupBy(*keys, "color").agg(F.sum("n").alias("n"))
 
 
 def is_colored() -> Column:

@@ -148,18 +148,20 @@ def two_rounded_sums(spark, sf):
     )
 
 
-WIDE = "CASE l_suppkey % 3 WHEN 0 THEN l_extendedprice / {tiny} / 7 WHEN 1 THEN l_extendedprice * {huge} / 7 ELSE l_extendedprice / 7 END"
+WIDE = "CASE l_suppkey % 3 WHEN 0 THEN l_extendedprice / 1e12 WHEN 1 THEN l_extendedprice * 1e12 ELSE l_extendedprice END / 7"
 
 
 @query(
     "sums_of_all_sizes", "AG8 AG10",
-    sql=f"""SELECT CAST(l_suppkey % 3 AS BIGINT) AS size, {half_up(f"CASE l_suppkey % 3 WHEN 0 THEN fsum({WIDE.format(tiny='1e12', huge='1e12')}) * 1e12 WHEN 1 THEN fsum({WIDE.format(tiny='1e12', huge='1e12')}) / 1e12 ELSE fsum({WIDE.format(tiny='1e12', huge='1e12')}) END", 2)} AS total
-            FROM lineitem GROUP BY l_suppkey % 3""",
+    sql=f"""WITH totals AS (
+              SELECT CAST(l_suppkey % 3 AS BIGINT) AS size, fsum({WIDE}) AS total FROM lineitem GROUP BY 1)
+            SELECT size, {half_up("CASE size WHEN 0 THEN total * 1e12 WHEN 1 THEN total / 1e12 ELSE total END", 2)} AS total
+            FROM totals""",
 )
 def sums_of_all_sizes(spark, sf):
     """Sums of values around 10^-8, 10^4 and 10^16, each brought back to one size."""
     size = (F.col("l_suppkey") % 3).cast("bigint").alias("size")
-    totals = table(spark, sf, "lineitem").groupBy(size).agg(exact_sum(WIDE.format(tiny="1e12D", huge="1e12D")).alias("total"))
+    totals = table(spark, sf, "lineitem").groupBy(size).agg(exact_sum(WIDE).alias("total"))
     scale = F.when(F.col("size") == 0, F.col("total") * 1e12).when(F.col("size") == 1, F.col("total") / 1e12)
     return totals.select("size", rounded(scale.otherwise(F.col("total")), 2).alias("total"))
 

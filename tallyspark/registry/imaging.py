@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyspark import bindings as b
-from tallyspark.functions.pixels import color_name
 from tallyspark.plans import images as im
 from tallyspark.registry.core import half_up, query
 
@@ -39,27 +38,15 @@ def _counts(spark, sf, wanted=None):
             FROM placed GROUP BY image""",
 )
 def pixel_values(spark, sf):
-    number = F.conv("pixel", 16, 10).cast("bigint")
-    per_pixel = im.pixels(_scan(spark, sf), ["image"])
-    per_value = per_pixel.groupBy("image", "pixel").agg(
-        F.count(F.lit(1)).alias("k"), F.max("position").alias("last"), F.min("position").alias("first")
-    )
-    return per_value.groupBy("image").agg(
-        F.sum("k").alias("n"),
-        F.count(F.lit(1)).alias("distinct_pixels"),
-        F.max(number).alias("highest"),
-        F.max("last").alias("last_position"),
-        F.max(F.when(F.col("first") == 0, number)).alias("first_pixel"),
-    )
+    return im.pixel_statistics(_scan(spark, sf), ["image"])
 
 
 @query(
     "color_names", "IM2",
-    sql=f"{IMAGES} SELECT color, count(*) AS n FROM named GROUP BY color",
+    sql=f"{IMAGES} SELECT color, CAST(sum(n) AS BIGINT) AS n FROM color_counts GROUP BY color",
 )
 def color_names(spark, sf):
-    named = im.pixels(_scan(spark, sf), ["image"]).select(color_name("pixel").alias("color"))
-    return named.groupBy("color").agg(F.count(F.lit(1)).alias("n"))
+    return im.color_counts(_scan(spark, sf), ["mode"]).select("color", "n")
 
 
 @query("color_counts", "IM2 JN3", sql=f"{IMAGES} SELECT * FROM color_counts")

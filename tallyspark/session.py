@@ -20,6 +20,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     # Rows with long texts: batches for Python stay at some megabytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
 }
 
 

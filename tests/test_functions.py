@@ -256,3 +256,30 @@ def test_bytes_and_text_give_the_same_color(spark):
         pixels.color_name(pixels.pixel_hex("data", F.col("i"), 4)).alias("b"),
     )
     assert both.filter("a <> b").count() == 0 and both.filter("a is null").count() == 0
+
+
+def test_histogram_of_bytes_equals_the_names_of_single_pixels(spark, monkeypatch):
+    from tallyspark.plans import images
+
+    monkeypatch.setattr(pixels, "PIXELS_AT_ONCE", 7)
+    rng = random.Random(11)
+    levels = [0, 84, 85, 127, 128, 169, 170, 255]
+    made = [bytes(rng.choice(levels) for _ in range(rng.randrange(400))) for _ in range(40)]
+    for data in made:
+        want = [color_by_python(data[i : i + 4].hex().upper()) for i in range(0, len(data) // 4 * 4, 4)]
+        counts = pixels.color_histogram(data)
+        assert {c: want.count(c) for c in pixels.PIXEL_COLORS} == dict(zip(pixels.PIXEL_COLORS, counts.tolist(), strict=True))
+    rows_in = [(f"i{n % 30}", 24, 4, data) for n, data in enumerate(made)]
+    rows_in += [("grey", 0, 1, b"abc"), ("rgb", 16, 3, b"abcdefgh"), ("no", 24, 4, None), ("odd", 24, None, b"x"), ("zero", 24, 0, b"x"), (None, 24, 4, b"\x00\x00\xff\xff" * 3)]
+    df = spark.createDataFrame(rows_in, "image string, mode int, nChannels int, data binary").repartition(3)
+    got = images.color_counts(df, ["image"])
+    want = {}
+    for name, mode, channels, data in rows_in:
+        for i in range(len(data or b"") // channels if channels else 0):
+            color = color_by_python(data[4 * i : 4 * i + 4].hex().upper()) if mode == 24 else "None"
+            want[name, color] = want.get((name, color), 0) + 1
+    assert {(r.image, r.color): r.n for r in got.collect()} == want
+    assert "Generate" not in plan(got)
+    facts = {r.image: tuple(r)[1:] for r in images.pixel_statistics(df.filter("image IN ('grey', 'rgb', 'odd') OR image IS NULL"), ["image"]).collect()}
+    assert facts["grey"] == (3, 3, 0x63, 2, 0x61) and facts["rgb"] == (2, 2, 0x646566, 1, 0x616263)
+    assert facts["odd"] == (0, 0, None, None, None) and facts[None] == (3, 1, 0xFFFF, 2, 0xFFFF)
