@@ -1,13 +1,17 @@
-"""Random forest experiments: cases of inputs and a label, run one by one."""
+"""Random forest experiments: cases of inputs and a label, trained side by side."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.temporal import hour_number_of_seconds, month_of_seconds
@@ -22,6 +26,9 @@ POWER_INPUTS = ("power_tenants", "power_maintenance", "power_solar_panels")
 PRICE = "electricity_price"
 ALL_INPUTS = (*WEATHER_INPUTS, *POWER_INPUTS, PRICE)
 PERIODS = {"month": 12, "hour": 24}
+# Size of the parts in which tasks share the feature table.
+SPLIT_BYTES = 2 << 20
+SCORES = ("accuracy", "one_away", "two_away", "mean_probability", "train_accuracy", "rmse", "mae", "r2")
 
 
 @dataclass(frozen=True)
@@ -72,7 +79,7 @@ def prepared(df: DataFrame, key: str, train_percent: int = 80, cases: list[Case]
     All cases train and score from this narrow table.
     """
     used = sorted({c for case in cases for c in (*case.inputs, case.label)})
-    return written(df.select(*used, (hash_bucket(key) >= train_percent).alias("is_test")), "features")
+    return written(df.select(*used, (hash_bucket(key) >= train_percent).alias("is_test")), "features", SPLIT_BYTES)
 
 
 def case_predictions(data: DataFrame, case: Case, trees: int = 100, depth: int = 5):
@@ -109,8 +116,47 @@ def rows_per_part(data: DataFrame, cases: list[Case] = CASES) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
-def run_cases(df: DataFrame, key: str, cases: list[Case] = CASES, trees: int = 100, depth: int = 5) -> DataFrame:
-    """All cases, one row each; scores a case does not have are NULL."""
-    data = prepared(df, key, cases=cases)
-    results = [case_scores(case_predictions(data, case, trees, depth)[1], case) for case in cases]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), results)
+def side_by_side(spark: SparkSession, tasks: dict[str, Callable[[], Row]], at_once: int) -> dict[str, Row | Exception]:
+    """Run tasks that start Spark jobs in threads; what each gives, or the error that ended it.
+
+    A thread has the caller's job properties (group, tags, description) and a pool of its
+    own name, so a fair scheduler shares the executors between the tasks.
+    """
+
+    def start(name: str, task: Callable[[], Row]) -> Row | Exception:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        try:
+            return task()
+        except Exception as error:  # the other tasks go on
+            return error
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        # The properties are copied where the thread's work is handed over.
+        futures = {name: pool.submit(inheritable_thread_target(spark)(start), name, task) for name, task in tasks.items()}
+        return {name: future.result() for name, future in futures.items()}
+
+
+def run_cases(
+    df: DataFrame, key: str, cases: list[Case] = CASES, trees: int = 100, depth: int = 5, at_once: int | None = None
+) -> DataFrame:
+    """All cases, one row each; scores a case does not have are NULL.
+
+    All cases read one prepared table and train at once (``at_once`` of them), as one
+    forest alone leaves executors idle between its levels. A case that fails has its
+    reason in ``error``; if all fail, so does this.
+    """
+    spark, data = df.sparkSession, prepared(df, key, cases=cases)
+
+    def task(case: Case) -> Callable[[], Row]:
+        return lambda: case_scores(case_predictions(data, case, trees, depth)[1], case).first()
+
+    found = side_by_side(spark, {case.name: task(case) for case in cases}, at_once or len(cases))
+    errors = [e for e in found.values() if isinstance(e, Exception)]
+    if errors and len(errors) == len(cases):
+        raise errors[0]
+    made = [{"case": n, "error": str(r)} if isinstance(r, Exception) else r.asDict() for n, r in found.items()]
+    names = ["case", "n", *SCORES, "error"]
+    schema = f"case string, n bigint, {', '.join(f'{s} double' for s in SCORES)}, error string"
+    return spark.createDataFrame([tuple(row.get(n) for n in names) for row in made], schema)

@@ -13,8 +13,9 @@ from tallyspark.plans.images import image_key
 from tallyspark.registry.core import TOTAL_DIGITS, query, total_sum
 from tallyspark.session import fresh_dir
 from tallyspark.sinks import storage, writers
+from tallyspark.sinks.image_files import write_images
 from tallyspark.sources import readers
-from tallyspark.sources.readers import CsvOptions
+from tallyspark.sources.readers import CsvOptions, read_images
 from tallyspark.tables import table
 
 SEMICOLON, PIPE = CsvOptions(sep=";"), CsvOptions(sep="|")
@@ -174,7 +175,9 @@ def _accident_text(df):
             FROM images""",
 )
 def image_fields(spark, sf):
-    scanned = image_key(b.images(spark, sf))
+    """Documents become image files; Spark's image reader reads these."""
+    folder = write_images(b.images(spark, sf), fresh_dir(spark, "images"))
+    scanned = image_key(read_images(spark, folder))
     return scanned.select(
         "image",
         (F.col("height") * F.col("width")).alias("n_pixels"),

@@ -86,12 +86,15 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, split_bytes: int | None = None) -> DataFrame:
     """The rows from a Parquet table in the work folder.
 
     What follows reads the table and not the steps that made it, so a lost
-    executor costs a read, and a table used twice is computed once.
+    executor costs a read, and a table used twice is computed once. With
+    ``split_bytes`` row groups are that large, so that many tasks can share a
+    file: for tables that are read often and with much work per row.
     """
     path = fresh_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    writer = df.write if split_bytes is None else df.write.option("parquet.block.size", split_bytes)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

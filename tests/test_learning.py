@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import threading
 
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
@@ -93,3 +94,46 @@ def test_experiments_learn_what_can_be_learned(minutes):
     assert month.train_accuracy > 90 and month.mean_probability > 30 and month.rmse is None
     assert price.r2 > 0.9 and price.accuracy is None
     assert 0 < month.n < 1350
+    assert {r.error for r in result.values()} == {None}
+
+
+def test_a_failing_case_does_not_lose_the_others(minutes):
+    good = next(c for c in forests.CASES if c.name == "price from month")
+    bad = forests.Case("broken", ("temperature",), "month")
+    data = minutes.withColumn("temperature", F.col("temperature").cast("double"))
+    result = {r["case"]: r for r in forests.run_cases(data.withColumn("month", F.col("month") + 0.5), "time", [good, bad], 2, 2).collect()}
+    assert result["price from month"].error is None and result["price from month"].n > 0
+    assert result["broken"].error and result["broken"].n is None
+    with pytest.raises(Exception):  # noqa: B017 - the error of the only case
+        forests.run_cases(data.withColumn("month", F.col("month") + 0.5), "time", [bad], 2, 2)
+
+
+def test_tasks_run_at_once_with_the_properties_of_their_caller(spark):
+    barrier = threading.Barrier(3, timeout=60)
+    spark.sparkContext.setLocalProperty("mark", "of the caller")
+
+    def task(name):
+        def run():
+            barrier.wait()  # passes only if all three run at the same time
+            return [spark.sparkContext.getLocalProperty(p) for p in ("mark", "spark.scheduler.pool")]
+
+        return run
+
+    try:
+        found = forests.side_by_side(spark, {n: task(n) for n in "abc"}, 3)
+    finally:
+        spark.sparkContext.setLocalProperty("mark", None)
+    assert found == {n: ["of the caller", n] for n in "abc"}
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
+def test_features_are_written_in_parts_that_tasks_can_share(spark, monkeypatch):
+    monkeypatch.setattr(forests, "SPLIT_BYTES", 64 << 10)
+    rows_in = spark.range(200_000).select(F.col("id").alias("time"), *[F.rand(i).alias(c) for i, c in enumerate(("temperature", "humidity", "wind_speed"))], F.lit(1).alias("month")).coalesce(1)
+    table = forests.prepared(rows_in, "time", cases=[forests.Case("x", forests.WEATHER_INPUTS, "month")])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1 << 20)
+    try:
+        sizes = [n for n in table.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect() if n]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(sizes) > 2 and sum(sizes) == 200_000

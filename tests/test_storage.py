@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import struct
 import zlib
 
@@ -12,6 +13,7 @@ from tallyspark.operators.sampling import sample_by_suffix
 from tallyspark.plans import images, schema_change
 from tallyspark.session import fresh_dir, work_root
 from tallyspark.sinks import storage, writers
+from tallyspark.sinks.image_files import write_images
 from tallyspark.sources import readers, schemas
 from tallyspark.sources.readers import CsvOptions
 
@@ -208,10 +210,38 @@ def test_pixels_keep_position_and_odd_images_are_uncolored(spark):
     assert rows(images.color_counts(made, ["image"])) == [("a", "Blue", 1), ("a", "Red", 1), ("b", "None", 1)]
 
 
-def test_counting_colors_needs_one_shuffle_and_no_python(gallery):
+def test_counting_colors_needs_one_shuffle_and_no_row_per_pixel(gallery):
     scanned, _ = gallery
     text = plan(images.color_counts(scanned, ["hexcode"]))
-    assert text.count("Exchange") == 1 and "Python" not in text
+    assert text.count("Exchange") == 1 and "Generate" not in text
+
+
+IMAGE_ROWS = "origin string, height int, width int, nChannels int, mode int, data binary, note string"
+
+
+def test_images_written_as_files_are_read_back_as_they_were(spark, tmp_path):
+    rng = random.Random(2)
+    made = [(f"file:/x/pic%20{i}.jpg", 1 + i % 5, 1 + i % 7, c) for i, c in enumerate([4, 3, 1] * 8)]
+    made = [(o, h, w, c, 24, bytes(rng.randrange(256) for _ in range(h * w * c)), "x") for o, h, w, c in made]
+    odd = [("a/none.png", 1, 1, 4, 24, None, "x"), (None, 0, 0, 4, 24, b"", "x"), ("a/same.png", 1, 1, 1, 0, b"a", ""), ("b/same.png", 1, 1, 1, 0, b"b", "")]
+    path = write_images(spark.createDataFrame(made + odd, IMAGE_ROWS).repartition(3), str(tmp_path / "store"))
+    back = images.image_key(readers.read_images(spark, path)).collect()
+    assert len(back) == len(made) + len(odd)
+    sizes = {r.image: (r.height, r.width, r.nChannels, bytes(r.data)) for r in back if r.image.startswith("pic")}
+    assert sizes == {f"pic {i}": (h, w, c, d) for i, (_, h, w, c, _, d, _) in enumerate(made)}
+    assert sorted(r.height for r in back if not r.image.startswith("pic")) == [-1, -1, 1, 1]
+    assert {bytes(r.data) for r in back if r.image.startswith("same")} == {b"a", b"b"}
+    assert int((tmp_path / "store" / "_SUCCESS").read_text()) == len(back)
+    assert not list((tmp_path / "store").glob("_attempt*"))
+    none = write_images(spark.createDataFrame([], IMAGE_ROWS), str(tmp_path / "none"))
+    assert (tmp_path / "none" / "_SUCCESS").read_text() == "0" and none == str(tmp_path / "none")
+
+
+def test_an_image_whose_bytes_do_not_fit_its_sizes_fails_and_leaves_nothing_to_read(spark, tmp_path):
+    rows_in = [("a.png", 1, 1, 4, 24, b"abcd", ""), ("b.png", 2, 1, 4, 24, b"abcd", "")]
+    with pytest.raises(Exception, match="4 bytes are no image of 2 x 1"):
+        write_images(spark.createDataFrame(rows_in, IMAGE_ROWS).coalesce(1), str(tmp_path / "bad"))
+    assert not list((tmp_path / "bad").glob("part*"))
 
 
 def test_declared_schemas_match_their_data(spark, tmp_path):
