@@ -6,7 +6,7 @@ and adaptive execution splits hot partitions of the sort-merge joins.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -16,27 +16,47 @@ def left_join_filled(left: DataFrame, right: DataFrame, keys: list[str], fill: d
 
 
 def lookup(df: DataFrame, dimension: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Add columns of a dimension that is unique on the keys."""
+    """Add columns of a dimension that is unique on the keys; rows that it does not know are left out."""
     return df.join(dimension.select(*keys, *columns), keys)
 
 
-def points_per_group(points: DataFrame, keys: list[str], at: str, value: str) -> DataFrame:
-    """Per group one array of (at, value), values added up per distinct ``at``.
+def running_points(points: DataFrame, keys: list[str], at: str, value: str) -> DataFrame:
+    """Per group one array ``points`` of (at, total), sorted: the sum of all values up to there.
 
-    ``at`` must be discrete and bounded within a group (seconds of a match),
-    so arrays stay small however many rows a group has.
+    ``at`` must be discrete and bounded within a group (seconds of a match): values
+    are added up per moment before a group meets in one task, so its array has one
+    entry per moment however many rows it has. Points without a moment are left out.
     """
-    summed = points.groupBy(*keys, at).agg(F.sum(value).alias("__value"))
-    return summed.groupBy(*keys).agg(
-        F.collect_list(F.struct(F.col(at).alias("at"), F.col("__value").alias("value"))).alias("points")
-    )
+    summed = points.filter(F.col(at).isNotNull()).groupBy(*keys, at).agg(F.coalesce(F.sum(value), F.lit(0)).alias("__value"))
+    until = Window.partitionBy(*keys).orderBy(at).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = F.sum("__value").over(until).cast("bigint").alias("__total")
+    pair = F.struct(F.col(at).alias("at"), F.col("__total").alias("total"))
+    # Window and grouping have the same keys: one shuffle for both.
+    return summed.select(*keys, at, total).groupBy(*keys).agg(F.sort_array(F.collect_list(pair)).alias("points"))
+
+
+def total_before(points: Column, moment: Column) -> Column:
+    """The running total of the last of the sorted points with at < moment, by binary search; 0 before the first."""
+    size = F.size(points)
+    halvings = F.ceil(F.log2(size + F.lit(1.0))).cast("int")
+    whole = F.struct(F.lit(0).alias("low"), size.alias("high"))
+
+    def halve(state: Column, _: Column) -> Column:
+        low, high = state["low"], state["high"]
+        middle = F.shiftright(low + high, 1)
+        before = F.get(points, middle)["at"] < moment
+        return F.when(low >= high, state).otherwise(
+            F.struct(F.when(before, middle + 1).otherwise(low).alias("low"), F.when(before, high).otherwise(middle).alias("high"))
+        )
+
+    earlier = F.aggregate(F.sequence(F.lit(1), halvings), whole, halve, lambda state: state["low"])
+    return F.when(earlier > 0, F.get(points, earlier - 1)["total"]).otherwise(F.lit(0).cast("bigint"))
 
 
 def sum_inside(points: Column, start: Column, end: Column) -> Column:
-    """Sum of the values of an array of (at, value) with start <= at < end; 0 if none."""
-    inside = F.filter(points, lambda p: (p["at"] >= start) & (p["at"] < end))
-    zero = F.lit(0).cast("bigint")
-    return F.coalesce(F.aggregate(inside, zero, lambda s, p: s + p["value"]), zero)
+    """Sum of the values of running points with start <= at < end; 0 if there are none."""
+    inside = total_before(points, end) - total_before(points, start)
+    return F.when((F.size(points) > 0) & (start < end), inside).otherwise(F.lit(0).cast("bigint"))
 
 
 def sum_in_interval(
@@ -51,11 +71,13 @@ def sum_in_interval(
 ) -> DataFrame:
     """Interval join with a sum: points of the same group with start <= at < end.
 
-    Points are first added up per group and moment and gathered to one short
-    array per group. The join is then one row to one row on the equi keys; no
-    pairs of intervals and points are produced.
+    Points are first added up per group and moment and gathered to one array of
+    running totals per group. The join is then many intervals to one row on the equi
+    keys, and an interval is the difference of two totals found by binary search: no
+    pairs of intervals and points are produced, and n points and intervals of a group
+    cost n log n.
     """
-    gathered = points_per_group(points, keys, at, value)
+    gathered = running_points(points, keys, at, value)
     return (
         intervals.join(gathered, keys, "left")
         .withColumn(name, sum_inside(F.col("points"), start, end))

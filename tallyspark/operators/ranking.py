@@ -60,12 +60,16 @@ def share_of_total(
 
     Totals are aggregated with map-side combine and joined back, so no group
     has to fit into one task. Where the rows per group are known to be few
-    (``bounded``), one window replaces the aggregation and the join.
+    (``bounded``), one window replaces the aggregation and the join. Rows whose
+    group is NULL are a group of their own in both.
     """
     if bounded:
         summed = df.withColumn("__total", F.sum(value).over(Window.partitionBy(*groups)))
     else:
-        summed = df.join(df.groupBy(*groups).agg(F.sum(value).alias("__total")), groups)
+        named = [F.col(g).alias(f"__of_{n}") for n, g in enumerate(groups)]
+        totals = df.groupBy(*named).agg(F.sum(value).alias("__total"))
+        same = [F.col(g).eqNullSafe(F.col(f"__of_{n}")) for n, g in enumerate(groups)]
+        summed = df.join(totals, reduce(and_, same)).select(*df.columns, "__total")
     percent = F.try_divide(F.lit(100) * F.col(value), F.col("__total"))
     return summed.withColumn(name, F.round(percent.cast("decimal(30,8)"), 2).cast("double")).drop("__total")
 

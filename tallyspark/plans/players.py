@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.temporal import whole_minutes
-from tallyspark.operators.joins import lookup, points_per_group, sum_inside
+from tallyspark.operators.joins import lookup, running_points, sum_inside
 from tallyspark.operators.ranking import top_n
 from tallyspark.plans.football import is_goal
 
@@ -105,11 +105,11 @@ def goal_points(events: DataFrame) -> DataFrame:
 def stint_goal_balance(matches: DataFrame, goals: DataFrame) -> DataFrame:
     """Goals for minus goals against while each player was on the field.
 
-    Interval join on the match: enter <= goal < exit. A match gets its goals as
-    one short array (at most one entry per second) in a one-to-one join; each
-    stint then adds up its part of that array within the row.
+    Interval join on the match: enter <= goal < exit. A match gets its running
+    score as one short array (at most one entry per second) in a one-to-one join; each
+    stint takes the difference of two scores, found by binary search, within the row.
     """
-    gathered = points_per_group(goals, ["matchId"], "clock", "value")
+    gathered = running_points(goals, ["matchId"], "clock", "value")
     start = clock_of_minute(F.col("enter"))
     end = F.coalesce(clock_of_minute(F.col("exit")), F.lit(2 * SECOND_HALF_CLOCK))
     balance = F.col("sign") * sum_inside(F.col("points"), start, end)

@@ -135,6 +135,34 @@ def test_share_of_total(frame, bounded):
     assert rows(shares) == [("a", "x", 33.33), ("a", "y", 66.67), ("b", "x", None), ("c", "x", 100.0)]
 
 
+@pytest.mark.parametrize("bounded", [False, True])
+def test_share_of_total_keeps_rows_whose_group_is_null(frame, bounded):
+    made = [("a", "p", 1), ("a", None, 3), (None, "p", 2), (None, None, 5), (None, None, 15), ("a", None, 1)]
+    df = frame(made, "g string, h string, n int")
+    shares = ranking.share_of_total(df, ["g", "h"], "n", "share", bounded=bounded).select("g", "h", "n", "share")
+    want = [("a", "p", 1, 100.0), ("a", None, 3, 75.0), (None, "p", 2, 100.0), (None, None, 5, 25.0), (None, None, 15, 75.0), ("a", None, 1, 25.0)]
+    assert sorted(rows(shares), key=repr) == sorted(want, key=repr)
+
+
+def test_interval_sums_of_a_long_match_equal_plain_sums(spark):
+    rng = random.Random(4)
+    goals = [("m", rng.randrange(40_000), rng.randrange(-3, 4)) for _ in range(100_000)] + [("n", None, 9), ("m", None, 7), ("m", 5, None)]
+    spans = [("m", *(rng.randrange(-5, 41_000) for _ in range(2))) for _ in range(2_000)]
+    spans += [("m", 10, 10), ("m", 20, 10), ("m", None, 5), ("m", 5, None), ("n", 0, 9), ("none", 0, 9), ("m", -10, 99_999)]
+    points = spark.createDataFrame(goals, "m string, at int, v int").repartition(5)
+    intervals = spark.createDataFrame(spans, "m string, a int, b int").repartition(3)
+    got = joins.sum_in_interval(intervals, points, ["m"], "at", "v", F.col("a"), F.col("b"), "total")
+    score = [0] * 41_002
+    for m, at, v in goals:
+        if m == "m" and at is not None:
+            score[at + 1] += v or 0
+    for i in range(1, len(score)):
+        score[i] += score[i - 1]
+    upto = lambda x: score[min(max(x, 0), 41_001)]
+    want = [(m, a, b, upto(b) - upto(a) if m == "m" and a is not None and b is not None and a < b else 0) for m, a, b in spans]
+    assert sorted(rows(got.select("m", "a", "b", "total")), key=repr) == sorted(want, key=repr)
+
+
 def test_top_names_order_ties_by_name(frame):
     df = frame([("a", "z", 5), ("a", "y", 5), ("a", "x", 9), ("a", "w", 1), ("b", "q", 1)], "g string, name string, n int")
     assert rows(ranking.top_names(df, ["g"], "name", "n", 3, "best")) == [("a", ["x", "y", "z"]), ("b", ["q"])]
