@@ -20,8 +20,12 @@ def lookup(df: DataFrame, dimension: DataFrame, keys: list[str], columns: list[s
     return df.join(dimension.select(*keys, *columns), keys)
 
 
+# Up to this many entries it is faster to look at all of them than to search.
+SHORT = 32
+
+
 def running_points(points: DataFrame, keys: list[str], at: str, value: str) -> DataFrame:
-    """Per group one array ``points`` of (at, total), sorted: the sum of all values up to there.
+    """Per group one array ``points`` of (at, value, total), sorted; the total is that of all values up to there.
 
     ``at`` must be discrete and bounded within a group (seconds of a match): values
     are added up per moment before a group meets in one task, so its array has one
@@ -30,9 +34,9 @@ def running_points(points: DataFrame, keys: list[str], at: str, value: str) -> D
     summed = points.filter(F.col(at).isNotNull()).groupBy(*keys, at).agg(F.coalesce(F.sum(value), F.lit(0)).alias("__value"))
     until = Window.partitionBy(*keys).orderBy(at).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     total = F.sum("__value").over(until).cast("bigint").alias("__total")
-    pair = F.struct(F.col(at).alias("at"), F.col("__total").alias("total"))
+    pair = F.struct(F.col(at).alias("at"), F.col("__value").cast("bigint").alias("value"), F.col("__total").alias("total"))
     # Window and grouping have the same keys: one shuffle for both.
-    return summed.select(*keys, at, total).groupBy(*keys).agg(F.sort_array(F.collect_list(pair)).alias("points"))
+    return summed.select(*keys, at, "__value", total).groupBy(*keys).agg(F.sort_array(F.collect_list(pair)).alias("points"))
 
 
 def total_before(points: Column, moment: Column) -> Column:
@@ -55,8 +59,10 @@ def total_before(points: Column, moment: Column) -> Column:
 
 def sum_inside(points: Column, start: Column, end: Column) -> Column:
     """Sum of the values of running points with start <= at < end; 0 if there are none."""
-    inside = total_before(points, end) - total_before(points, start)
-    return F.when((F.size(points) > 0) & (start < end), inside).otherwise(F.lit(0).cast("bigint"))
+    zero = F.lit(0).cast("bigint")
+    few = F.aggregate(F.filter(points, lambda p: (p["at"] >= start) & (p["at"] < end)), zero, lambda s, p: s + p["value"])
+    inside = F.when(F.size(points) <= SHORT, few).otherwise(total_before(points, end) - total_before(points, start))
+    return F.when((F.size(points) > 0) & (start < end), inside).otherwise(zero)
 
 
 def sum_in_interval(
