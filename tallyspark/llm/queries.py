@@ -136,15 +136,15 @@ def op4_url_filter(spark, sf_dir):
 @query(
     """
     WITH v AS (
-        SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS q
+        SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS q
         FROM embeddings
         WHERE embedding IS NOT NULL
             AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
     p AS (
-        SELECT a.vec_id AS query_id, a.q AS qv, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
-        FROM v a JOIN v b ON a.vec_id <> b.vec_id OR a.q <> b.q WHERE a.vec_id % 100 = 0),
+        SELECT a.vec_id AS query_id, a.r AS own, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+        FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 100 = 0),
     r AS (
-        SELECT *, row_number() OVER (PARTITION BY query_id, qv ORDER BY score DESC, vec_id NULLS LAST) AS n FROM p)
+        SELECT *, row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id NULLS LAST) AS n FROM p)
     SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10
     """
 )
@@ -292,7 +292,8 @@ def op12_line_dedup(spark, sf_dir):
     r"""
     WITH w AS (
         SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
-            regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS words
+            regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS words
         FROM documents),
     e AS (SELECT t, min(doc_id) AS first FROM w GROUP BY t),
     g AS (

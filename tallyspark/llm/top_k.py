@@ -12,14 +12,19 @@ final scores of those left are added up. Else the lists are read deeper.
 
 Bounds of a vector depend on the query through signs and weights only. With the
 positive and the negative part of the queries side by side, one matrix product
-gives the bounds of a whole block, for all queries that are not done yet. All
-numbers are integers below 2 ** 53, so the sums are exact.
+gives the bounds of a whole block, for all queries that are not done yet. Doubles
+hold all sums exactly as long as these stay below 2 ** 53, which is looked at per
+block; a block with larger numbers is worked off in whole numbers without bounds.
+
+Rows equal in id and vector are one row with a count while lists are read, and are
+told apart again when ranks are given.
 
 Defined results: vectors that are NULL or hold a NULL or a value that is not
-finite take no part; rows equal in id and vector count once; missing components
-of shorter vectors count as zero; an empty vector scores zero; ties go to the
-smaller id, NULL ids last; a query's own row is no candidate, another vector of
-the same id is; an empty table gives no rows.
+finite take no part; every other row is a candidate, also one that equals the query;
+equal query rows give one list each; missing components of shorter vectors count as
+zero; an empty vector scores zero; ties go to the smaller id, NULL ids last; a
+query's own row is no candidate, another row of the same id is; a score that does not fit
+into 64 bits is an error; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -103,8 +108,11 @@ class Block:
         return found
 
 
-def _matrix(rows: pa.ChunkedArray, width: int) -> np.ndarray:
-    out = np.zeros((len(rows), width))
+FOUND = {"query": pa.string(), "query_id": pa.int64(), "asks": pa.int64(), "vec_id": pa.int64(), "copies": pa.int64(), "score": pa.int64()}
+
+
+def _matrix(rows: pa.ChunkedArray, width: int, kind: type = float) -> np.ndarray:
+    out = np.zeros((len(rows), width), kind)
     for place, row in enumerate(rows.to_pylist()):
         out[place, : len(row)] = row
     return out
@@ -112,21 +120,31 @@ def _matrix(rows: pa.ChunkedArray, width: int) -> np.ndarray:
 
 def best_of_block(queries: pa.Table, vectors: pa.Table, k: int) -> dict[str, list]:
     """Best k candidates of one block for each query: numbers of both rows, id and score."""
-    out: dict[str, list] = {"query": [], "query_id": [], "vec_id": [], "score": []}
+    out: dict[str, list] = {name: [] for name in FOUND}
     if not queries.num_rows or not vectors.num_rows:
         return out
     width = max(len(r) for t in (queries, vectors) for r in t.column("vector").to_pylist())
     left, right = (_matrix(t.column("vector"), max(1, width)) for t in (queries, vectors))
+    exact = width * np.abs(left).max() * np.abs(right).max() < 2.0**53
+    if not exact:
+        left, right = (_matrix(t.column("vector"), max(1, width), object) for t in (queries, vectors))
     rows = {row: place for place, row in enumerate(vectors.column("row").to_pylist())}
     own = np.array([rows.get(row, -1) for row in queries.column("row").to_pylist()])
     ids = vectors.column("vec_id").to_pylist()
     sortable = np.array([np.iinfo(np.int64).max if i is None else i for i in ids], np.int64)
-    for place, alive in enumerate(Block(right).best(left, own, k)):
-        scores = (right[alive] @ left[place]).astype(np.int64)
-        for at in np.lexsort((sortable[alive], -scores))[:k]:
+    copies = vectors.column("copies").to_pylist()
+    every = np.arange(len(ids))
+    for place, alive in enumerate(Block(right).best(left, own, k) if exact else (every[every != at] for at in own)):
+        scores = right[alive] @ left[place]
+        if not exact and len(scores) and max(map(abs, scores)) >= 1 << 63:
+            raise OverflowError("a score does not fit into 64 bits")
+        scores = scores.astype(np.int64)
+        for at in np.lexsort((sortable[alive], np.invert(scores)))[:k]:
             out["query"].append(queries.column("row")[place].as_py())
             out["query_id"].append(queries.column("vec_id")[place].as_py())
+            out["asks"].append(queries.column("copies")[place].as_py())
             out["vec_id"].append(ids[alive[at]])
+            out["copies"].append(copies[alive[at]])
             out["score"].append(int(scores[at]))
     return out
 
@@ -145,34 +163,43 @@ def top_k(
         F.coalesce(is_query, F.lit(False)).alias("is_query"),
         quantised(vector).alias("vector"),
     )
-    rows = rows.filter(F.col("vector").isNotNull()).distinct()
+    equal = rows.filter(F.col("vector").isNotNull()).groupBy("vec_id", "vector")
+    rows = equal.agg(F.count(F.lit(1)).alias("copies"), F.count_if("is_query").alias("asks"))
     # A hash of id and vector tells rows apart.
     text = F.to_json(F.struct("vec_id", "vector"))
     rows = written(rows.withColumn("row", F.md5(text.cast("binary"))), "vectors")
-    sizes = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_query").alias("q")).first()
+    sizes = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("asks") > 0).alias("q")).first()
     vector_blocks = max(1, -(-sizes["n"] // vectors_per_block))
     query_blocks = max(1, -(-sizes["q"] // QUERIES_PER_BLOCK))
     digits = F.conv(F.substring("row", 1, 15), 16, 10).cast("bigint")
     every = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     candidates = rows.select(
-        F.lit(False).alias("asks"), "row", "vec_id", "vector",
+        F.lit(False).alias("asking"), "row", "vec_id", "vector", "copies",
         (digits % vector_blocks).cast("int").alias("vector_block"), every(query_blocks).alias("query_block"),
     )
-    queries = rows.filter("is_query").select(
-        F.lit(True).alias("asks"), "row", "vec_id", "vector",
+    queries = rows.filter(F.col("asks") > 0).select(
+        F.lit(True).alias("asking"), "row", "vec_id", "vector", F.col("asks").alias("copies"),
         every(vector_blocks).alias("vector_block"), (digits % query_blocks).cast("int").alias("query_block"),
     )
 
     def search(table: pa.Table) -> pa.Table:
-        asks = table.column("asks")
-        found = best_of_block(table.filter(asks), table.filter(pc.invert(asks)), k)
-        return pa.table(found, schema=schema)
+        asking = table.column("asking")
+        found = best_of_block(table.filter(asking), table.filter(pc.invert(asking)), k)
+        return pa.table(found, schema=pa.schema(list(FOUND.items())))
 
-    schema = pa.schema([("query", pa.string()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
     found = (
         candidates.unionByName(queries)
         .groupBy("query_block", "vector_block")
-        .applyInArrow(search, "query string, query_id bigint, vec_id bigint, score bigint")
+        .applyInArrow(search, "query string, query_id bigint, asks bigint, vec_id bigint, copies bigint, score bigint")
     )
+    # Rows that equal the query, without itself.
+    own = F.aggregate("vector", F.lit(0).cast("bigint"), lambda total, x: total + x * x)
+    twins = rows.filter((F.col("asks") > 0) & (F.col("copies") > 1)).select(
+        F.col("row").alias("query"), F.col("vec_id").alias("query_id"), "asks", "vec_id",
+        (F.col("copies") - 1).alias("copies"), own.alias("score"),
+    )
+    times = lambda count: F.explode(F.sequence(F.lit(1), count))
+    single = found.unionByName(twins).withColumn("copy", times(F.least(F.col("copies"), F.lit(k).cast("bigint"))))
     order = [F.desc("score"), F.asc_nulls_last("vec_id")]
-    return top_n(found, ["query", "query_id"], order, k, "rank").select("query_id", "rank", "vec_id", "score")
+    best = top_n(single, ["query", "query_id"], order, k, "rank")
+    return best.withColumn("list", times(F.col("asks"))).select("query_id", "rank", "vec_id", "score")

@@ -240,15 +240,15 @@ def test_top_k_of_odd_vectors(spark):
     rows += [(300, None), (301, [None, 1.0, 2.0]), (302, [float("nan"), 0.0, 0.0]), (303, [float("inf"), 0.0, 0.0])]
     rows += [(400, [2.0]), (500, []), (100, [9.0, 9.0, 9.0]), (200, rows[200][1]), (None, [3.0, 3.0, 3.0])]
     df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id bigint, embedding array<float>, rank string").repartition(4)
-    q = {}
+    q = []
     for i, v in rows:
         if v is not None and all(x is not None and math.isfinite(x) for x in v):
-            ints = tuple(math.floor(1024 * float(np.float32(x))) for x in v)
-            q[(i, ints)] = np.array([*ints, 0, 0, 0][:3])
+            ints = [math.floor(1024 * float(np.float32(x))) for x in v]
+            q.append((i, np.array([*ints, 0, 0, 0][:3])))
     want = []
-    for (i, own), a in q.items():
+    for n_own, (i, a) in enumerate(q):
         if i is not None and i % 100 == 0:
-            scored = [(-int(a @ b), math.inf if j is None else j, j) for (j, other), b in q.items() if (j, other) != (i, own)]
+            scored = [(-int(a @ b), math.inf if j is None else j, j) for n, (j, b) in enumerate(q) if n != n_own]
             want += [(i, n, j, -s) for n, (s, _, j) in enumerate(sorted(scored, key=lambda x: x[:2])[:10], 1)]
     for block in (4096, 40):
         got = top_k.top_k(df, F.col("vec_id") % 100 == 0, vectors_per_block=block).collect()
@@ -256,6 +256,29 @@ def test_top_k_of_odd_vectors(spark):
     assert top_k.top_k(df.filter("1 = 0"), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_every_equal_and_nearly_equal_row_is_a_candidate(spark):
+    rows = [(100, [1.0, 2.0])] * 3 + [(100, [1.0 + 2**-20, 2.0]), (1, [1.0, 1.0])] + [(2, [1.0, 1.5])] * 15 + [(200, [-1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    got = [tuple(r) for r in top_k.top_k(df, F.col("vec_id") % 100 == 0).collect()]
+    q = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows]
+    want = []
+    for own, (i, a) in enumerate(q):
+        if i % 100 == 0:
+            scored = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), j) for n, (j, b) in enumerate(q) if n != own)
+            want += [(i, n, j, -s) for n, (s, j) in enumerate(scored[:10], 1)]
+    assert sorted(got) == sorted(want)
+
+
+def test_scores_beyond_doubles_are_exact_and_beyond_64_bits_an_error(spark):
+    rows = [(0, [2.0**17, 3.0]), (1, [2.0**18, 1.0]), (2, [2.0**18, -5.0]), (3, [-(2.0**19), 7.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = [(r.vec_id, r.score) for r in top_k.top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()]
+    assert got == sorted(((i, 1024 * 1024 * (int(v[0]) * 2**17 + int(v[1]) * 3)) for i, v in rows[1:]), key=lambda x: -x[1])
+    huge = spark.createDataFrame([(0, [1e15]), (1, [1e15])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        top_k.top_k(huge, F.col("vec_id") == 0).collect()
+
+
 def test_bounds_enclose_scores_and_tighten():
     rng = np.random.default_rng(4)
     vectors, query = rng.integers(-50, 50, (200, 8)).astype(float), rng.integers(-50, 50, 8).astype(float)
