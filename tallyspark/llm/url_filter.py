@@ -4,14 +4,19 @@ The rules give the examples: URLs that a rule allows train a model of accepted
 URLs, those that a rule blocks a model of rejected ones. Both are Markov models
 of variable order. The chance of a character after a context of up to
 ``ORDER`` - 1 characters is smoothed with the chance after the context without
-its first character, down to an even chance.
+its first character, down to an even chance: a model that saw the context ``t``
+times and the character after it ``n`` times says (n + s * shorter) / (t + s),
+and s * shorter / (t + s) if it never saw them together. So the chances after a
+context add up to one.
 
 What scoring needs of both models is one number per character sequence, the
-difference of the log chances of its last character. All sequences of the
-examples are kept, in written tables that grow with the input. Of a URL every
-character is judged by its window, the last ``ORDER`` characters up to it: the
-value of a window is that of its longest end that the examples hold. Values are
-joined to the distinct windows of the input, length by length. Windows that
+difference of the log chances of its last character, and one per context, the
+difference of both ln(s / (t + s)). All sequences and contexts of the examples
+are kept, in written tables that grow with the input. Of a URL every character
+is judged by its window, the last ``ORDER`` characters up to it: the value of a
+window is that of its longest end that the examples hold, plus those of the
+known contexts of all longer ends. Values are joined to the distinct windows of
+the input, length by length. Windows that
 make up at least one of ``FREQUENT`` parts of all characters, which are
 ``FREQUENT`` at most, are then broadcast; the others are counted per URL and
 joined by shuffling. Sums are exact in steps of 2^-``STEP_BITS``, so they do not
@@ -105,8 +110,13 @@ def _sequences(urls: DataFrame) -> DataFrame:
     )
 
 
-def _model(examples: DataFrame) -> list[DataFrame]:
-    """Per length all sequences of the examples with their values."""
+def _steps(difference: Column) -> Column:
+    return F.round(difference * F.lit(float(1 << STEP_BITS))).cast("bigint")
+
+
+def _model(examples: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """Per length all sequences of the examples with their values, and all contexts
+    of such sequences with what a character costs that was never seen after them."""
     counted = written(
         _sequences(examples)
         .groupBy("gram", "size")
@@ -116,7 +126,7 @@ def _model(examples: DataFrame) -> list[DataFrame]:
     levels, below = [], None
     for size in range(1, ORDER + 1):
         level = counted.filter(F.col("size") == size).withColumn("context", F.col("gram").substr(1, size - 1))
-        totals = level.groupBy("context").agg(F.sum("a").alias("ta"), F.sum("r").alias("tr"))
+        totals = written(level.groupBy("context").agg(F.sum("a").alias("ta"), F.sum("r").alias("tr")), "url-contexts")
         level = level.join(totals, "context")
         if below is None:
             level = level.withColumns({"pa0": F.lit(1 / ALPHABET), "pr0": F.lit(1 / ALPHABET)})
@@ -132,14 +142,15 @@ def _model(examples: DataFrame) -> list[DataFrame]:
             ),
             "url-chances",
         )
-        levels.append(below)
-    steps = F.round((F.ln("pa") - F.ln("pr")) * F.lit(float(1 << STEP_BITS))).cast("bigint")
-    return [level.select("gram", steps.alias("steps")) for level in levels]
+        known = below.select("gram", _steps(F.ln("pa") - F.ln("pr")).alias("steps"))
+        unseen = _steps(F.ln(F.col("tr") + smooth) - F.ln(F.col("ta") + smooth))
+        levels.append((known, totals.select("context", unseen.alias("unseen"))))
+    return levels
 
 
-def _valued(windows: DataFrame, model: list[DataFrame]) -> DataFrame:
+def _valued(windows: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
     """The distinct windows with ``n``, how often they occur, and the ``steps`` of their
-    longest end in the model, 0 if it holds none.
+    longest end in the model (0 if it holds none) and of the contexts before it.
 
     A shorter end has at most as many windows as there are characters before it.
     """
@@ -150,21 +161,23 @@ def _valued(windows: DataFrame, model: list[DataFrame]) -> DataFrame:
         cut = ends[-1].select(F.col("window").substr(2, shorter).alias("window"))
         ends.append(written(cut.union(counted.filter(size == shorter).select("window")).distinct(), "url-ends"))
     values, below = [], None
-    for length, (needed, level) in enumerate(zip(reversed(ends), model, strict=True), 1):
-        found = needed.join(level.withColumnRenamed("gram", "window"), "window", "left")
+    none = F.lit(0).cast("bigint")
+    for length, (needed, (level, contexts)) in enumerate(zip(reversed(ends), model, strict=True), 1):
+        found = needed.join(level.withColumnRenamed("gram", "window"), "window", "left").join(
+            contexts, F.col("window").substr(1, length - 1) == F.col("context"), "left"
+        )
         if below is None:
-            found = found.fillna(0, ["steps"])
+            found = found.withColumn("__steps", none)
         else:
             end = below.select(F.col("window").alias("__end"), F.col("steps").alias("__steps"))
-            found = found.join(end, F.col("window").substr(2, length - 1) == F.col("__end"), "left").select(
-                "window", F.coalesce("steps", "__steps").alias("steps")
-            )
-        below = written(found, "url-values")
+            found = found.join(end, F.col("window").substr(2, length - 1) == F.col("__end"), "left")
+        shorter = F.col("__steps") + F.coalesce("unseen", none)
+        below = written(found.select("window", F.coalesce("steps", shorter).alias("steps")), "url-values")
         values.append(below)
     return counted.join(reduce(DataFrame.union, values), "window")
 
 
-def _scored(df: DataFrame, model: list[DataFrame]) -> DataFrame:
+def _scored(df: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
     """Add ``__score``, the difference of the log chances per character of ``__text``.
 
     Rows are told apart by a number that is written with them.
