@@ -28,6 +28,8 @@ result are replaced.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -187,17 +189,63 @@ def reached_links(values: np.ndarray, most_bits: int) -> tuple[np.ndarray, np.nd
     return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
 
 
+def nearest_links(values: np.ndarray, most_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links in which every link is as short as can be.
+
+    Whatever two fingerprints are connected by links of up to some number of
+    bits, they are also connected by links of the forest of up to as many.
+    """
+    left = np.arange(1, len(values))
+    parent = np.zeros(len(left), np.int64)
+    bits = np.bitwise_count(values[left] ^ values[0]).sum(axis=-1, dtype=np.int64)
+    a, b = [], []
+    while len(left):
+        at = int(bits.argmin())
+        if bits[at] <= most_bits:
+            a.append(parent[at])
+            b.append(left[at])
+        new = left[at]
+        left[at], parent[at], bits[at] = left[-1], parent[-1], bits[-1]
+        left, parent, bits = left[:-1], parent[:-1], bits[:-1]
+        own = np.bitwise_count(values[left] ^ values[new]).sum(axis=-1, dtype=np.int64)
+        nearer = own < bits
+        parent[nearer], bits[nearer] = new, own[nearer]
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def links_between(values: np.ndarray, most_bits: int, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All links between members of different groups."""
+    none = np.zeros(0, np.int64)
+    a, b = [none], [none]
+    rows = max(1, CELLS // max(1, values.size))
+    for start in range(0, len(values), rows):
+        some = values[start : start + rows]
+        close = _close(some[:, None], values[None, start:], most_bits)
+        close &= groups[start : start + rows, None] != groups[None, start:]
+        first, second = np.nonzero(close)
+        once = first < second
+        a.append(first[once] + start)
+        b.append(second[once] + start)
+    return np.concatenate(a), np.concatenate(b)
+
+
 def _links_of_runs(
-    keys: np.ndarray, values: np.ndarray, most_bits: int, nodes: np.ndarray | None = None
+    keys: np.ndarray,
+    values: np.ndarray,
+    most_bits: int,
+    nodes: np.ndarray | None = None,
+    groups: np.ndarray | None = None,
+    search: Callable = reached_links,
 ) -> np.ndarray:
     """Pairs of nodes (the first words if not given) linked within runs of equal keys.
 
-    Rows are sorted by key and node.
+    Rows are sorted by key and node. With groups only what links different ones counts.
     """
     nodes = values[:, 0] if nodes is None else nodes
     fresh = np.ones(len(keys), bool)
     fresh[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
     keys, values, nodes = keys[fresh], values[fresh], nodes[fresh]
+    groups = None if groups is None else groups[fresh]
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
     sizes = np.diff(np.append(starts, len(keys)))
     length = np.repeat(sizes, sizes)
@@ -209,9 +257,15 @@ def _links_of_runs(
         same = keys[first] == keys[second]
         first, second = first[same], second[same]
         good = _close(values[first], values[second], most_bits)
+        if groups is not None:
+            good &= groups[first] != groups[second]
         found.append(np.stack([nodes[first[good]], nodes[second[good]]], axis=1))
     for start, size in zip(starts[sizes > SHORT], sizes[sizes > SHORT], strict=True):
-        a, b = reached_links(values[start : start + size], most_bits)
+        run = slice(start, start + size)
+        if groups is None:
+            a, b = search(values[run], most_bits)
+        else:
+            a, b = links_between(values[run], most_bits, groups[run])
         found.append(np.stack([nodes[start + a], nodes[start + b]], axis=1))
     pairs = np.sort(np.concatenate(found), axis=1)
     return np.unique(pairs, axis=0).view(np.int64) if len(pairs) else pairs.view(np.int64)
@@ -224,15 +278,18 @@ def links(
     words: tuple[str, ...] = ("node",),
     keyed_by: tuple[str, ...] = ("node",),
     node: str = "node",
+    group: str | None = None,
+    search: Callable = reached_links,
 ) -> DataFrame:
     """Links ``a``, ``b`` that connect what is linked among distinct fingerprints.
 
     The fingerprint that counts is made of ``words``; ``node`` tells nodes apart,
     and the keys come from ``keyed_by``. If all are the same single fingerprint, the result is complete up to ``MOST_BITS`` bits.
+    With a column ``group`` the result is all links between different groups.
     ``nodes`` should be a written table; it is read twice.
     """
     words = list(words)
-    carried = [node, *(w for w in words if w != node)]
+    carried = [node, *(w for w in words if w != node), *([group] if group else [])]
     keyed = _keyed(nodes, carried, list(keyed_by))
     # Keys with more rows than a chunk: first count coarse classes of keys, which
     # are so many that an ordinary class stays below the size of a chunk.
@@ -270,7 +327,9 @@ def links(
             # one number per (key, chunks): the place of the first row of the run
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
-            both = _links_of_runs(np.cumsum(new), values, most_bits, table.column(node).to_numpy().view(np.uint64))
+            groups = table.column(group).to_numpy() if group else None
+            ids = table.column(node).to_numpy().view(np.uint64)
+            both = _links_of_runs(np.cumsum(new), values, most_bits, ids, groups, search)
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], schema=schema)
 
         for batch in batches:
@@ -330,20 +389,25 @@ def near_duplicates(
     )
 
 
-# Near copies by similarity: a wide fingerprint decides, others make the keys.
+# Near copies by similarity: fingerprints find candidates, the sets of shingles decide.
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
-WIDE, KEYED = 4, 2
+WIDE, KEYED = 3, 4
+# Standard errors of the estimate that a candidate may be off: 0.6 % of the pairs
+# that are just similar enough are further off.
+MARGIN = 2.5
+# Rows of a key beyond which the search for all links between groups is split.
+CHUNK_OF_ALL = 2_000
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 
 def bits_for(similarity: float, bits: int = 64 * WIDE) -> int:
-    """Bits in which texts of this Jaccard similarity differ, and half a standard error more.
+    """Bits in which texts of this Jaccard similarity differ, and ``MARGIN`` standard errors more.
 
     The cosine of the two sets is 2s / (1 + s), and a bit differs with the
     chance angle / pi.
     """
     share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    return int(bits * share + np.sqrt(bits * share * (1 - share)) / 2)
+    return int(bits * share + MARGIN * np.sqrt(bits * share * (1 - share)))
 
 
 def _several(hashes: list[np.ndarray], number: int) -> list[np.ndarray]:
@@ -355,11 +419,16 @@ def _several(hashes: list[np.ndarray], number: int) -> list[np.ndarray]:
     return out
 
 
+def shingle_set(text: bytes | None, shingle: int) -> np.ndarray:
+    """The different hashes of the word shingles, in ascending order."""
+    return np.unique(np.frombuffer(shingle_digests(text, shingle), ">u8").astype(np.uint64))
+
+
 def wide_fingerprints(docs: DataFrame, text: str = "__text", shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """Replace the text by ``w0`` to ``w3``, a fingerprint of 256 bits of its word
-    shingles, and ``k0`` and ``k1``, two of its distinct words."""
+    """Replace the text by ``own_set``, a hash of its set of word shingles, ``w0`` to ``w2``,
+    a fingerprint of 192 bits of that set, and ``k0`` to ``k3``, four of its set of words."""
     place, kept = docs.columns.index(text), [c for c in docs.columns if c != text]
-    names = [f"w{i}" for i in range(WIDE)] + [f"k{i}" for i in range(KEYED)]
+    names = ["own_set", *(f"w{i}" for i in range(WIDE)), *(f"k{i}" for i in range(KEYED))]
     schema = docs.select(*kept).schema
     for name in names:
         schema = schema.add(name, "long")
@@ -369,13 +438,14 @@ def wide_fingerprints(docs: DataFrame, text: str = "__text", shingle: int = SHIN
             column, found = batch.column(place).cast(pa.binary()), []
             for start in range(0, batch.num_rows, ROWS_AT_ONCE):
                 texts = column.slice(start, ROWS_AT_ONCE).to_pylist()
-                shingles = [np.frombuffer(shingle_digests(t, shingle), ">u8").astype(np.uint64) for t in texts]
+                sets = [shingle_set(t, shingle) for t in texts]
                 digest = xxhash.xxh64_digest
                 words = [
                     np.frombuffer(b"".join([digest(w, SEED) for w in set((t or b"").lower().split())]), ">u8").astype(np.uint64)
                     for t in texts
                 ]
-                found.append(np.stack(_several(shingles, WIDE) + _several(words, KEYED)).view(np.int64))
+                own = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64)
+                found.append(np.stack([own, *_several(sets, WIDE), *_several(words, KEYED)]).view(np.int64))
             new = np.concatenate(found, axis=1) if found else np.zeros((len(names), 0), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(docs_places[c]) for c in kept] + [pa.array(n) for n in new], names=[*kept, *names]
@@ -385,26 +455,108 @@ def wide_fingerprints(docs: DataFrame, text: str = "__text", shingle: int = SHIN
     return docs.mapInArrow(run, schema)
 
 
+def _sets(rows: DataFrame, shingle: int) -> DataFrame:
+    """``node`` and its ``grams``, the set of hashes, for rows of ``node`` and ``__text``."""
+
+    def run(batches):
+        for batch in batches:
+            sets = [shingle_set(t, shingle) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
+            grams = pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(ends, grams)], names=["node", "grams"]
+            )
+
+    return rows.select("node", "__text").mapInArrow(run, "node bigint, grams array<bigint>")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``a``, ``b`` of nodes with ``good``: whether the Jaccard similarity of
+    their sets is at least this."""
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("__of_a")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("grams").alias("__of_b")), "b"
+    )
+    shared = F.size(F.array_intersect("__of_a", "__of_b"))
+    either = F.size("__of_a") + F.size("__of_b") - shared
+    return both.select("a", "b", (shared >= F.lit(similarity) * either - 1e-9).alias("good"))
+
+
+def similar_links(
+    nodes: DataFrame,
+    texts_of: Callable[[DataFrame], DataFrame],
+    similarity: float = SIMILARITY,
+    shingle: int = SHINGLE_WORDS,
+) -> DataFrame:
+    """Links among ``nodes`` (a written table of different sets, with their fingerprints)
+    that connect whatever is connected by candidates of at least this similarity.
+
+    Candidates share a key and differ in few enough bits. First a forest of the
+    nearest candidates is confirmed by the sets themselves. A forest that loses
+    no link says all. Where it does, all candidates between parts that fell
+    apart are confirmed too, so a refused link never hides another one.
+    ``texts_of`` gives ``node`` and ``__text`` for a frame of nodes, repeats allowed.
+    """
+    words, keyed_by = tuple(f"w{i}" for i in range(WIDE)), tuple(f"k{i}" for i in range(KEYED))
+    most_bits = bits_for(similarity)
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+    near = written(links(nodes, most_bits, words=words, keyed_by=keyed_by, search=nearest_links).distinct(), "near")
+    needed = written(ends(near), "linked-nodes")
+    # A node outside of all candidates is needed by no later step either.
+    sets = written(_sets(texts_of(needed), shingle).dropDuplicates(["node"]), "shingle-sets")
+    first = written(confirmed(near, sets, similarity), "confirmed")
+    good = first.filter("good").select("a", "b")
+    refused = first.filter(~F.col("good"))
+    if refused.isEmpty():
+        return good
+    coarse = written(components(near), "coarse")
+    torn = coarse.join(ends(refused), "node").select("root").distinct()
+    parts = components(good).withColumnRenamed("root", "part")
+    again = (
+        coarse.join(torn, "root")
+        .select("node")
+        .join(parts, "node", "left")
+        .select("node", F.coalesce("part", "node").alias("part"))
+        .join(nodes.select("node", *words, *keyed_by), "node")
+    )
+    rest = links(
+        written(again, "torn"), most_bits, chunk=CHUNK_OF_ALL, words=words, keyed_by=keyed_by, group="part"
+    ).distinct()
+    rest = rest.join(refused.select("a", "b"), ["a", "b"], "left_anti")
+    return written(good.union(confirmed(rest, sets, similarity).filter("good").select("a", "b")), "similar")
+
+
 def without_near_copies(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
     """The documents with one of each group of near copies, the one of the smallest id.
 
-    Two texts are linked if their wide fingerprints differ in no more bits than
-    texts of this similarity do, and a group is what links connect. Keys come
-    from the distinct words: a changed word changes one of them, but as many
-    shingles as a shingle has words, so near copies differ in few of these bits.
-    Of rows equal in id and text one stays; a NULL id is the largest.
+    Two texts are linked if the Jaccard similarity of their sets of five-word
+    shingles is at least this, and a group is what links connect. Candidates
+    come from Golay keys of four fingerprints of the different words: a changed
+    word changes one of them, but as many shingles as a shingle has words, so
+    near copies differ in few of these bits. They are cut by a fingerprint of
+    the shingles, and all that stay are compared by the sets themselves.
+    Of rows equal in id and text one stays; a NULL id is the largest; texts
+    without words are copies of each other.
     """
     own = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     rows = docs.select(F.col(doc_id).alias("__id"), own.alias("__hash"), F.col(text).alias("__text"))
     marked = written(wide_fingerprints(rows), "fingerprints")
-    words, keyed_by = [f"w{i}" for i in range(WIDE)], [f"k{i}" for i in range(KEYED)]
+    same = ["own_set", *(f"w{i}" for i in range(WIDE)), *(f"k{i}" for i in range(KEYED))]
     least = F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__hash").alias("hash"))
-    # Rows equal in all bits, those of the keys too, are one node.
-    nodes = marked.groupBy(*words, *keyed_by).agg(F.min(least).alias("__first"))
+    # Rows of the same set are one node.
+    nodes = marked.groupBy(*same).agg(F.min(least).alias("__first"))
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    linked = links(nodes.drop("__first"), bits_for(similarity), words=tuple(words), keyed_by=tuple(keyed_by))
+
+    def texts_of(some: DataFrame) -> DataFrame:
+        firsts = nodes.join(some, "node", "left_semi").select("node", "__first.id", "__first.hash")
+        found = rows.join(firsts, (F.col("__hash") == F.col("hash")) & F.col("__id").eqNullSafe(F.col("id")))
+        return found.select("node", "__text")
+
+    linked = similar_links(nodes.drop("__first"), texts_of, similarity)
     classes = _classes(nodes, "node", F.col("__first"), linked)
     stays = classes.select("component.*").distinct().select(F.col("id").alias("__id"), F.col("hash").alias("__hash"))
     # How often the row that stays is in the input: it may be repeated.

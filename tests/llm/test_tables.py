@@ -451,18 +451,88 @@ def test_near_copies_leave_one_of_each_group(spark, odd_docs):
     assert [r.doc_id for r in near_duplicates.without_near_copies(same).collect()] == [5]
 
 
-def test_texts_equal_in_the_first_word_only_are_not_copies(spark, monkeypatch):
-    # 1 and 2 are equal in 64 of 256 bits; 3 is near 2 and shares keys with 2 only; 4 equals 1.
-    prints = {1: (7, 0, 0, 0, 1, 1), 2: (7, -1, -1, -1, 1 << 60, 1 << 61), 3: (6, -1, -1, -1, 1 << 60, 1 << 61)}
-    prints[4] = prints[1]
-    names = ["w0", "w1", "w2", "w3", "k0", "k1"]
-    table = spark.createDataFrame([(i, *p) for i, p in prints.items()], "__i bigint, " + ", ".join(f"{n} bigint" for n in names))
-    monkeypatch.setattr(
-        near_duplicates, "wide_fingerprints",
-        lambda rows: rows.join(table, rows["__id"] == table["__i"]).select("__id", "__hash", *names),
-    )
-    docs = spark.createDataFrame([(i, f"text {i}") for i in prints], "doc_id bigint, text string")
-    assert sorted(r.doc_id for r in near_duplicates.without_near_copies(docs).collect()) == [1, 2]
+def changed_copy(words, kind, share, rng):
+    """The words with about this share of them cut off, appended, inserted as a block, or changed here and there."""
+    n = max(1, round(share * len(words)))
+    block = [f"new{rng.integers(1 << 40)}" for _ in range(n)]
+    if kind == "cut":
+        return words[: len(words) - n]
+    if kind == "appended":
+        return words + block
+    if kind == "inserted":
+        at = int(rng.integers(len(words)))
+        return words[:at] + block + words[at:]
+    out = list(words)
+    for place, word in zip(rng.choice(len(words), max(1, n // 5), replace=False), block, strict=False):
+        out[place] = word
+    return out
+
+
+def exact_sets(texts):
+    return [
+        {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := t.lower().split()) else set() for t in texts
+    ]
+
+
+def test_links_of_near_copies_against_an_exact_join(spark):
+    """No link below the similarity, nearly all above it, for all ways of change."""
+    rng = np.random.default_rng(12)
+    pages = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()
+    base = [r.text.split() for r in pages if 60 <= len((r.text or "").split()) <= 2000][:400]
+    kinds = ["cut", "appended", "inserted", "scattered"]
+    texts = [" ".join(w) for w in base]
+    texts += [" ".join(changed_copy(w, kinds[i % 4], 0.02 + 0.3 * rng.random(), rng)) for i, w in enumerate(base)]
+    sets = exact_sets(texts)
+    holders = defaultdict(list)
+    for i, grams in enumerate(sets):
+        for gram in grams:
+            holders[gram].append(i)
+    meeting = Counter(p for found in holders.values() for p in combinations(found, 2))
+    exact = {p for p, n in meeting.items() if n >= 0.8 * (len(sets[p[0]] | sets[p[1]]))}
+    docs = spark.createDataFrame(list(enumerate(texts)), "__id bigint, __text string").repartition(6)
+    marked = written(near_duplicates.wide_fingerprints(docs), "f")
+    nodes = written(marked.withColumnRenamed("__id", "node"), "n")
+    texts_of = lambda some: docs.withColumnRenamed("__id", "node").join(some, "node")
+    linked = {(min(r), max(r)) for r in near_duplicates.similar_links(nodes, texts_of).collect()}
+    assert linked <= exact
+    group = roots(range(len(texts)), linked)
+    reached = [group[a] == group[b] for a, b in exact]
+    assert len(exact) > 200 and sum(reached) >= 0.95 * len(reached)
+
+
+def test_fingerprints_alone_make_no_copies(spark, monkeypatch):
+    """Equal fingerprints of different texts: only the sets decide, and a refused link hides no other."""
+    words = [f"w{i}" for i in range(100)]
+    texts = {1: words, 2: [f"x{i}" for i in range(100)], 3: words[:95], 4: words[:60], 5: words[:57], 6: [f"y{i}" for i in range(100)]}
+    known = near_duplicates.wide_fingerprints
+
+    def alike(rows, *rest):
+        same = {c: F.lit(0).cast("bigint") for c in ("w0", "w1", "w2", "k0", "k1", "k2", "k3")}
+        return known(rows, *rest).withColumns(same)
+
+    monkeypatch.setattr(near_duplicates, "wide_fingerprints", alike)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in near_duplicates.without_near_copies(docs).collect()) == [1, 2, 4, 6]
+    many = docs.union(spark.createDataFrame([(i, f"strange text number {i}") for i in range(10, 40)], docs.schema))
+    assert sorted(r.doc_id for r in near_duplicates.without_near_copies(many).collect()) == [1, 2, 4, 6, *range(10, 40)]
+
+
+def test_the_nearest_forest_connects_at_every_number_of_bits():
+    rng = np.random.default_rng(5)
+    start = rng.integers(0, 2**63, (1, 3)).astype(np.uint64)
+    flips = rng.integers(0, 2**63, (120, 3)).astype(np.uint64)
+    for _ in range(3):
+        flips &= rng.integers(0, 2**63, (120, 3)).astype(np.uint64)
+    values = start ^ flips
+    bits = np.bitwise_count(values[:, None] ^ values[None]).sum(axis=-1)
+    a, b = near_duplicates.nearest_links(values, 30)
+    for most in (5, 10, 15, 20, 25, 30):
+        pairs = np.argwhere((bits <= most) & (np.arange(120)[:, None] < np.arange(120)))
+        kept = [(x, y) for x, y in zip(a.tolist(), b.tolist(), strict=True) if bits[x, y] <= most]
+        assert roots(range(120), pairs.tolist()) == roots(range(120), kept)
+    groups = rng.integers(0, 3, 120)
+    between = {tuple(p) for p in np.stack(near_duplicates.links_between(values, 20, groups), axis=1).tolist()}
+    assert between == {(i, j) for i, j in combinations(range(120), 2) if bits[i, j] <= 20 and groups[i] != groups[j]}
 
 
 def test_components_of_a_random_graph(spark):
