@@ -156,6 +156,21 @@ def split_by_key(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", sampling.part_by_key("o_orderkey", 80).alias("part"))
 
 
+@query(
+    "split_exactly", "SL7",
+    sql="""WITH hashed AS (
+             SELECT o_orderkey, o_orderstatus, CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) AS h
+             FROM orders)
+           SELECT o_orderkey, o_orderstatus,
+                  CASE WHEN row_number() OVER (PARTITION BY o_orderstatus ORDER BY h, o_orderkey)
+                            <= count(*) OVER (PARTITION BY o_orderstatus) * 80 // 100
+                       THEN 'train' ELSE 'test' END AS part FROM hashed""",
+)
+def split_exactly(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return sampling.split_exactly(orders, "o_orderkey", 80, ["o_orderstatus"])
+
+
 @query("random_split_sizes", "SL7", sql="SELECT count(*) AS n, true AS both_filled FROM orders")
 def random_split_sizes(spark, sf):
     train, test = table(spark, sf, "orders").randomSplit([0.8, 0.2], seed=1)

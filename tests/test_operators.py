@@ -212,6 +212,22 @@ def test_split_does_not_depend_on_partitions(spark):
     assert 0.77 < train.count() / 5000 < 0.83
 
 
+def test_exact_split_of_classes_with_a_hot_key_and_nulls(spark):
+    made = [(k % 700 if k % 3 else 7, ("a", "b", None)[k % 5 % 3], k) for k in range(3000)]
+    made += [(None, "c", k) for k in range(9)] + [(1, "d", 0)] * 7
+    df = spark.createDataFrame(made, "k int, c string, __n int").repartition(5)
+    for percent in (0, 33, 80, 100):
+        split = sampling.split_exactly(df, "k", percent, ["c"])
+        assert split.columns == ["k", "c", "__n", "part"] and rows(split.drop("part")) == rows(df)
+        sizes = {c: (n, t) for c, n, t in rows(split.groupBy("c").agg(F.count("*"), F.count_if(F.col("part") == "train")))}
+        assert {c: t for c, (_, t) in sizes.items()} == {c: n * percent // 100 for c, (n, _) in sizes.items()}
+        again = sampling.split_exactly(df.repartition(11), "k", percent, ["c"])
+        assert rows(split) == rows(again)
+    whole = sampling.split_exactly(df, "k", 50)
+    assert whole.filter("part = 'train'").count() == 1508
+    assert sampling.split_exactly(df.filter("1 = 0"), "k").count() == 0
+
+
 def test_column_profile_counts_null_and_distinct(frame):
     df = frame([(1, "a", None), (2, "a", None), (2, None, None)], "k int, s string, d double")
     assert rows(profile.column_profile(df)) == [("d", "double", 3, 0), ("k", "int", 0, 2), ("s", "string", 1, 1)]
