@@ -6,9 +6,13 @@ of words: a block that ends no window lets the scan jump ahead. Where the shift
 is zero, the block picks the bucket of windows that end in it, the first block
 of a window is compared first and then the whole window.
 
-Texts stay where they are: the search is a map over the documents. Windows come
-from the benchmark in portions of ``WINDOWS_PER_PASS``, so what a task holds is
-bounded whatever the size of the benchmark; more portions mean more passes.
+Windows are cut and made distinct by Spark and written to the work folder in
+portions of about ``WINDOWS_PER_PASS``, told apart by a hash. Texts stay where they
+are: the search is one map over the documents, whose tasks hold some texts at a
+time and load one portion after the other from the shared folder. What a task holds
+is bounded whatever the size of the benchmark, no text is read twice, and neither
+items nor windows meet the driver. The list of the items that share a window is as
+long as the result for a document that holds it.
 
 Defined results: a NULL or word-less text has no words and no hits; an item
 without words has no window; an item with a NULL id marks words but is not
@@ -20,17 +24,25 @@ like a result are replaced.
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tallyspark.llm.common import with_new_columns, written
+from tallyspark.llm.common import written
+from tallyspark.session import fresh_dir
 
 WINDOW_WORDS = 10
 BLOCK_WORDS = 2
 WINDOWS_PER_PASS = 100_000
+# Texts that a task holds while it goes through more than one portion.
+BYTES_AT_ONCE = 64 * 1024 * 1024
 
 # Fixed rule: ASCII letters are lower-cased, words are runs of ASCII letters and
 # digits and of everything beyond ASCII.
@@ -86,13 +98,6 @@ def words_of(text: str | bytes | None) -> list[bytes]:
     return WORD.findall(raw.lower())
 
 
-def windows_of(words: list[bytes]) -> list[tuple[bytes, ...]]:
-    """All windows of an item; a shorter item is one window, no words give none."""
-    if not words:
-        return []
-    return [tuple(words[i : i + WINDOW_WORDS]) for i in range(max(1, len(words) - WINDOW_WORDS + 1))]
-
-
 def searchers_for(windows: list[tuple[tuple[bytes, ...], int]]) -> list[WuManber]:
     by_length: dict[int, list] = {}
     for window, owner in windows:
@@ -110,81 +115,128 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _portions(benchmark: DataFrame, item: str, text: str, per_pass: int) -> Iterator[list]:
-    """Distinct windows with the numbers of their items, in bounded portions.
+def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
+    """Every different window, its words joined by blanks, with the sorted ids of its items.
 
-    Items are fetched one partition at a time, and each item is cut into
-    windows as it comes, so the driver holds one portion only.
+    A shorter item is one window, an item without words none. Ids are text; NULL ids
+    are not listed.
     """
-    portion: list[tuple[tuple[bytes, ...], str | None]] = []
-    for row in benchmark.select(F.col(item).cast("string"), F.col(text)).toLocalIterator():
-        for window in windows_of(words_of(row[1])):
-            portion.append((window, row[0]))
-            if len(portion) == per_pass:
-                yield portion
-                portion = []
-    if portion:
-        yield portion
-
-
-STATE = "array<struct<start:int,end:int>>"
-
-
-def _pass(docs: DataFrame, portion: list, text: str) -> DataFrame:
-    """Add the occurrences of one portion to the spans and items of each row."""
-    ids = sorted({owner for _, owner in portion if owner is not None})
-    number = {owner: i for i, owner in enumerate(ids)}
-    numbered = [(window, number.get(owner, -1)) for window, owner in portion]
-    shared = docs.sparkSession.sparkContext.broadcast((numbered, ids))
-    names = docs.columns
-    place = names.index(text)
-    built: dict[str, object] = {}
+    lowered = F.translate(F.col(text), string.ascii_uppercase, string.ascii_lowercase)
+    words = F.regexp_extract_all(lowered, F.lit(WORD_PATTERN), F.lit(0))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("words") - (WINDOW_WORDS - 1), F.lit(1)))
+    windows = F.transform(starts, lambda start: F.array_join(F.slice("words", start, WINDOW_WORDS), " "))
+    cut = benchmark.select(F.col(item).cast("string").alias("item"), words.alias("words")).filter(F.size("words") > 0)
+    each = cut.select("item", F.explode(windows).alias("window"))
+    return each.groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items"))
+
+
+def _write_portions(benchmark: DataFrame, item: str, text: str, per_pass: int) -> str:
+    """Folder of the written windows, one folder below it per portion."""
+    windows = written(benchmark_windows(benchmark, item, text), "windows")
+    portions = max(1, -(-windows.count() // per_pass))
+    path = fresh_dir(benchmark.sparkSession, "portions")
+    numbered = windows.withColumn("portion", F.pmod(F.xxhash64("window"), F.lit(portions)))
+    numbered.repartition("portion").write.partitionBy("portion").parquet(path)
+    return path
+
+
+def _folders(path: str) -> list[str]:
+    store, root = fs.FileSystem.from_uri(path)
+    return sorted(f.path for f in store.get_file_info(fs.FileSelector(root)) if f.type == fs.FileType.Directory)
+
+
+@lru_cache(maxsize=1)
+def _loaded(path: str, folder: str) -> tuple[list[WuManber], pa.Array]:
+    """Searchers of a portion and the items of its windows; the latest stays in the worker."""
+    store, _ = fs.FileSystem.from_uri(path)
+    rows = pq.read_table(folder, filesystem=store, partitioning=None)
+    known: dict[bytes, bytes] = {}
+    windows = []
+    for number, window in enumerate(rows.column("window").cast(pa.binary())):
+        words = window.as_py().split(b" ")
+        windows.append((tuple(known.setdefault(word, word) for word in words), number))
+    return searchers_for(windows), rows.column("items").combine_chunks()
+
+
+class _Text:
+    """A text's words and what the portions have marked in it so far."""
+
+    def __init__(self, words: list[bytes]):
+        self.words = words
+        self.spans: list[tuple[int, int]] = []
+        self.items: set[str] = set()
+
+    def search(self, searchers: list[WuManber], items: pa.Array) -> None:
+        found, owners = list(self.spans), set()
+        for searcher in searchers:
+            for start, hits in searcher.find(self.words):
+                found.append((start, start + searcher.length))
+                owners.update(hits)
+        for owner in owners:
+            self.items.update(items[owner].as_py())
+        self.spans = _merged(found)
+
+
+def _held(batches: Iterator[pa.RecordBatch], place: int, least: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in groups that end where their texts reach a number of bytes."""
+    group: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        group.append(batch)
+        size += batch.column(place).nbytes
+        if size >= least:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def _texts_of(column: pa.Array, known: dict[bytes, bytes]) -> list[_Text]:
+    """The texts of a batch; equal words are one object."""
+    texts = []
+    for value in column:
+        words = words_of(value.as_buffer().to_pybytes() if value.is_valid else None)
+        texts.append(_Text([known.setdefault(word, word) for word in words]))
+    return texts
+
+
+SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+FOUND = "n_words bigint, hit_spans array<struct<start:int,end:int>>, items array<string>"
+
+
+def _found(texts: list[_Text]) -> list[pa.Array]:
+    return [
+        pa.array([len(t.words) for t in texts], pa.int64()),
+        pa.array([[{"start": s, "end": e} for s, e in t.spans] for t in texts], SPANS),
+        pa.array([sorted(t.items) for t in texts], pa.list_(pa.string())),
+    ]
+
+
+def _marked(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str, per_pass: int) -> DataFrame:
+    """The documents, columns numbered ``c0`` and on, with the columns of FOUND."""
+    path = _write_portions(benchmark, item, item_text, per_pass)
+    place = docs.columns.index(text)
+    rows = docs.toDF(*_numbered(docs))
+    schema = StructType([*rows.schema.fields, *StructType.fromDDL(FOUND).fields])
 
     def search(batches):
-        if "searchers" not in built:
-            windows, listed = shared.value
-            built.update(searchers=searchers_for(windows), ids=listed)
-        searchers, listed = built["searchers"], built["ids"]
-        for batch in batches:
-            counts, all_spans, all_items = [], [], []
-            old_spans = batch.column(names.index("__spans")).to_pylist()
-            old_items = batch.column(names.index("__items")).to_pylist()
-            for value, spans, items in zip(batch.column(place), old_spans, old_items, strict=True):
-                words = words_of(value.as_buffer().to_pybytes() if value.is_valid else None)
-                found = [(s["start"], s["end"]) for s in spans]
-                owners: set[int] = set()
-                for searcher in searchers:
-                    for start, hits in searcher.find(words):
-                        found.append((start, start + searcher.length))
-                        owners.update(hits)
-                owners.discard(-1)
-                counts.append(len(words))
-                all_spans.append([{"start": s, "end": e} for s, e in _merged(found)])
-                all_items.append(sorted({*items, *(listed[i] for i in owners)}))
-            span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            new = {
-                "__n_words": pa.array(counts, pa.int64()),
-                "__spans": pa.array(all_spans, span),
-                "__items": pa.array(all_items, pa.list_(pa.string())),
-            }
-            yield pa.RecordBatch.from_arrays([new.get(n, batch.column(i)) for i, n in enumerate(names)], names=names)
-
-    return docs.mapInArrow(search, docs.schema)
+        folders = _folders(path)
+        for group in _held(batches, place, BYTES_AT_ONCE if len(folders) > 1 else 1):
+            known: dict[bytes, bytes] = {}
+            texts = [_texts_of(batch.column(place), known) for batch in group]
+            for folder in folders:
+                searchers, items = _loaded(path, folder)
+                for some in texts:
+                    for one in some:
+                        one.search(searchers, items)
+            for batch, some in zip(group, texts, strict=True):
+                yield pa.RecordBatch.from_arrays([*batch.columns, *_found(some)], names=schema.names)
 
+    return rows.mapInArrow(search, schema)
 
-def _marked(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str, per_pass: int) -> DataFrame:
-    rows = docs.withColumns(
-        {
-            "__n_words": F.lit(0).cast("bigint"),
-            "__spans": F.array().cast(STATE),
-            "__items": F.array().cast("array<string>"),
-        }
-    )
-    passes = 0
-    for portion in _portions(benchmark, item, item_text, per_pass):
-        rows = _pass(written(rows, "decontamination") if passes else rows, portion, text)
-        passes += 1
-    return rows if passes else _pass(rows, [], text)  # without any window only count the words
+
+def _numbered(docs: DataFrame) -> list[str]:
+    return [f"c{place}" for place in range(len(docs.columns))]
 
 
 def contamination(
@@ -197,12 +249,12 @@ def contamination(
 ) -> DataFrame:
     """Documents with ``n_words``, ``n_hit``, ``hit_spans`` (word positions,
     merged) and ``items`` (ids as text, sorted) of the windows that occur."""
+    marked = _marked(docs, benchmark, text, item, item_text, windows_per_pass)
     hit = F.aggregate(
-        "__spans", F.lit(0).cast("bigint"), lambda total, s: total + s["end"].cast("bigint") - s["start"]
+        "hit_spans", F.lit(0).cast("bigint"), lambda total, s: total + s["end"].cast("bigint") - s["start"]
     )
-    return with_new_columns(
-        _marked(docs, benchmark, text, item, item_text, windows_per_pass).withColumn("__hit", hit), *RESULTS
-    ).withColumnsRenamed({"__n_words": "n_words", "__hit": "n_hit", "__spans": "hit_spans", "__items": "items"})
+    own = [F.col(c).alias(n) for c, n in zip(_numbered(docs), docs.columns, strict=True) if n.lower() not in RESULTS]
+    return marked.select(*own, "n_words", hit.alias("n_hit"), "hit_spans", "items")
 
 
 def clean_documents(
@@ -215,7 +267,7 @@ def clean_documents(
 ) -> DataFrame:
     """The documents in which no window occurs, with their own columns only."""
     marked = _marked(docs, benchmark, text, item, item_text, windows_per_pass)
-    return marked.filter(F.size("__spans") == 0).select(*docs.columns)
+    return marked.filter(F.size("hit_spans") == 0).select(*_numbered(docs)).toDF(*docs.columns)
 
 
 def items_digest(items) -> Column:

@@ -76,6 +76,41 @@ def test_contamination_of_odd_documents(spark, odd_docs, per_pass):
     assert long.n_words == 2500 * 23 and long.n_hit == 2500 * 22 and long["items"] == ["1", "10"]
 
 
+def test_many_portions_mark_what_one_portion_marks_in_one_scan(spark):
+    items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    pasted = items.select((F.col("item_id") + 10**6).alias("doc_id"), F.concat(F.lit("so it goes: "), "text").alias("text"))
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").union(pasted)
+    windows = decontamination.benchmark_windows(items).count()
+    assert windows > 1_000
+    one = decontamination.contamination(docs, items)
+    many = decontamination.contamination(docs, items, windows_per_pass=-(-windows // 1_000))
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("documents.parquet") == 1
+    want = {(r.doc_id, r.n_hit, tuple(r["items"])) for r in one.collect()}
+    assert want == {(r.doc_id, r.n_hit, tuple(r["items"])) for r in many.collect()}
+    assert sum(n_hit > 0 for _, n_hit, _ in want) >= pasted.filter("text != ''").count() - 5
+
+
+def test_windows_are_distinct_and_know_their_items(spark):
+    rows = [(2, "A b"), (1, "a, B"), (None, "a b"), (2, "a b"), (3, " ".join("w%d" % i for i in range(12))), (4, None), (5, "-")]
+    got = decontamination.benchmark_windows(spark.createDataFrame(rows, "item_id bigint, text string")).collect()
+    assert {r.window: r["items"] for r in got} == {
+        "a b": ["1", "2"],
+        **{" ".join("w%d" % i for i in range(at, at + 10)): ["3"] for at in range(3)},
+    }
+    assert len(got) == 4
+
+
+def test_clashing_names_of_documents_are_kept_or_replaced(spark):
+    docs = spark.createDataFrame([("a b", "x", 7, "y")], "text string, c0 string, N_HIT bigint, __items string")
+    items = spark.createDataFrame([(1, "a b")], "item_id bigint, text string")
+    (row,) = decontamination.contamination(docs, items).collect()
+    assert row.asDict() == {
+        "text": "a b", "c0": "x", "__items": "y", "n_words": 2, "n_hit": 2, "hit_spans": [(0, 2)], "items": ["1"]
+    }
+    assert decontamination.clean_documents(docs, items.filter("item_id = 2")).collect() == docs.collect()
+
+
 def test_decontamination_keeps_rows_and_columns(spark, odd_docs, no_docs):
     benchmark = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     kept = decontamination.clean_documents(odd_docs, benchmark)
