@@ -6,13 +6,16 @@ is the sum over its n-grams of the log ratio of both models. A text is kept if
 its log weight plus Gumbel noise is among the k largest, which samples k texts
 without replacement with chances in proportion to the weights.
 
-Counts cover all documents; the target is a bounded sample of labelled rows,
-``TARGET_DOCS`` at most, in hash order of the id. Noise is a hash of id and
-text, so a repeated task draws the same. The k-th largest value is found by
-counting in bins twice and ordering what is left, so no task sees all rows.
-
-Defined results: a NULL or word-less text has log weight 0; without target
-texts all log weights are 0, which samples evenly; rows equal in id and text
+Both models count in one pass over all documents; the target is every document
+whose id is labelled good. The ids are a written table, which Spark broadcasts if
+its files are small and joins by shuffling else. Noise is a hash of id and text, so
+a repeated task draws the same. The k-th largest value is found by counting in bins
+between smallest and largest, again within the bin that holds it, and ordering what
+is left, so no task sees all rows.
+
+Defined results: a NULL or word-less text has log weight 0; without words in any
+target text all log weights are 0, which samples evenly; an id that is labelled
+good more than once, or that no document has, changes nothing; rows equal in id and text
 have the same noise and fall on the same side of the cut, also if that keeps
 more than k; an empty table gives no rows; columns named like a result are
 replaced.
@@ -26,16 +29,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import bounded_keys, with_new_columns, written
+from tallyspark.llm.common import with_new_columns, written
 
 BUCKETS = 10_000
-TARGET_DOCS = 20_000
 SMOOTHING = 1.0
 KEPT_SHARE = 0.5
 SEED = 17
 ROWS_AT_ONCE = 256
-# First bins are one wide and end here; second ones are this many per first bin.
-LAST_BIN, FINE_BINS = 1 << 15, 1 << 16
+# Bins of a histogram, and rows that are ordered without another one.
+BINS, FEW = 1 << 14, 10_000
 
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -70,13 +72,15 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([owner, owner[1:][same]]), _bucket(np.concatenate([hashes, pairs]))
 
 
-def log_ratios(docs: DataFrame, targets: list, doc_id: str, text: str) -> np.ndarray:
-    """Per bucket the log ratio of the target model to the model of all texts."""
-    if not targets:
-        return np.zeros(BUCKETS)
-    listed = docs.sparkSession.createDataFrame([(k,) for k in targets], "__key bigint").withColumn("__target", F.lit(True))
+def log_ratios(docs: DataFrame, good: DataFrame, doc_id: str, text: str) -> np.ndarray:
+    """Per bucket the log ratio of the model of texts with good ids to the model of all texts.
+
+    ``good`` has one column of ids; repeats and NULL count for nothing.
+    """
+    ids = good.toDF("__key").filter("__key IS NOT NULL").distinct()
+    ids = written(ids, "good-ids").withColumn("__target", F.lit(True))
     marked = docs.select(F.col(doc_id).cast("bigint").alias("__key"), F.col(text).alias("__text"))
-    marked = marked.join(F.broadcast(listed), "__key", "left").select("__text", F.coalesce("__target", F.lit(False)).alias("__target"))
+    marked = marked.join(ids, "__key", "left").select("__text", F.coalesce("__target", F.lit(False)).alias("__target"))
 
     def count(batches):
         seen = np.zeros((2, BUCKETS), np.int64)
@@ -92,6 +96,8 @@ def log_ratios(docs: DataFrame, targets: list, doc_id: str, text: str) -> np.nda
     counts = np.zeros((2, BUCKETS))
     for bucket, raw, target in sums.collect():  # one row per bucket
         counts[:, bucket] = raw, target
+    if not counts[1].any():
+        return np.zeros(BUCKETS)
     chances = (counts + SMOOTHING) / (counts.sum(axis=1, keepdims=True) + SMOOTHING * BUCKETS)
     return np.log(chances[1]) - np.log(chances[0])
 
@@ -126,22 +132,26 @@ def _bin_of(counts: dict[int, int], wanted: int) -> tuple[int, int]:
     raise ValueError("fewer rows than wanted")
 
 
-def top_share(df: DataFrame, key: str, ties: list[str], share: float) -> DataFrame:
+def top_share(df: DataFrame, key: str, ties: list[str], share: float, few: int = FEW) -> DataFrame:
     """Add ``selected`` for the given share of rows with the largest key (ties: smaller first).
 
-    ``df`` should be a written table; it is read a few times.
+    ``df`` should be a written table; it is read a few times. Each round spreads the
+    bins between the smallest and the largest key that are left, so no outlier, however
+    far off, leaves the others in one bin for good.
     """
-    coarse = F.greatest(F.lit(-LAST_BIN), F.least(F.lit(LAST_BIN), F.floor(key))).cast("int")
-    counts = {r[0]: r[1] for r in df.groupBy(coarse.alias("bin")).count().collect()}
-    wanted = round(sum(counts.values()) * share)
-    if not wanted:
+    spread = [F.min(key), F.max(key), F.count(F.lit(1))]
+    inside, (low, high, rows) = df, df.agg(*spread).first()
+    rank = round(rows * share)
+    if not rank:
         return df.withColumn("selected", F.lit(False))
-    first, rank = _bin_of(counts, wanted)
-    fine = F.least(F.lit(FINE_BINS - 1), F.greatest(F.lit(0), F.floor((F.col(key) - first) * FINE_BINS))).cast("int")
-    inside = df.filter(coarse == first)
-    second, rank = _bin_of({r[0]: r[1] for r in inside.groupBy(fine.alias("bin")).count().collect()}, rank)
+    while rows > few and (width := (high - low) / BINS) > 0:
+        place = F.least(F.lit(BINS - 1), F.floor((F.col(key) - low) / width)).cast("int")
+        counts = {r[0]: r[1] for r in inside.groupBy(place.alias("bin")).count().collect()}  # one row per bin
+        bin_of_last, rank = _bin_of(counts, rank)
+        inside = inside.filter(place == bin_of_last)
+        low, high, rows = inside.agg(*spread).first()
     order = [F.desc(key), *[F.asc_nulls_last(t) for t in ties]]
-    last = inside.filter(fine == second).select(key, *ties).orderBy(*order).offset(rank - 1).first()
+    last = inside.select(key, *ties).orderBy(*order).offset(rank - 1).first()
     before, equal = F.col(key) > last[key], F.col(key) == last[key]
     for t in ties:
         value = F.lit(last[t])
@@ -161,7 +171,7 @@ def resample(
 ) -> DataFrame:
     """``doc_id``, ``log_weight``, ``key`` (with noise) and ``selected`` for every document."""
     good = labels.filter(F.col(quality) == 1).select(F.col(doc_id).cast("bigint").alias("__id"))
-    ratios = log_ratios(docs, bounded_keys(good, "__id", TARGET_DOCS), doc_id, text)
+    ratios = log_ratios(docs, good, doc_id, text)
     rows = docs.select(F.col(doc_id).alias("__doc"), F.col(text).alias("__text"), F.xxhash64(doc_id, text, F.lit(seed)).alias("__tie"))
     # 52 bits of the hash, off 0 and 1, are an even chance; its Gumbel quantile is the noise.
     chance = (F.shiftrightunsigned("__tie", 12).cast("double") + 0.5) / float(1 << 52)

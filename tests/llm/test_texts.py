@@ -303,6 +303,50 @@ def test_importance_of_odd_documents(spark, odd_docs, no_docs):
     assert {r.log_weight for r in even.collect()} == {0.0}
 
 
+def plain_buckets(text):
+    """Buckets of words and of pairs of neighbours, in Python's own integers."""
+    full = (1 << 64) - 1
+    mix = [int(m) for m in importance._MIX]
+    hashes = []
+    for word in re.sub(r"[^\w]|_", " ", (text or "").lower()).split():
+        hashes.append(sum((b + 1) * pow(0x100000001B3, at, 1 << 64) for at, b in enumerate(word.encode(), 1)) & full)
+    pairs = [(a * mix[0] & full) ^ (b * mix[2] & full) for a, b in zip(hashes, hashes[1:])]
+    mixed = [(h ^ h >> 31) * mix[1] & full for h in hashes + pairs]
+    return [(m ^ m >> 29) % importance.BUCKETS for m in mixed]
+
+
+def test_importance_weights_are_those_of_plain_counting(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").filter("doc_id % 5 = 0")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet").select("doc_id", "quality")
+    absent = spark.createDataFrame([(-1, 1), (None, 1)], "doc_id bigint, quality int")
+    rows = docs.collect()
+    good = {r.doc_id for r in labels.filter("quality = 1").collect()}
+    raw, target = np.zeros(importance.BUCKETS), np.zeros(importance.BUCKETS)
+    buckets = {r.doc_id: plain_buckets(r.text) for r in rows}
+    for doc_id, found in buckets.items():
+        np.add.at(raw, found, 1)
+        if doc_id in good:
+            np.add.at(target, found, 1)
+    assert target.any() and (raw > target).any()
+    ratios = np.log((target + 1) / (target.sum() + len(target))) - np.log((raw + 1) / (raw.sum() + len(raw)))
+    got = importance.resample(docs, labels.union(labels).union(absent)).collect()
+    assert len(got) == len(rows)
+    for row in got:
+        assert row.log_weight == pytest.approx(sum(ratios[b] for b in buckets[row.doc_id]), abs=1e-7)
+    none = importance.resample(docs, absent)  # no document has these ids
+    assert {r.log_weight for r in none.collect()} == {0.0}
+
+
+@pytest.mark.parametrize("few", [1, 40])
+def test_top_share_narrows_to_few_rows_beside_outliers(spark, few):
+    keys = [1e300, -1e300, 3e9] + [float(k) for k in np.random.default_rng(4).normal(0, 1, 400)] + [0.5] * 60
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key double, id bigint")
+    for share in (0.002, 0.3, 0.6):
+        got = {r.id for r in importance.top_share(df, "key", ["id"], share, few=few).filter("selected").collect()}
+        want = sorted(range(len(keys)), key=lambda i: (-keys[i], i))[: round(len(keys) * share)]
+        assert got == set(want)
+
+
 def test_top_share_is_exact_with_ties(spark):
     rng = np.random.default_rng(3)
     keys = [float(k) for k in np.concatenate([rng.normal(0, 1e-6, 300), rng.normal(0, 1e5, 200), np.zeros(500)])]
