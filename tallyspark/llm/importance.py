@@ -7,8 +7,9 @@ its log weight plus Gumbel noise is among the k largest, which samples k texts
 without replacement with chances in proportion to the weights.
 
 Both models count in one pass over all documents; the target is every document
-whose id is labelled good. The ids are a written table, which Spark broadcasts if
-its files are small and joins by shuffling else. Noise is a hash of id and text, so
+whose id is labelled good. The ids are a written and counted table: up to
+``BROADCAST_IDS`` they are broadcast, so that no text moves; more are joined by
+shuffling the texts once, with the same result. Noise is a hash of id and text, so
 a repeated task draws the same. The k-th largest value is found by counting in bins
 between smallest and largest, again within the bin that holds it, and ordering what
 is left, so no task sees all rows.
@@ -38,6 +39,8 @@ SEED = 17
 ROWS_AT_ONCE = 256
 # Bins of a histogram, and rows that are ordered without another one.
 BINS, FEW = 1 << 14, 10_000
+# Good ids that are broadcast, 16 MB of numbers.
+BROADCAST_IDS = 2_000_000
 
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -78,7 +81,9 @@ def log_ratios(docs: DataFrame, good: DataFrame, doc_id: str, text: str) -> np.n
     ``good`` has one column of ids; repeats and NULL count for nothing.
     """
     ids = good.toDF("__key").filter("__key IS NOT NULL").distinct()
-    ids = written(ids, "good-ids").withColumn("__target", F.lit(True))
+    ids = written(ids, "good-ids")
+    way = "broadcast" if ids.count() <= BROADCAST_IDS else "shuffle_hash"
+    ids = ids.withColumn("__target", F.lit(True)).hint(way)
     marked = docs.select(F.col(doc_id).cast("bigint").alias("__key"), F.col(text).alias("__text"))
     marked = marked.join(ids, "__key", "left").select("__text", F.coalesce("__target", F.lit(False)).alias("__target"))
 

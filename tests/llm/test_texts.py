@@ -315,7 +315,9 @@ def plain_buckets(text):
     return [(m ^ m >> 29) % importance.BUCKETS for m in mixed]
 
 
-def test_importance_weights_are_those_of_plain_counting(spark):
+@pytest.mark.parametrize("broadcast", [importance.BROADCAST_IDS, 0])
+def test_importance_weights_are_those_of_plain_counting(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(importance, "BROADCAST_IDS", broadcast)
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").filter("doc_id % 5 = 0")
     labels = spark.read.parquet(f"{SMALL}/labels.parquet").select("doc_id", "quality")
     absent = spark.createDataFrame([(-1, 1), (None, 1)], "doc_id bigint, quality int")
