@@ -28,6 +28,9 @@ ALL_INPUTS = (*WEATHER_INPUTS, *POWER_INPUTS, PRICE)
 PERIODS = {"month": 12, "hour": 24}
 # Size of the parts in which tasks share the feature table.
 SPLIT_BYTES = 2 << 20
+# Spark keeps a row with a number for each tree while it trains, some 530 bytes of memory: rows that
+# one task holds.
+ROWS_PER_TASK = 100_000
 SCORES = ("accuracy", "one_away", "two_away", "mean_probability", "train_accuracy", "rmse", "mae", "r2")
 
 
@@ -69,6 +72,11 @@ def fit_forest(train: DataFrame, case: Case, trees: int = 100, depth: int = 5, s
     return forest.fit(assemble(train, list(case.inputs)))
 
 
+def dealt(rows: DataFrame, n_rows: int) -> DataFrame:
+    """Rows in parts of bounded size; files of narrow rows would be read in a few large ones."""
+    return rows.repartition(max(1, -(-n_rows // ROWS_PER_TASK)))
+
+
 def forest_predictions(model, df: DataFrame, case: Case) -> DataFrame:
     return model.transform(assemble(df, list(case.inputs)))
 
@@ -85,6 +93,8 @@ def prepared(df: DataFrame, key: str, train_percent: int = 80, cases: list[Case]
 def case_predictions(data: DataFrame, case: Case, trees: int = 100, depth: int = 5):
     """The model of a case and its predictions for training and test rows."""
     rows = clean(data, case, ["is_test"])
+    n_rows = rows.count()
+    rows = dealt(rows, n_rows)
     model = fit_forest(rows.filter(~F.col("is_test")), case, trees, depth)
     return model, forest_predictions(model, rows, case)
 

@@ -137,3 +137,24 @@ def test_features_are_written_in_parts_that_tasks_can_share(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert len(sizes) > 2 and sum(sizes) == 200_000
+
+
+def _many_minutes(spark, n=24_000):
+    number = F.col("id")
+    return spark.range(n).select(
+        number.alias("time"),
+        (number % 20).cast("double").alias("temperature"),
+        (number % 3).cast("double").alias("humidity"),
+        F.when(number % 10 != 0, (number % 7).cast("double")).alias("wind_speed"),
+        (number % 20 % 12 + 1).alias("month"),
+    )
+
+
+def test_training_rows_are_dealt_in_parts_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(forests, "ROWS_PER_TASK", 1_000)
+    case = next(c for c in forests.CASES if c.name == "month from weather")
+    seen, fit = [], forests.fit_forest
+    monkeypatch.setattr(forests, "fit_forest", lambda train, *a, **k: seen.append(train.rdd.getNumPartitions()) or fit(train, *a, **k))
+    table = forests.prepared(_many_minutes(spark), "time", cases=[case])
+    forests.case_predictions(table, case, 2, 2)
+    assert seen == [22]  # 21,600 rows
