@@ -31,6 +31,10 @@ SPLIT_BYTES = 2 << 20
 # Spark keeps a row with a number for each tree while it trains, some 530 bytes of memory: rows that
 # one task holds.
 ROWS_PER_TASK = 100_000
+# How many rows trees draw from at most where rows are alike, and in how many portions
+# rows of equal values must be drawn on average for that.
+DRAWN_ROWS = 4_000_000
+LEAST_PORTIONS = 4
 SCORES = ("accuracy", "one_away", "two_away", "mean_probability", "train_accuracy", "rmse", "mae", "r2")
 
 
@@ -66,10 +70,10 @@ def clean(df: DataFrame, case: Case, keep: list[str]) -> DataFrame:
     return df.select(*keep, *used).na.drop(subset=used)
 
 
-def fit_forest(train: DataFrame, case: Case, trees: int = 100, depth: int = 5, seed: int = 1):
+def fit_forest(train: DataFrame, case: Case, trees: int = 100, depth: int = 5, seed: int = 1, weight: str | None = None):
     kind = RandomForestRegressor if case.regression else RandomForestClassifier
     forest = kind(featuresCol="features", labelCol=case.label, numTrees=trees, maxDepth=depth, seed=seed)
-    return forest.fit(assemble(train, list(case.inputs)))
+    return (forest.setWeightCol(weight) if weight else forest).fit(assemble(train, list(case.inputs)))
 
 
 def dealt(rows: DataFrame, n_rows: int) -> DataFrame:
@@ -90,10 +94,42 @@ def prepared(df: DataFrame, key: str, train_percent: int = 80, cases: list[Case]
     return written(df.select(*used, (hash_bucket(key) >= train_percent).alias("is_test")), "features", SPLIT_BYTES)
 
 
+def in_portions(cells: DataFrame, portions: int) -> DataFrame:
+    """Each row, with its count ``n_alike``, as at most so many rows of nearly equal counts that add up to it."""
+    parts = F.least(F.col("n_alike"), F.lit(portions)).cast("int")
+    size = F.expr("n_alike div __parts") + F.when(F.col("__part") < F.col("n_alike") % F.col("__parts"), 1).otherwise(0)
+    split = cells.withColumn("__parts", parts).withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
+    return split.withColumn("n_alike", size).drop("__parts", "__part")
+
+
+def _predictions_of_alike(rows: DataFrame, case: Case, trees: int, depth: int):
+    """Model and predictions where many rows have equal inputs and labels, or None.
+
+    Equal rows are counted. The bootstrap draws them in portions, as many as make
+    ``DRAWN_ROWS`` rows in all; up to that number a portion is one row. Every row
+    counts in training, whatever its portion. Equal inputs are predicted once.
+    """
+    train = rows.filter(~F.col("is_test")).select(*case.inputs, case.label)
+    known = train.agg(F.approx_count_distinct(F.xxhash64(*train.columns)).alias("cells")).first()
+    portions = DRAWN_ROWS // max(1, known["cells"])
+    if portions < LEAST_PORTIONS:
+        return None
+    cells = written(train.groupBy(*train.columns).agg(F.count(F.lit(1)).alias("n_alike")), "alike")
+    model = fit_forest(dealt(in_portions(cells, portions), DRAWN_ROWS), case, trees, depth, weight="n_alike")
+    inputs = list(case.inputs)
+    predicted = forest_predictions(model, rows.select(*inputs).distinct(), case)
+    predicted = written(predicted.select(*inputs, "prediction", "probability"), "predicted")
+    return model, rows.join(predicted, inputs)
+
+
 def case_predictions(data: DataFrame, case: Case, trees: int = 100, depth: int = 5):
     """The model of a case and its predictions for training and test rows."""
     rows = clean(data, case, ["is_test"])
     n_rows = rows.count()
+    if not case.regression and n_rows >= 2 * DRAWN_ROWS:
+        found = _predictions_of_alike(rows, case, trees, depth)
+        if found:
+            return found
     rows = dealt(rows, n_rows)
     model = fit_forest(rows.filter(~F.col("is_test")), case, trees, depth)
     return model, forest_predictions(model, rows, case)

@@ -43,15 +43,27 @@ def true_class_probability(
     Classes are numbered by label, so the label indexes the vector directly; a
     class that the model has never seen has probability 0.
     """
-    given = F.coalesce(F.get(vector_to_array(probability), F.col(label).cast("int")), F.lit(0.0))
+    given = given_to_true_class(label, probability)
     given = given if among is None else F.when(among, given)
     return rounded(exact_mean(given) * 100, 4)
 
 
+def given_to_true_class(label: str, probability: str = "probability") -> Column:
+    """Probability that the model gave to the true class."""
+    return F.coalesce(F.get(vector_to_array(probability), F.col(label).cast("int")), F.lit(0.0))
+
+
 def class_scores(predictions: DataFrame, label: str, period: int, is_test: Column) -> DataFrame:
-    """All class scores of the test rows and the accuracy on the other rows, in one row."""
-    return predictions.agg(
-        *_closeness_scores(label, "prediction", period, is_test),
-        true_class_probability(label, among=is_test).alias("mean_probability"),
-        _percent(F.col(label) == F.col("prediction"), ~is_test).alias("train_accuracy"),
+    """All class scores of the test rows and the accuracy on the other rows, in one row.
+
+    The exact sum uses its value often, so the vector is looked at in a step before it; a
+    column ``given`` with that probability takes its place.
+    """
+    given = F.col("given") if "given" in predictions.columns else given_to_true_class(label)
+    narrow = predictions.select(label, "prediction", is_test.alias("__test"), given.alias("given"))
+    test = F.col("__test")
+    return narrow.agg(
+        *_closeness_scores(label, "prediction", period, test),
+        rounded(exact_mean(F.when(test, F.col("given"))) * 100, 4).alias("mean_probability"),
+        _percent(F.col(label) == F.col("prediction"), ~test).alias("train_accuracy"),
     )

@@ -139,6 +139,12 @@ def test_features_are_written_in_parts_that_tasks_can_share(spark, monkeypatch):
     assert len(sizes) > 2 and sum(sizes) == 200_000
 
 
+def test_alike_rows_are_counted_and_every_row_stays(spark):
+    made = spark.createDataFrame([("a", 1), ("b", 7), ("c", 10)], "k string, n_alike bigint")
+    got = {k: sorted(n for key, n in rows(forests.in_portions(made, 4)) if key == k) for k in "abc"}
+    assert got == {"a": [1], "b": [1, 2, 2, 2], "c": [2, 2, 3, 3]}
+
+
 def _many_minutes(spark, n=24_000):
     number = F.col("id")
     return spark.range(n).select(
@@ -150,6 +156,23 @@ def _many_minutes(spark, n=24_000):
     )
 
 
+def test_alike_rows_train_the_same_forest(spark, monkeypatch):
+    case = next(c for c in forests.CASES if c.name == "month from weather")
+    table = forests.prepared(_many_minutes(spark), "time", cases=[case])
+    plain = forests.case_scores(forests.case_predictions(table, case, 20, 6)[1], case).first()
+    monkeypatch.setattr(forests, "DRAWN_ROWS", 9_000)
+    seen = []
+    fit = forests.fit_forest
+    monkeypatch.setattr(forests, "fit_forest", lambda train, *a, **k: seen.append((train.count(), train.agg(F.sum("n_alike")).first()[0])) or fit(train, *a, **k))
+    model, predictions = forests.case_predictions(table, case, 20, 6)
+    alike = forests.case_scores(predictions, case).first()
+    train = forests.clean(table, case, ["is_test"]).filter("NOT is_test").count()
+    assert len(seen) == 1 and seen[0][0] <= 9_000 < seen[0][1] == train  # all rows, in fewer
+    assert predictions.count() == forests.clean(table, case, ["is_test"]).count() and model.getNumTrees == 20
+    assert alike.n == plain.n and abs(alike.accuracy - plain.accuracy) < 5
+    assert abs(alike.mean_probability - plain.mean_probability) < 5
+
+
 def test_training_rows_are_dealt_in_parts_of_bounded_size(spark, monkeypatch):
     monkeypatch.setattr(forests, "ROWS_PER_TASK", 1_000)
     case = next(c for c in forests.CASES if c.name == "month from weather")
