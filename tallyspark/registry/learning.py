@@ -152,18 +152,22 @@ def forest_classifier_facts(spark, sf):
     """Facts of a trained model: its stored predictions are counted again, plainly."""
     case = _case("hour from weather")
     model, predictions = forests.case_predictions(forests.prepared(_minutes(spark, sf), "row_key", cases=[case]), case)
-    stored = written(predictions.select(case.label, "prediction", "probability", "is_test"), "predictions")
+    # Of the chances only what is asked for is stored: that of the true class and how far all are from one.
+    off = F.aggregate(vector_to_array("probability"), F.lit(-1.0), lambda a, x: a + x)
+    given = scores.given_to_true_class(case.label)
+    stored = written(
+        predictions.select(case.label, "prediction", "is_test", given.alias("given"), off.alias("off")), "predictions"
+    )
     reported = forests.case_scores(stored, case).select("accuracy", "train_accuracy").first()
     right, test = F.col(case.label) == F.col("prediction"), F.col("is_test")
     percent = lambda hits, of: 100 * F.count_if(hits) / F.count_if(of)
     common = stored.filter(test).groupBy(case.label).count().agg(F.max("count")).first()[0]
-    off = F.aggregate(vector_to_array("probability"), F.lit(-1.0), lambda a, x: a + x)
     return stored.agg(
         F.count_if(~test).alias("n_train"),
         F.count_if(test).alias("n_test"),
         F.lit(model.numClasses).cast("bigint").alias("classes"),
         F.lit(model.getNumTrees).alias("trees"),
-        (F.count_if(F.abs(off) > 1e-9) == 0).alias("chances_add_up"),
+        (F.count_if(F.abs("off") > 1e-9) == 0).alias("chances_add_up"),
         (
             (F.abs(percent(right & test, test) - reported["accuracy"]) < 1e-4)
             & (F.abs(percent(right & ~test, ~test) - reported["train_accuracy"]) < 1e-4)
