@@ -14,6 +14,8 @@ from tallyspark.sources.readers import file_stem
 
 # Fixed value: the image mode with four channels in blue-green-red-alpha order.
 BGRA_MODE = 24
+# Images up to which a table of their names is small enough for every task.
+FEW_IMAGES = 200_000
 
 
 def image_key(images: DataFrame, origin: str = "origin", name: str = "image") -> DataFrame:
@@ -120,6 +122,18 @@ def with_metadata(counts: DataFrame, metadata: DataFrame, key: str, columns: lis
     return counts.join(metadata.select(key, *columns), key)
 
 
+def color_counts_of(images: DataFrame, metadata: DataFrame, key: str = "image") -> DataFrame:
+    """Color counts of the images that the metadata (a written table, so its size is known) names.
+
+    No image leaves its task. Few names are sent to the images, and only those images
+    are taken apart. With many names all images are taken apart where they are, and only
+    counts meet the names: that costs less than moving the bytes of every image.
+    """
+    if metadata.count() <= FEW_IMAGES:
+        return color_counts(of_metadata(images, metadata, key), [key])
+    return of_metadata(color_counts(images, [key]), metadata, key)
+
+
 def color_totals(counts: DataFrame, keys: list[str]) -> DataFrame:
     """Colored and transparent pixels per image and their ratio."""
     colored = F.coalesce(F.sum(F.when(is_colored(), F.col("n"))), F.lit(0))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyspark import bindings as b
 from tallyspark.plans import images as im
 from tallyspark.registry.core import half_up, query
+from tallyspark.session import written
 
 IMAGES = f"WITH {b.IMAGES_SQL}"
 KEYS = ["image", "annotation", "group"]
@@ -18,12 +19,13 @@ def _scan(spark, sf):
 
 def _counts(spark, sf, wanted=None):
     """Color counts per image, then the metadata. If only some metadata is
-    wanted, only the images that it names are taken apart."""
+    wanted, only the images that it names are counted."""
     metadata, images = b.image_metadata(spark, sf), _scan(spark, sf)
-    if wanted is not None:
-        metadata = metadata.filter(wanted)
-        images = im.of_metadata(images, metadata)
-    counts = im.color_counts(images, ["image"])
+    if wanted is None:
+        counts = im.color_counts(images, ["image"])
+    else:
+        metadata = written(metadata.filter(wanted), "wanted-metadata")
+        counts = im.color_counts_of(images, metadata)
     return im.with_metadata(counts, metadata, "image", ["annotation", "group"])
 
 

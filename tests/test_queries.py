@@ -80,6 +80,24 @@ def test_only_wanted_images_are_taken_apart(spark, name):
     assert depth["LeftSemi"] > depth["MapInArrow"]  # further down the plan, so earlier
 
 
+@pytest.mark.parametrize("name", ["top_colors_of_image", "most_red_images_of_group"])
+@pytest.mark.parametrize("few", [200_000, -1])
+def test_no_image_is_shuffled(spark, duck, monkeypatch, name, few):
+    from tallyspark.plans import images
+
+    monkeypatch.setattr(images, "FEW_IMAGES", few)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")  # the unfiltered metadata of a large input is above it
+    try:
+        result = entry_points.queries()[name](spark, SMALL)
+        lines = plan(result).split("\n")
+        images_at = next(i for i, line in enumerate(lines) if "MapInArrow" in line)
+        below = [line for line in lines[images_at:] if "Exchange" in line and "Broadcast" not in line]
+        assert not below, below
+        assert difference(result, duck.sql(entry_points.oracle_sql()[name])) is None
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_aggregates_of_a_merged_table(spark):
     from tallyspark.operators import keyed
 
