@@ -29,8 +29,9 @@ PERIODS = {"month": 12, "hour": 24}
 # Size of the parts in which tasks share the feature table.
 SPLIT_BYTES = 2 << 20
 # Spark keeps a row with a number for each tree while it trains, some 530 bytes of memory: rows that
-# one task holds.
+# one task holds, and rows up to which cases train at the same time.
 ROWS_PER_TASK = 100_000
+ROWS_AT_ONCE = 40_000_000
 # How many rows trees draw from at most where rows are alike, and in how many portions
 # rows of equal values must be drawn on average for that.
 DRAWN_ROWS = 4_000_000
@@ -189,16 +190,18 @@ def run_cases(
 ) -> DataFrame:
     """All cases, one row each; scores a case does not have are NULL.
 
-    All cases read one prepared table and train at once (``at_once`` of them), as one
+    All cases read one prepared table and train at once (``at_once`` of them; if not
+    given, as many as hold ``ROWS_AT_ONCE`` rows, which Spark keeps while it trains), as one
     forest alone leaves executors idle between its levels. A case that fails has its
     reason in ``error``; if all fail, so does this.
     """
     spark, data = df.sparkSession, prepared(df, key, cases=cases)
+    at_once = at_once or max(1, min(len(cases), ROWS_AT_ONCE // max(1, data.count())))
 
     def task(case: Case) -> Callable[[], Row]:
         return lambda: case_scores(case_predictions(data, case, trees, depth)[1], case).first()
 
-    found = side_by_side(spark, {case.name: task(case) for case in cases}, at_once or len(cases))
+    found = side_by_side(spark, {case.name: task(case) for case in cases}, at_once)
     errors = [e for e in found.values() if isinstance(e, Exception)]
     if errors and len(errors) == len(cases):
         raise errors[0]

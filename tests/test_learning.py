@@ -181,3 +181,12 @@ def test_training_rows_are_dealt_in_parts_of_bounded_size(spark, monkeypatch):
     table = forests.prepared(_many_minutes(spark), "time", cases=[case])
     forests.case_predictions(table, case, 2, 2)
     assert seen == [22]  # 21,600 rows
+
+
+@pytest.mark.parametrize("most, at_once", [(40_000_000, 2), (1_500, 1)])
+def test_cases_train_at_once_as_far_as_their_rows_fit(minutes, monkeypatch, most, at_once):
+    monkeypatch.setattr(forests, "ROWS_AT_ONCE", most)
+    seen, beside = [], forests.side_by_side
+    monkeypatch.setattr(forests, "side_by_side", lambda spark, tasks, n: seen.append(n) or beside(spark, tasks, n))
+    cases = [c for c in forests.CASES if c.name in ("month from weather", "price from month")]
+    assert forests.run_cases(minutes, "time", cases, trees=2, depth=2).count() == 2 and seen == [at_once]
