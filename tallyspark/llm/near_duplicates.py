@@ -33,7 +33,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import with_new_columns, written
@@ -395,8 +395,8 @@ WIDE, KEYED = 3, 4
 # Standard errors of the estimate that a candidate may be off: 0.6 % of the pairs
 # that are just similar enough are further off.
 MARGIN = 2.5
-# Rows of a key beyond which the search for all links between groups is split.
-CHUNK_OF_ALL = 2_000
+# Room for errors of doubles where counts of hashes are compared.
+SLACK = 1e-6
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 
@@ -481,6 +481,68 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return both.select("a", "b", (shared >= F.lit(similarity) * either - 1e-9).alias("good"))
 
 
+def links_between_parts(members: DataFrame, sets: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Certain links, and the candidates that stay, between the parts of each ``root``.
+
+    ``members`` has ``root``, ``part``, ``node`` and ``degree``. A node is seen by what its
+    set and that of the hub (the node of most links) do not share. Two sets of sizes s and t are
+    similar enough if they differ in at most a share of s + t, so with ``far``, the difference from the
+    hub less that share of the own size, two nodes are
+
+    * linked for certain if the sum of both is not above zero. Then all such nodes are linked to
+      the one with the smallest ``far``, so one link of each part says all; these parts are the middle;
+    * linked otherwise only if their differences share at least half of that sum. Then they also share
+      one of the rarest of them, so far into both that as many are left. Only nodes that meet there are candidates.
+    """
+    share = (1 - similarity) / (1 + similarity)
+    hubs = members.groupBy("root").agg(F.max_by("node", F.struct("degree", "node")).alias("node"))
+    hubs = hubs.join(sets, "node").select("root", F.col("grams").alias("__hub"))
+    off = F.concat(F.array_except("grams", "__hub"), F.array_except("__hub", "grams"))
+    held = members.join(sets, "node").join(hubs, "root")
+    held = held.select("root", "part", "node", F.size("grams").alias("size"), off.alias("off"))
+    held = held.withColumns({"n_off": F.size("off"), "far": F.size("off") - F.lit(share) * F.col("size")})
+    held = written(held, "differences")
+
+    least = F.min(F.struct("far", "node"))
+    middles = held.groupBy("root").agg(least.alias("middle"))
+    parts = held.groupBy("root", "part").agg(least.alias("least")).join(middles, "root")
+    parts = written(parts.withColumn("in_middle", F.col("least.far") + F.col("middle.far") <= 1e-9), "torn-parts")
+    certain = parts.filter("in_middle AND least.node <> middle.node")
+    certain = certain.select(F.col("least.node").alias("a"), F.col("middle.node").alias("b"))
+
+    outside = parts.filter("NOT in_middle").groupBy("root").agg(F.min("least.far").alias("least_outside"))
+    searched = parts.join(outside, "root").select("part", "in_middle", F.col("middle.far").alias("least_far"), "least_outside")
+    searched = written(held.join(searched, "part"), "searched")
+    grams = written(searched.select("root", "node", F.explode("off").alias("gram")), "grams-off")
+    holders = grams.groupBy("root", "gram").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+    # How many of a difference are left, this one included, when the rarest come first.
+    rest = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("holders"), F.desc("gram")))
+    meeting = grams.join(holders, ["root", "gram"]).select("node", "gram", rest.alias("left"))
+
+    def useful(other) -> Column:
+        return 2 * F.col("left") >= F.col("far") + other - SLACK
+
+    meeting = meeting.join(searched.drop("off"), "node")
+    meeting = meeting.filter(useful(F.when(F.col("in_middle"), F.col("least_outside")).otherwise(F.col("least_far"))))
+    meeting = written(meeting, "meeting")
+    middle, others = meeting.filter("in_middle"), meeting.filter("NOT in_middle")
+    both = others.filter(useful(F.col("least_outside")))
+
+    def met(one: DataFrame, other: DataFrame, which: str) -> DataFrame:
+        found = one.alias("x").join(
+            other.alias("y"),
+            F.expr(
+                f"x.root = y.root AND x.gram = y.gram AND x.part <> y.part AND {which}"
+                f" AND 2 * least(x.left, y.left) >= x.far + y.far - {SLACK}"
+                f" AND abs(x.n_off - y.n_off) <= {share!r} * (x.size + y.size) + {SLACK}"
+            ),
+        )
+        return found.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+
+    candidates = met(middle, others, "true").union(met(both, both, "x.node < y.node")).distinct()
+    return certain, written(candidates, "candidates")
+
+
 def similar_links(
     nodes: DataFrame,
     texts_of: Callable[[DataFrame], DataFrame],
@@ -492,40 +554,33 @@ def similar_links(
 
     Candidates share a key and differ in few enough bits. First a forest of the
     nearest candidates is confirmed by the sets themselves. A forest that loses
-    no link says all. Where it does, all candidates between parts that fell
-    apart are confirmed too, so a refused link never hides another one.
+    no link says all. Where it does, all links between parts that fell apart are
+    found by the sets alone, so a refused link never hides another one.
     ``texts_of`` gives ``node`` and ``__text`` for a frame of nodes, repeats allowed.
     """
     words, keyed_by = tuple(f"w{i}" for i in range(WIDE)), tuple(f"k{i}" for i in range(KEYED))
     most_bits = bits_for(similarity)
 
-    def ends(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-
     near = written(links(nodes, most_bits, words=words, keyed_by=keyed_by, search=nearest_links).distinct(), "near")
-    needed = written(ends(near), "linked-nodes")
+    ends = near.select(F.explode(F.array("a", "b")).alias("node"))
+    needed = written(ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree")), "linked-nodes")
     # A node outside of all candidates is needed by no later step either.
-    sets = written(_sets(texts_of(needed), shingle).dropDuplicates(["node"]), "shingle-sets")
+    sets = written(_sets(texts_of(needed.select("node")), shingle).dropDuplicates(["node"]), "shingle-sets")
     first = written(confirmed(near, sets, similarity), "confirmed")
     good = first.filter("good").select("a", "b")
     refused = first.filter(~F.col("good"))
     if refused.isEmpty():
         return good
-    coarse = written(components(near), "coarse")
-    torn = coarse.join(ends(refused), "node").select("root").distinct()
-    parts = components(good).withColumnRenamed("root", "part")
-    again = (
-        coarse.join(torn, "root")
-        .select("node")
-        .join(parts, "node", "left")
-        .select("node", F.coalesce("part", "node").alias("part"))
-        .join(nodes.select("node", *words, *keyed_by), "node")
-    )
-    rest = links(
-        written(again, "torn"), most_bits, chunk=CHUNK_OF_ALL, words=words, keyed_by=keyed_by, group="part"
-    ).distinct()
-    rest = rest.join(refused.select("a", "b"), ["a", "b"], "left_anti")
-    return written(good.union(confirmed(rest, sets, similarity).filter("good").select("a", "b")), "similar")
+    # Refused links between different parts say which parts may have to be searched.
+    parts = needed.join(components(good).withColumnRenamed("root", "part"), "node", "left")
+    parts = written(parts.select("node", "degree", F.coalesce("part", "node").alias("part")), "parts")
+    of_a, of_b = (parts.select(F.col("node").alias(c), F.col("part").alias(f"part_{c}")) for c in "ab")
+    between = refused.select("a", "b").join(of_b, "b").select("a", "part_b").distinct().join(of_a, "a")
+    between = between.filter("part_a <> part_b").select(F.col("part_a").alias("a"), F.col("part_b").alias("b"))
+    torn = components(between).withColumnRenamed("node", "part")
+    certain, candidates = links_between_parts(written(parts.join(torn, "part"), "torn"), sets, similarity)
+    found = confirmed(candidates, sets, similarity).filter("good").select("a", "b")
+    return written(good.union(certain).union(found), "similar")
 
 
 def without_near_copies(

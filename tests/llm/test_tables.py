@@ -517,6 +517,39 @@ def test_fingerprints_alone_make_no_copies(spark, monkeypatch):
     assert sorted(r.doc_id for r in near_duplicates.without_near_copies(many).collect()) == [1, 2, 4, 6, *range(10, 40)]
 
 
+def test_copies_too_far_from_each_other_are_no_candidates(spark, monkeypatch):
+    """Copies of one text, most pairs of them near 0.7, and smaller groups around some: few pairs are compared, none is lost."""
+    rng = np.random.default_rng(21)
+    base = [f"w{i}" for i in range(220)]
+
+    def spoilt(words, changes):
+        out = list(words)
+        for place in rng.choice(len(words), changes, replace=False):
+            out[place] = f"new{rng.integers(1 << 40)}"
+        return out
+
+    copies = [base, *(spoilt(base, int(rng.integers(2, 9))) for _ in range(400))]
+    copies += [spoilt(copies[i], 2) for i in range(1, 60) for _ in range(3)]
+    texts = [" ".join(words) for words in copies]
+    sets = exact_sets(texts)
+    exact = [p for p in combinations(range(len(texts)), 2) if len(sets[p[0]] & sets[p[1]]) >= 0.8 * len(sets[p[0]] | sets[p[1]])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "__id bigint, __text string").repartition(6)
+    nodes = written(written(near_duplicates.wide_fingerprints(docs), "f").withColumnRenamed("__id", "node"), "n")
+    texts_of = lambda some: docs.withColumnRenamed("__id", "node").join(some, "node")
+    known, compared = near_duplicates.confirmed, []
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return known(pairs, *rest)
+
+    monkeypatch.setattr(near_duplicates, "confirmed", counted)
+    linked = {(min(r), max(r)) for r in near_duplicates.similar_links(nodes, texts_of).collect()}
+    assert linked <= set(exact)
+    assert roots(range(len(texts)), linked) == roots(range(len(texts)), exact)
+    # All pairs of different parts are some 100,000 here.
+    assert len(compared) == 2 and compared[1] < 5 * len(texts)
+
+
 def test_the_nearest_forest_connects_at_every_number_of_bits():
     rng = np.random.default_rng(5)
     start = rng.integers(0, 2**63, (1, 3)).astype(np.uint64)
