@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.temporal import hour_number_of_seconds, month_of_seconds
+from tallyspark.learning import levels
 from tallyspark.learning.regression import assemble, regression_scores
 from tallyspark.learning.scores import class_scores
 from tallyspark.operators.sampling import hash_bucket
@@ -36,6 +37,8 @@ ROWS_AT_ONCE = 40_000_000
 # rows of equal values must be drawn on average for that.
 DRAWN_ROWS = 4_000_000
 LEAST_PORTIONS = 4
+# From how many rows on a forest is grown from packed rows, where they are not alike.
+PACKED_ROWS = 1_000_000
 SCORES = ("accuracy", "one_away", "two_away", "mean_probability", "train_accuracy", "rmse", "mae", "r2")
 
 
@@ -124,13 +127,22 @@ def _predictions_of_alike(rows: DataFrame, case: Case, trees: int, depth: int):
 
 
 def case_predictions(data: DataFrame, case: Case, trees: int = 100, depth: int = 5):
-    """The model of a case and its predictions for training and test rows."""
+    """The model of a case and its predictions for training and test rows.
+
+    From ``PACKED_ROWS`` on the forest is not grown by Spark's trainer, but by the same
+    method over packed rows (``levels``), unless the rows are alike.
+    """
     rows = clean(data, case, ["is_test"])
     n_rows = rows.count()
     if not case.regression and n_rows >= 2 * DRAWN_ROWS:
         found = _predictions_of_alike(rows, case, trees, depth)
         if found:
             return found
+    if n_rows >= PACKED_ROWS:
+        model = levels.fit(
+            rows.filter(~F.col("is_test")), list(case.inputs), case.label, case.regression, trees, depth
+        )
+        return model, model.transform(rows)
     rows = dealt(rows, n_rows)
     model = fit_forest(rows.filter(~F.col("is_test")), case, trees, depth)
     return model, forest_predictions(model, rows, case)
@@ -196,7 +208,9 @@ def run_cases(
     reason in ``error``; if all fail, so does this.
     """
     spark, data = df.sparkSession, prepared(df, key, cases=cases)
-    at_once = at_once or max(1, min(len(cases), ROWS_AT_ONCE // max(1, data.count())))
+    n_rows = data.count()
+    kept = max(1, n_rows if n_rows < PACKED_ROWS else min(n_rows, DRAWN_ROWS))
+    at_once = at_once or max(1, min(len(cases), ROWS_AT_ONCE // kept))
 
     def task(case: Case) -> Callable[[], Row]:
         return lambda: case_scores(case_predictions(data, case, trees, depth)[1], case).first()

@@ -4,12 +4,15 @@ import random
 import threading
 
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tallyspark.learning import forests, regression, scores
+from tallyspark.learning import forests, levels, regression, scores
+from tallyspark.learning.regression import assemble
 from tallyspark.sources import schemas
 
 
@@ -190,3 +193,69 @@ def test_cases_train_at_once_as_far_as_their_rows_fit(minutes, monkeypatch, most
     monkeypatch.setattr(forests, "side_by_side", lambda spark, tasks, n: seen.append(n) or beside(spark, tasks, n))
     cases = [c for c in forests.CASES if c.name in ("month from weather", "price from month")]
     assert forests.run_cases(minutes, "time", cases, trees=2, depth=2).count() == 2 and seen == [at_once]
+
+
+def _odd_minutes(spark, n=6_000):
+    """Inputs of few values; the label follows two of them, with noise."""
+    number = F.xxhash64("id")
+    part = lambda shift, of: F.pmod(F.shiftrightunsigned(number, shift), F.lit(of))
+    made = spark.range(n).select(
+        F.col("id").alias("time"),
+        part(3, 20).cast("double").alias("temperature"),
+        (part(9, 11) * 1.5).alias("humidity"),
+        F.when(F.col("id") % 10 != 0, part(15, 9).cast("double")).alias("wind_speed"),
+        part(21, 5).alias("noise"),
+    )
+    month = F.pmod(F.col("temperature") * 2 + F.col("humidity") + F.col("noise"), F.lit(12)).cast("bigint") + 1
+    return made.select("*", month.alias("month"), (month * 0.3 + F.col("noise") / 7 + F.col("temperature")).alias(forests.PRICE))
+
+
+@pytest.mark.parametrize("regression", [False, True])
+def test_one_tree_over_packed_rows_is_the_tree_of_spark(spark, regression):
+    label = forests.PRICE if regression else "month"
+    case = forests.Case("x", forests.WEATHER_INPUTS, label, regression)
+    rows_in = forests.clean(_odd_minutes(spark), case, ["time"]).repartition(3)
+    kind = RandomForestRegressor if regression else RandomForestClassifier
+    forest = kind(featuresCol="features", labelCol=label, numTrees=1, maxDepth=4, bootstrap=False)
+    theirs = forests.forest_predictions(forest.fit(assemble(rows_in, list(case.inputs))), rows_in, case)
+    model = levels.fit(rows_in, list(case.inputs), label, regression, 1, 4, bootstrap=False)
+    mine = model.transform(rows_in)
+    want = {r["time"]: r["prediction"] for r in theirs.select("time", "prediction").collect()}
+    got = {r["time"]: r["prediction"] for r in mine.select("time", "prediction").collect()}
+    assert len(got) == 5_400 and got == pytest.approx(want)
+    assert len(set(want.values())) > 4 and model.getNumTrees == 1
+    # Every row is in the leaves, none twice.
+    assert (model.leaves[..., 0] if regression else model.leaves.sum(-1)).sum() == 5_400
+
+
+@pytest.mark.parametrize("name", ["month from weather", "price from month"])
+def test_forests_of_many_rows_score_as_those_of_spark_without_its_trainer(spark, monkeypatch, name):
+    case = next(c for c in forests.CASES if c.name == name)
+    case = forests.Case(name, (*forests.WEATHER_INPUTS, *(["month"] if case.regression else [])), case.label, case.regression)
+    table = _odd_minutes(spark)
+    plain = forests.run_cases(table, "time", [case], trees=40).first()
+    monkeypatch.setattr(forests, "PACKED_ROWS", 1_000)
+
+    def never(*_, **__):
+        raise AssertionError("keeps every row with a number for each tree")
+
+    monkeypatch.setattr(forests, "fit_forest", never)
+    packed = forests.run_cases(table, "time", [case], trees=40).first()
+    assert packed.error is None and packed.n == plain.n
+    if case.regression:
+        assert packed.r2 == pytest.approx(plain.r2, abs=0.03) and packed.mae == pytest.approx(plain.mae, rel=0.1)
+    else:
+        assert packed.accuracy == pytest.approx(plain.accuracy, abs=3) and plain.accuracy > 12
+        assert packed.mean_probability == pytest.approx(plain.mean_probability, abs=1)
+
+
+def test_a_row_is_drawn_once_on_average_and_the_same_in_every_pass():
+    drawn = levels.weights(1, 5, 7, 200_000)
+    assert (drawn == levels.weights(1, 5, 7, 200_000)).all() and not (drawn == levels.weights(1, 5, 8, 200_000)).all()
+    assert abs(drawn.mean() - 1) < 0.02 and abs(drawn.var() - 1) < 0.02
+
+
+def test_packed_rows_want_labels_that_number_classes(spark):
+    made = spark.createDataFrame([(1.0, 0.5), (2.0, 1.0)], "a double, month double")
+    with pytest.raises(ValueError, match="whole numbers"):
+        levels.fit(made, ["a"], "month", False, 2, 2)
