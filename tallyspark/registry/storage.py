@@ -13,13 +13,15 @@ from tallyspark.plans.images import image_key
 from tallyspark.registry.core import TOTAL_DIGITS, query, total_sum
 from tallyspark.session import fresh_dir
 from tallyspark.sinks import storage, writers
-from tallyspark.sinks.image_files import write_images
+from tallyspark.sinks.image_files import image_folders, write_images
 from tallyspark.sources import readers
-from tallyspark.sources.readers import CsvOptions, read_images
+from tallyspark.sources.readers import CsvOptions, from_images
 from tallyspark.tables import table
 
 SEMICOLON, PIPE = CsvOptions(sep=";"), CsvOptions(sep="|")
 BLOCK_TEXT = CsvOptions(sep="|", multi_line=True)
+# Image files whose states the driver holds at a time, some 1 kB each.
+FILES_AT_ONCE = 50_000
 
 
 def _orders_as_text(spark, sf):
@@ -177,12 +179,15 @@ def _accident_text(df):
 def image_fields(spark, sf):
     """Documents become image files; Spark's image reader reads these."""
     folder = write_images(b.images(spark, sf), fresh_dir(spark, "images"))
-    scanned = image_key(read_images(spark, folder))
-    return scanned.select(
-        "image",
-        (F.col("height") * F.col("width")).alias("n_pixels"),
-        F.md5(F.hex("data").cast("binary")).alias("digest"),
-    )
+
+    def fields(scanned):
+        return image_key(scanned).select(
+            "image",
+            (F.col("height") * F.col("width")).alias("n_pixels"),
+            F.md5(F.hex("data").cast("binary")).alias("digest"),
+        )
+
+    return from_images(spark, image_folders(folder, FILES_AT_ONCE), fields, fresh_dir(spark, "fields"))
 
 
 @query(

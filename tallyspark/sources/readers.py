@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallyspark.session import for_small_files
+
+IMAGE = "origin string, height int, width int, nChannels int, mode int, data binary"
+
 
 @dataclass(frozen=True)
 class CsvOptions:
@@ -69,14 +74,26 @@ def read_json_lines(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return reader.json(path)
 
 
-def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """Columns origin, height, width, nChannels, mode, data of an image folder.
+def read_images(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Columns origin, height, width, nChannels, mode, data of an image folder, or of several.
 
-    A file that is no image keeps a row, with sizes of -1 and no data.
+    A file that is no image keeps a row, with sizes of -1 and no data. The driver holds
+    the states of all files: see ``from_images`` for folders with very many.
     """
     return spark.read.format("image").option("recursiveFileLookup", "true").load(path).select("image.*")
 
 
+def from_images(
+    spark: SparkSession, portions: list[list[str]], made: Callable[[DataFrame], DataFrame], path: str
+) -> DataFrame:
+    """What is made of the images of all folders, stored at a new path: portion after portion, so that
+    the driver knows the files of one portion at a time and forgets them with it."""
+    for folders in portions:
+        made(read_images(for_small_files(spark), folders)).write.mode("append").parquet(path)
+    none = made(spark.createDataFrame([], IMAGE))
+    return spark.read.schema(none.schema).parquet(path) if portions else none
+
+
 def stream_csv(
     spark: SparkSession,
     path: str,

@@ -13,7 +13,7 @@ from tallyspark.operators.sampling import sample_by_suffix
 from tallyspark.plans import images, schema_change
 from tallyspark.session import fresh_dir, work_root
 from tallyspark.sinks import storage, writers
-from tallyspark.sinks.image_files import write_images
+from tallyspark.sinks.image_files import image_folders, write_images
 from tallyspark.sources import readers, schemas
 from tallyspark.sources.readers import CsvOptions
 
@@ -237,6 +237,39 @@ def test_images_written_as_files_are_read_back_as_they_were(spark, tmp_path):
     assert (tmp_path / "none" / "_SUCCESS").read_text() == "0" and none == str(tmp_path / "none")
 
 
+def test_folders_of_images_make_portions_of_bounded_size(spark, tmp_path):
+    made = spark.range(53).selectExpr("concat('p', id, '.png') AS origin", "1 AS height", "1 AS width", "1 AS nChannels", "0 AS mode", "unhex('07') AS data", "'' AS note")
+    path = write_images(made.repartition(2), str(tmp_path / "store"), 4)
+    folders = [f for portion in image_folders(path, 10) for f in portion]
+    assert sorted(folders) == sorted(str(p) for p in (tmp_path / "store").glob("part*/*")) and len(folders) > 13
+    portions = [readers.read_images(spark, portion) for portion in image_folders(path, 10)]
+    assert max(len(p.inputFiles()) for p in portions) <= 10 and sum(p.count() for p in portions) == 53
+    assert len(image_folders(path, 53)) == 1 and len(image_folders(path, 1)) == len(folders)
+    back = readers.from_images(spark, image_folders(path, 10), lambda df: df.select("origin", "height"), str(tmp_path / "sizes"))
+    assert rows(back) == rows(readers.read_images(spark, path).select("origin", "height"))
+    assert readers.from_images(spark, [], lambda df: df.select("height"), str(tmp_path / "nothing")).collect() == []
+
+
+def test_image_fields_does_not_list_all_files_at_once(spark, monkeypatch):
+    from __spark_entry__ import queries
+    from tallyspark.registry import storage as registered
+
+    monkeypatch.setattr(registered, "write_images", lambda df, path: write_images(df.repartition(3), path, 10))
+    monkeypatch.setattr(registered, "FILES_AT_ONCE", 30)
+    seen, read = [], readers.read_images
+
+    def listed(session, path):
+        found = read(session, path)
+        seen.append(len(found.inputFiles()))
+        return found
+
+    monkeypatch.setattr(readers, "read_images", listed)
+    before = dict(spark.conf.getAll)
+    got = queries()["image_fields"](spark, SMALL)
+    assert got.count() == 200 == sum(seen) and max(seen) <= 30
+    assert dict(spark.conf.getAll) == before  # settings for small files hold for the scans alone
+
+
 def test_an_image_whose_bytes_do_not_fit_its_sizes_fails_and_leaves_nothing_to_read(spark, tmp_path):
     rows_in = [("a.png", 1, 1, 4, 24, b"abcd", ""), ("b.png", 2, 1, 4, 24, b"abcd", "")]
     with pytest.raises(Exception, match="4 bytes are no image of 2 x 1"):
